@@ -1,0 +1,28 @@
+"""Join helpers.
+
+Dimension sides are broadcast only behind a row-count check: a bounded
+``limit(max_rows + 1).count()`` proves the side small (it stops reading
+as soon as the bound is passed). Beyond the bound the join is left to
+the planner, i.e. a shuffle sort-merge join that AQE may still turn into
+a broadcast once it has measured the real shuffle size, and whose skewed
+partitions AQE splits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be shipped to every executor.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if its row count is proven within ``max_rows``,
+    else ``df`` unchanged (shuffle join, AQE decides at run time)."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
