@@ -84,7 +84,9 @@ def year_to_season_start(c: str) -> Column:
 
 
 def session_timestamp(date_col: str, time_col: str) -> Column:
-    """Date plus wall-clock text to a timestamp; NULL when either is NULL
-    or the pair does not parse."""
+    """Date plus wall-clock text to a (time-zone free) timestamp; NULL when
+    either is NULL or the pair does not parse."""
     d, t = col_sql(date_col), col_sql(time_col)
-    return F.expr(f"try_to_timestamp(concat(CAST({d} AS STRING), ' ', {t}), 'yyyy-MM-dd HH:mm:ss')")
+    return F.expr(
+        f"CAST(try_to_timestamp(concat(CAST({d} AS STRING), ' ', {t}), 'yyyy-MM-dd H:mm:ss') AS TIMESTAMP_NTZ)"
+    )

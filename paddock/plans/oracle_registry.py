@@ -20,3 +20,172 @@ ORACLE["historical_seasons"] = o.sql(
     f"SELECT DISTINCT {o.quoted(SEASON_COLUMNS)} FROM historical_master", "historical_master"
 )
 ORACLE["historical_incidents"] = o.select_all("historical_incidents")
+
+# --- Silver tables and single rules ---------------------------------------------
+
+from ..operators import quality as _q  # noqa: E402
+from ..sources.registry import SOURCE_TABLES  # noqa: E402
+
+for _t in SOURCE_TABLES:
+    ORACLE[f"silver_{_t}"] = o.select_all(f"s_{_t}")
+
+ORACLE["rule_trim_strings"] = o.sql(
+    """SELECT circuitid, trim(circuitref) AS circuitref, trim(name) AS name, trim(location) AS location,
+  trim(country) AS country, lat, lng, alt, trim(url) AS url FROM b_race_data_circuits""",
+    "b_race_data_circuits",
+)
+_M = o.mapped
+ORACLE["rule_value_map"] = o.sql(
+    f"""SELECT resultid, raceid, driverid, constructorid, {_M('number')} AS number, {_M('grid')} AS grid,
+  {_M('position')} AS position, {_M('positiontext')} AS positiontext, positionorder, points, laps,
+  {_M('time')} AS time, {_M('milliseconds')} AS milliseconds, {_M('fastestlap')} AS fastestlap,
+  {_M('rank')} AS rank, {_M('fastestlaptime')} AS fastestlaptime, {_M('fastestlapspeed')} AS fastestlapspeed,
+  statusid FROM b_race_data_results""",
+    "b_race_data_results",
+)
+ORACLE["rule_event_map"] = o.sql(
+    f"""SELECT {_M('race', True)} AS race, lap, {_M('incident', True)} AS incident,
+  {_M('resumed', True)} AS resumed, {_M('excluded', True)} AS excluded FROM b_race_events_red_flags""",
+    "b_race_events_red_flags",
+)
+ORACLE["rule_multi_format_date"] = o.sql(
+    f"""SELECT date_of_accident AS date_text, {o.as_date('date_of_accident')} AS date_of_accident
+FROM b_race_events_fatal_accidents_drivers""",
+    "b_race_events_fatal_accidents_drivers",
+)
+ORACLE["rule_safe_int_cast"] = o.sql(
+    "SELECT resultid, "
+    + ", ".join(f"{o.as_int(_M(c))} AS {c}" for c in ("milliseconds", "position", "number", "grid", "rank"))
+    + " FROM b_race_data_results",
+    "b_race_data_results",
+)
+ORACLE["rule_time_to_ms"] = o.sql(
+    f"SELECT raceid, driverid, q1, q2, {o.ms('q1')} AS q1_ms, {o.ms('q2')} AS q2_ms FROM b_race_data_qualifying",
+    "b_race_data_qualifying",
+)
+ORACLE["rule_wall_clock"] = o.sql(
+    f"SELECT raceid, driverid, stop, time AS time_text, {o.clock('time')} AS wall_clock FROM b_race_data_pit_stops",
+    "b_race_data_pit_stops",
+)
+ORACLE["rule_cause_normalise"] = o.sql(
+    f"SELECT cause AS cause_text, {o.cause('cause')} AS cause FROM b_race_events_safety_cars",
+    "b_race_events_safety_cars",
+)
+
+
+def _ts(d: str, t: str) -> str:
+    return f"try_strptime(CAST({d} AS VARCHAR) || ' ' || {t}, '%Y-%m-%d %H:%M:%S')"
+
+
+ORACLE["session_timestamps"] = o.sql(
+    "SELECT raceid, "
+    + ", ".join(
+        [f"{_ts('date', 'time')} AS race_timestamp"]
+        + [f"{_ts(p + '_date', p + '_time')} AS {p}_timestamp" for p in ("fp1", "fp2", "fp3", "quali", "sprint")]
+    )
+    + " FROM s_race_data_races",
+    "s_race_data_races",
+)
+
+# --- quality reports ------------------------------------------------------------------
+
+
+def _dlit(v) -> str:
+    if v is None:
+        return "NULL"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _dfail(chk) -> str | None:
+    c = f'"{chk.column}"'
+    txt = f"CAST({c} AS VARCHAR)"
+    if chk.kind == "not_null":
+        return f"{c} IS NULL"
+    if chk.kind == "in_set":
+        return f"{c} IS NOT NULL AND NOT ({c} IN ({', '.join(_dlit(v) for v in chk.arg)}))"
+    if chk.kind == "not_match":
+        return f"{c} IS NOT NULL AND regexp_matches({txt}, {_dlit(chk.arg)})"
+    if chk.kind == "match":
+        return f"{c} IS NOT NULL AND NOT regexp_matches({txt}, {_dlit(chk.arg)})"
+    if chk.kind == "between":
+        return f"{c} IS NOT NULL AND NOT ({c} BETWEEN {chk.arg[0]} AND {chk.arg[1]})"
+    return None
+
+
+_DUCK_TYPE = {"int": "INTEGER", "double": "DOUBLE"}
+
+
+def _has_column(cte_name: str, column: str) -> bool:
+    import re
+
+    body = o.CTES[cte_name][0]
+    return re.search(rf"\bAS {column}\b(?!\s*\))", body) is not None or re.search(
+        rf"(SELECT|,)\s*{column}\s*(,|\n|FROM)", body
+    ) is not None
+
+
+def _dq_table(prefix: str, table: str) -> tuple[str, list[str]]:
+    cte_name = f"{prefix}_{table}"
+    aggs, rows = [], []
+    for i, chk in enumerate(_q.suite_for(table)):
+        meta = f"{_dlit(table)} AS table_name, {_dlit(_q.CHECK_NAMES[chk.kind])} AS check_name, {_dlit(chk.column)} AS column_name"
+        hint = _dlit(_q.expected_hint(chk))
+        if chk.kind == "absent":
+            ok = "false" if _has_column(cte_name, chk.column) else "true"
+            rows.append(f"SELECT {meta}, CAST(NULL AS BIGINT) AS unexpected_count, {ok} AS success, "
+                        f"{_dlit(_q.REASONS['absent'])} AS reason, {hint} AS expected, CAST(NULL AS VARCHAR) AS first_example")
+        elif chk.kind == "of_type":
+            want = _DUCK_TYPE[chk.arg.simpleString()]
+            rows.append(f"SELECT {meta}, CAST(NULL AS BIGINT) AS unexpected_count, coalesce((SELECT typeof(\"{chk.column}\") FROM {cte_name} LIMIT 1) = '{want}', false) AS success, "
+                        f"{_dlit(_q.REASONS['of_type'])} AS reason, {hint} AS expected, CAST(NULL AS VARCHAR) AS first_example")
+        else:
+            f = _dfail(chk)
+            aggs.append(f"count_if({f}) AS n{i}, min(CASE WHEN {f} THEN CAST(\"{chk.column}\" AS VARCHAR) END) AS x{i}")
+            rows.append(f"SELECT {meta}, n{i} AS unexpected_count, n{i} = 0 AS success, {_dlit(_q.REASONS[chk.kind])} AS reason, "
+                        f"{hint} AS expected, x{i} AS first_example FROM agg_{cte_name}")
+    if aggs:
+        o.cte(f"agg_{cte_name}", f"SELECT {', '.join(aggs)} FROM {cte_name}", cte_name)
+    return "\nUNION ALL\n".join(rows), ([f"agg_{cte_name}"] if aggs else []) + [cte_name]
+
+
+def _dq_report(prefix: str) -> tuple[str, list[str]]:
+    selects, deps = [], []
+    for t in SOURCE_TABLES:
+        s, d = _dq_table(prefix, t)
+        selects.append(s)
+        deps += d
+    return "\nUNION ALL\n".join(selects), deps
+
+
+_silver_body, _silver_deps = _dq_report("s")
+_bronze_body, _bronze_deps = _dq_report("b")
+o.cte("dq_bronze", _bronze_body, *_bronze_deps)
+ORACLE["dq_silver_report"] = o.sql(_silver_body, *_silver_deps)
+ORACLE["dq_bronze_report"] = o.sql("SELECT * FROM dq_bronze", "dq_bronze")
+ORACLE["dq_table_verdicts"] = o.sql(
+    """SELECT table_name, bool_and(success) AS passed, count_if(NOT success) AS failed_checks, count(*) AS checks
+FROM dq_bronze GROUP BY table_name""",
+    "dq_bronze",
+)
+
+
+def _examples() -> tuple[str, list[str]]:
+    parts, deps = [], []
+    for t in SOURCE_TABLES:
+        cte_name = f"b_{t}"
+        for chk in _q.suite_for(t):
+            f = _dfail(chk)
+            if f is None or chk.kind == "not_null":
+                continue
+            parts.append(
+                f"SELECT {_dlit(t)} AS table_name, {_dlit(_q.CHECK_NAMES[chk.kind])} AS check_name, "
+                f"{_dlit(chk.column)} AS column_name, string_agg(v, ', ' ORDER BY v) AS examples "
+                f"FROM (SELECT DISTINCT CAST(\"{chk.column}\" AS VARCHAR) AS v FROM {cte_name} WHERE {f} ORDER BY v LIMIT 5) "
+                f"HAVING count(*) > 0"
+            )
+            deps.append(cte_name)
+    return "\nUNION ALL\n".join(parts), deps
+
+
+_ex_body, _ex_deps = _examples()
+ORACLE["dq_failure_examples"] = o.sql(_ex_body, *_ex_deps)

@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.registry import BridgeSources
+from ..functions import text, timefmt
+from ..operators import clean, quality
+from ..sources.registry import SOURCE_TABLES, BridgeSources
 from . import views
 from .gold import GOLD_MODELS, GoldModels
 
@@ -66,3 +69,127 @@ def historical_seasons(spark, sf_dir):
 def historical_incidents(spark, sf_dir):
     g = gold_models(spark, sf_dir)
     return views.historical_incidents(g.ref("event_race_incidents"), g.ref("event_fatal_accidents"))
+
+
+# --- Silver: full cleaning chain per table (P8, P9 and everything under it) ---
+
+def _silver_query(table: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return BridgeSources(spark, sf_dir).silver(table)
+
+    q.__name__ = f"silver_{table}"
+    return q
+
+
+for _t in SOURCE_TABLES:
+    REGISTRY[f"silver_{_t}"] = _silver_query(_t)
+
+
+# --- single cleaning rules on one Bronze table ---------------------------------
+
+@register("rule_trim_strings")
+def rule_trim_strings(spark, sf_dir):
+    """P3 alone: blank trimming of every string column (circuits)."""
+    return clean.trim_strings(BridgeSources(spark, sf_dir).bronze("race_data_circuits"))
+
+
+@register("rule_value_map")
+def rule_value_map(spark, sf_dir):
+    """Trim then the race-data value map (results)."""
+    b = BridgeSources(spark, sf_dir).bronze("race_data_results")
+    return clean.map_string_values(clean.trim_strings(b), "race_data_results")
+
+
+@register("rule_event_map")
+def rule_event_map(spark, sf_dir):
+    """P5: trim then the race-events value map (red flags)."""
+    b = BridgeSources(spark, sf_dir).bronze("race_events_red_flags")
+    return clean.map_string_values(clean.trim_strings(b), "race_events_red_flags")
+
+
+@register("rule_multi_format_date")
+def rule_multi_format_date(spark, sf_dir):
+    """Multi-layout date parse with the century pivot, raw text kept."""
+    b = BridgeSources(spark, sf_dir).bronze("race_events_fatal_accidents_drivers")
+    return b.select(
+        F.col("date_of_accident").alias("date_text"),
+        timefmt.parse_multi_format_date("date_of_accident").alias("date_of_accident"),
+    )
+
+
+@register("rule_safe_int_cast")
+def rule_safe_int_cast(spark, sf_dir):
+    """try_cast of the integer-named columns after trim and map."""
+    b = BridgeSources(spark, sf_dir).bronze("race_data_results")
+    m = clean.map_string_values(clean.trim_strings(b), "race_data_results")
+    return clean.cast_int_columns(m).select("resultid", *clean.INT_CAST_COLUMNS)
+
+
+@register("rule_time_to_ms")
+def rule_time_to_ms(spark, sf_dir):
+    """duration text in four layouts to milliseconds."""
+    b = BridgeSources(spark, sf_dir).bronze("race_data_qualifying")
+    return b.select(
+        "raceid", "driverid", "q1", "q2",
+        timefmt.time_to_ms("q1").alias("q1_ms"),
+        timefmt.time_to_ms("q2").alias("q2_ms"),
+    )
+
+
+@register("rule_wall_clock")
+def rule_wall_clock(spark, sf_dir):
+    """keep H:MM:SS of the pit-stop clock text."""
+    b = BridgeSources(spark, sf_dir).bronze("race_data_pit_stops")
+    return b.select("raceid", "driverid", "stop", F.col("time").alias("time_text"),
+                    timefmt.clean_wall_clock("time").alias("wall_clock"))
+
+
+@register("rule_cause_normalise")
+def rule_cause_normalise(spark, sf_dir):
+    """Ordered case-insensitive cause rewrite (safety cars)."""
+    b = BridgeSources(spark, sf_dir).bronze("race_events_safety_cars")
+    return b.select(F.col("cause").alias("cause_text"), text.normalise_cause("cause").alias("cause"))
+
+
+@register("session_timestamps")
+def session_timestamps(spark, sf_dir):
+    """race and session timestamps from Silver date + wall-clock pairs."""
+    s = BridgeSources(spark, sf_dir).silver("race_data_races")
+    sessions = [("race", "date", "time")] + [(p, f"{p}_date", f"{p}_time") for p in ("fp1", "fp2", "fp3", "quali", "sprint")]
+    return s.select("raceid", *[timefmt.session_timestamp(d, t).alias(f"{p}_timestamp") for p, d, t in sessions])
+
+
+# --- quality suites ------------------------------------------------------------
+
+@register("dq_silver_report")
+def dq_silver_report(spark, sf_dir):
+    src = BridgeSources(spark, sf_dir)
+    return quality.check_tables(src.silver, SOURCE_TABLES)
+
+
+@register("dq_bronze_report")
+def dq_bronze_report(spark, sf_dir):
+    src = BridgeSources(spark, sf_dir)
+    return quality.check_tables(src.bronze, SOURCE_TABLES)
+
+
+@register("dq_table_verdicts")
+def dq_table_verdicts(spark, sf_dir):
+    src = BridgeSources(spark, sf_dir)
+    return quality.table_verdicts(quality.check_tables(src.bronze, SOURCE_TABLES))
+
+
+@register("dq_failure_examples")
+def dq_failure_examples(spark, sf_dir):
+    """Up to five smallest offending values per failed Bronze value check."""
+    src = BridgeSources(spark, sf_dir)
+    report = quality.check_tables(src.bronze, SOURCE_TABLES)
+    failed = report.where("NOT success AND unexpected_count IS NOT NULL").select(
+        "table_name", "check_name", "column_name"
+    ).collect()  # at most one row per check
+    by_table: dict[str, list[tuple[str, str]]] = {}
+    for r in failed:
+        by_table.setdefault(r.table_name, []).append((r.check_name, r.column_name))
+    parts = [quality.failure_examples(src.bronze(t), t, keys) for t, keys in sorted(by_table.items())]
+    from functools import reduce
+    return reduce(DataFrame.unionByName, parts)
