@@ -342,14 +342,25 @@ def event_fatal_accidents(drivers_acc: DataFrame, marshals: DataFrame) -> DataFr
 class GoldModels:
     """Resolve model references against a Silver source lookup, once each."""
 
-    def __init__(self, source: Callable[[str], DataFrame], broadcast_rows: int | None = None):
+    def __init__(
+        self,
+        source: Callable[[str], DataFrame],
+        broadcast_rows: int | None = None,
+        materialized: Callable[[str], DataFrame] | None = None,
+    ):
+        """``materialized`` resolves a model to an already written table
+        (e.g. ``spark.table``) instead of rebuilding it."""
         self.source = source
         self.broadcast_rows = broadcast_rows
+        self.materialized = materialized
         self._refs: dict[str, DataFrame] = {}
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._refs:
-            self._refs[name] = getattr(self, f"_build_{name}")()
+            if self.materialized is not None:
+                self._refs[name] = self.materialized(name)
+            else:
+                self._refs[name] = getattr(self, f"_build_{name}")()
         return self._refs[name]
 
     __getitem__ = ref

@@ -189,3 +189,40 @@ def _examples() -> tuple[str, list[str]]:
 
 _ex_body, _ex_deps = _examples()
 ORACLE["dq_failure_examples"] = o.sql(_ex_body, *_ex_deps)
+
+# --- ingest, layers, upserts, partitioned writes ------------------------------------------
+
+ORACLE["csv_roundtrip"] = o.sql(
+    """SELECT circuitid AS circuit_id, circuitref, name, location AS "location_city_", country, lat, lng,
+  alt AS alt_meters, url FROM b_race_data_circuits""",
+    "b_race_data_circuits",
+)
+ORACLE["sanitize_columns"] = (
+    'SELECT n_nationkey AS "n_nation_key_", n_name AS "n_name", n_regionkey AS "n_region_key" FROM nation'
+)
+ORACLE["ingest_report"] = """SELECT 'succeeded' AS status, 'orders.csv' AS file_name, 'landing_orders' AS table_name,
+  false AS has_reason, (SELECT count(*) FROM orders) AS row_count
+UNION ALL SELECT 'skipped', 'nation.csv', 'landing_nation', false, CAST(NULL AS BIGINT)
+UNION ALL SELECT 'failed', 'region.csv', 'landing_region', true, CAST(NULL AS BIGINT)"""
+ORACLE["layered_master"] = ORACLE["historical_master"]
+
+_LI = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate"
+o.cte("li_existing", f"SELECT {_LI} FROM lineitem WHERE l_shipdate < DATE '1998-01-01'")
+o.cte("li_incoming", f"SELECT {_LI} FROM lineitem WHERE l_shipdate >= DATE '1997-07-01'")
+ORACLE["upsert_insert_only"] = o.sql(
+    """SELECT * FROM li_existing
+UNION ALL
+SELECT * FROM li_incoming i WHERE NOT EXISTS (
+  SELECT 1 FROM li_existing e WHERE e.l_orderkey = i.l_orderkey AND e.l_linenumber = i.l_linenumber)""",
+    "li_existing", "li_incoming",
+)
+ORACLE["upsert_latest"] = o.sql(
+    f"""SELECT {_LI} FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn
+  FROM (SELECT * FROM li_existing UNION ALL SELECT * FROM li_incoming)) WHERE rn = 1""",
+    "li_existing", "li_incoming",
+)
+ORACLE["partitioned_scan"] = (
+    "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) = 1997"
+)

@@ -193,3 +193,155 @@ def dq_failure_examples(spark, sf_dir):
     parts = [quality.failure_examples(src.bronze(t), t, keys) for t, keys in sorted(by_table.items())]
     from functools import reduce
     return reduce(DataFrame.unionByName, parts)
+
+
+# --- ingest, layers, upserts, partitioned writes -------------------------------------
+
+from pyspark.sql.types import (  # noqa: E402
+    DoubleType, LongType, IntegerType, StringType, StructField, StructType,
+)
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import catalog, ingest, upsert  # noqa: E402
+
+# Awkward CSV headers for the circuits round trip.
+AWKWARD_CIRCUIT_HEADERS = (
+    ("circuitid", "Circuit Id", LongType()),
+    ("circuitref", "circuitRef", StringType()),
+    ("name", "Name", StringType()),
+    ("location", "Location(City)", StringType()),
+    ("country", "Country", StringType()),
+    ("lat", "Lat", DoubleType()),
+    ("lng", "Lng", DoubleType()),
+    ("alt", "Alt=Meters", IntegerType()),
+    ("url", "URL", StringType()),
+)
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """Bronze circuits written as CSV under awkward headers, read
+    back with a declared schema, names sanitised (run stamp dropped)."""
+    src = BridgeSources(spark, sf_dir).bronze("race_data_circuits")
+    out = src.toDF(*[h for _, h, _ in AWKWARD_CIRCUIT_HEADERS])
+    folder = scratch_path(spark, "csv-roundtrip")
+    ingest.write_csv(out, f"{folder}/circuits.csv")
+    schema = StructType([StructField(h, t) for _, h, t in AWKWARD_CIRCUIT_HEADERS])
+    return ingest.sanitize_columns(ingest.read_csv(spark, f"{folder}/circuits.csv", schema))
+
+
+@register("sanitize_columns")
+def sanitize_columns(spark, sf_dir):
+    """P1 on awkward names over the nation table."""
+    n = read_nation(spark, sf_dir).toDF("N Nation(Key)", "n;Name", "N=Region Key")
+    return ingest.sanitize_columns(n)
+
+
+def read_nation(spark, sf_dir):
+    from ..sources.bridge import read_table
+
+    return read_table(spark, sf_dir, "nation")
+
+
+@register("ingest_report")
+def ingest_report(spark, sf_dir):
+    """Three landing files ingested concurrently: one
+    new, one whose table exists (skipped), one that fails its declared
+    schema; report plus row counts of what landed."""
+    from ..sources.bridge import read_table
+
+    root = scratch_path(spark, "ingest")
+    landing = f"{root}/landing"
+    for t in ("orders", "nation", "region"):
+        ingest.write_csv(read_table(spark, sf_dir, t), f"{landing}/{t}.csv")
+    schema_name = "landing_" + root.rsplit("-", 1)[-1]
+    catalog.create_layers(spark, [schema_name], root)
+    read_table(spark, sf_dir, "nation").write.saveAsTable(f"{schema_name}.landing_nation")
+    files, errors = ingest.list_csv_files(spark, [landing, f"{root}/missing"])
+    bad_region = StructType([StructField("r_regionkey", IntegerType()), StructField("r_name", IntegerType())])
+    report = ingest.ingest_files(
+        spark, files, schema_name, schemas={"landing_region": bad_region}, mode="FAILFAST"
+    )
+    counts = {
+        r.table_name: spark.table(f"{schema_name}.{r.table_name}").count()
+        for r in report.where("status = 'succeeded'").collect()
+    }
+    count_col = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v))]) if counts else None
+    out = report.select(
+        "status", "file_name", "table_name", F.col("reason").isNotNull().alias("has_reason"),
+        (count_col[F.col("table_name")] if count_col is not None else F.lit(None)).cast("bigint").alias("row_count"),
+    )
+    assert len(errors) == 1, errors  # the missing folder is reported, not raised
+    return out
+
+
+def _layers(spark, name):
+    root = scratch_path(spark, name)
+    suffix = root.rsplit("-", 1)[-1]
+    names = {layer: f"{layer}_{suffix}" for layer in catalog.LAYERS}
+    catalog.create_layers(spark, names.values(), root)
+    return names
+
+
+@register("layered_master")
+def layered_master(spark, sf_dir):
+    """The full layer build through the catalog:
+    Bronze tables -> Silver (stamped) -> quality gate -> Gold tables ->
+    dashboard view read back by name."""
+    names = _layers(spark, "layers")
+    src = BridgeSources(spark, sf_dir)
+    for t in SOURCE_TABLES:
+        catalog.send_to_schema(catalog.stamp(src.bronze(t), "ingested_at"), t, names["bronze"])
+    tables = catalog.build_silver(spark, names["bronze"], names["silver"])
+    catalog.silver_gate(spark, names["silver"], tables)
+    catalog.build_gold(spark, names["silver"], names["gold"])
+    view = f"{names['dashboard']}_"
+    catalog.build_dashboard(spark, names["gold"], prefix=view)
+    return spark.table(f"{view}historical_master")
+
+
+_LI_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+
+
+def _lineitem_split(spark, sf_dir):
+    from ..sources.bridge import read_table
+
+    li = read_table(spark, sf_dir, "lineitem").select(*_LI_COLS)
+    return li.where("l_shipdate < DATE'1998-01-01'"), li.where("l_shipdate >= DATE'1997-07-01'")
+
+
+@register("upsert_insert_only")
+def upsert_insert_only(spark, sf_dir):
+    """M1 insert-only: existing rows, then incoming rows with new
+    (l_orderkey, l_linenumber) keys appended; a rerun appends nothing."""
+    names = _layers(spark, "upsert")
+    table = f"{names['bronze']}.lineitem"
+    existing, incoming = _lineitem_split(spark, sf_dir)
+    existing.write.saveAsTable(table)
+    upsert.upsert_insert_only(spark, table, incoming, ["l_orderkey", "l_linenumber"])
+    assert upsert.upsert_insert_only(spark, table, incoming, ["l_orderkey", "l_linenumber"]) == 0
+    return spark.table(table)
+
+
+@register("upsert_latest")
+def upsert_latest(spark, sf_dir):
+    """M1 latest-wins + N5: one row per (l_orderkey, l_linenumber), the one
+    with the latest ship date (ties broken on the other columns)."""
+    names = _layers(spark, "latest")
+    table = f"{names['bronze']}.lineitem"
+    existing, incoming = _lineitem_split(spark, sf_dir)
+    existing.write.saveAsTable(table)
+    upsert.upsert_latest(spark, table, incoming, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    return spark.table(table)
+
+
+@register("partitioned_scan")
+def partitioned_scan(spark, sf_dir):
+    """M2: orders written partitioned by year; reading one year prunes the
+    other folders (PartitionFilters in the scan)."""
+    from ..sources.bridge import read_table
+
+    path = scratch_path(spark, "orders-by-year")
+    orders = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    upsert.write_partitioned(orders, path, ["year"], spread_by="o_orderkey")
+    return spark.read.parquet(path).where("year = 1997")
