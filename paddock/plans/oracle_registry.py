@@ -226,3 +226,103 @@ ORACLE["upsert_latest"] = o.sql(
 ORACLE["partitioned_scan"] = (
     "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) = 1997"
 )
+
+# --- features, dashboard cuts, profiling ------------------------------------------------------
+
+o.cte(
+    "driver_seasons",
+    "SELECT driver_id, year, count(*) AS races, sum(points) AS points, count_if(dnf_flag) AS dnfs "
+    "FROM fact_results GROUP BY driver_id, year",
+    "fact_results",
+)
+ORACLE["feat_trailing_avg"] = o.sql(
+    """SELECT driver_id, year, races, points,
+  sum(points) OVER w / sum(races) OVER w AS trailing_avg_points
+FROM driver_seasons
+WINDOW w AS (PARTITION BY driver_id ORDER BY year RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING)""",
+    "driver_seasons",
+)
+ORACLE["feat_dnf_rate"] = o.sql(
+    "SELECT driver_id, count(*) AS results, avg(CAST(dnf_flag AS INTEGER)) AS dnf_rate FROM fact_results GROUP BY driver_id",
+    "fact_results",
+)
+ORACLE["feat_pace_delta"] = o.sql(
+    """SELECT q.driver_id, count(*) AS races, round(avg(q.q_pos - r.r_pos), 6) AS pace_delta
+FROM (SELECT race_id, driver_id, avg(qualifying_position) AS q_pos FROM fact_qualifying GROUP BY ALL) q
+JOIN (SELECT race_id, driver_id, avg(position_order) AS r_pos FROM fact_results GROUP BY ALL) r
+  ON q.race_id = r.race_id AND q.driver_id = r.driver_id
+GROUP BY q.driver_id""",
+    "fact_qualifying", "fact_results",
+)
+ORACLE["feat_consistency"] = o.sql(
+    "SELECT driver_id, count(*) AS results, round(var_pop(position_order), 6) AS position_variance "
+    "FROM fact_results GROUP BY driver_id",
+    "fact_results",
+)
+ORACLE["feat_team_momentum"] = o.sql(
+    """SELECT t.team_id, t.race_id, r.race_date, t.team_points,
+  avg(t.team_points) OVER (PARTITION BY t.team_id ORDER BY r.race_date, t.race_id
+    ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS momentum
+FROM (SELECT team_id, race_id, sum(points) AS team_points FROM fact_results GROUP BY ALL) t
+JOIN dim_races r ON t.race_id = r.race_id""",
+    "fact_results", "dim_races",
+)
+ORACLE["feat_session_weather"] = """SELECT t.session_date, t.telemetry_events, w.weather_readings, w.avg_weather
+FROM (SELECT CAST(ts AS DATE) AS session_date, count(*) AS telemetry_events FROM events
+      WHERE event_type IN ('click', 'view') GROUP BY 1) t
+LEFT JOIN (SELECT CAST(ts AS DATE) AS session_date, count(*) AS weather_readings, round(avg(value), 6) AS avg_weather
+      FROM events WHERE event_type IN ('purchase') GROUP BY 1) w ON t.session_date = w.session_date"""
+
+ORACLE["trend_championship"] = o.sql(
+    """SELECT "Season" AS season, "Team ID" AS team_id, count(DISTINCT "Race Key") AS races, sum("Points") AS points,
+  count(*) FILTER (WHERE "Finish Position" = 1) AS wins, count(*) FILTER (WHERE "DNF") AS dnfs
+FROM historical_master GROUP BY 1, 2""",
+    "historical_master",
+)
+ORACLE["trend_circuits"] = o.sql(
+    """SELECT "Country" AS country, count(DISTINCT "Race Key") AS races, count(*) AS results,
+  avg("Grid Position") AS avg_grid, avg("Points") AS avg_points
+FROM historical_master GROUP BY 1""",
+    "historical_master",
+)
+ORACLE["trend_pit_impact"] = o.sql(
+    """SELECT "Pit Stops" AS pit_stops, count(*) AS results, avg("Positions Gained") AS avg_positions_gained,
+  avg("Position Order") AS avg_position_order, avg(CAST("DNF" AS INTEGER)) AS dnf_rate
+FROM historical_master GROUP BY 1""",
+    "historical_master",
+)
+ORACLE["trend_driver_team"] = o.sql(
+    """SELECT "Driver ID" AS driver_id, "Team Nationality" AS team_nationality, count(*) AS starts,
+  sum("Points") AS points, min("Finish Position") AS best_finish, avg("Finish Position") AS avg_finish
+FROM historical_master GROUP BY 1, 2""",
+    "historical_master",
+)
+
+_FR_TYPES = [
+    ("race_key", "string"), ("year", "int"), ("driver_full_name", "string"), ("driver_id", "bigint"),
+    ("team_name", "string"), ("team_id", "bigint"), ("car_number", "int"), ("grid_position", "int"),
+    ("finish_position", "int"), ("position_order", "int"), ("points", "double"), ("laps", "int"),
+    ("race_time_ms", "int"), ("fastest_lap_number", "int"), ("fastest_lap_rank", "int"),
+    ("fastest_lap_speed", "double"), ("status", "string"), ("dnf_flag", "boolean"),
+    ("positions_gained", "int"), ("pit_stop_count", "bigint"), ("total_pit_time_ms", "bigint"), ("race_id", "bigint"),
+]
+ORACLE["profile_fact_results"] = o.sql(
+    "\nUNION ALL\n".join(
+        f"SELECT 'fact_results' AS table_name, {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
+        f"count(*) AS row_count, count_if({c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_count FROM fact_results"
+        for i, (c, t) in enumerate(_FR_TYPES)
+    ),
+    "fact_results",
+)
+ORACLE["profile_distinct_sorted"] = o.sql(
+    "SELECT DISTINCT positiontext FROM s_race_data_results", "s_race_data_results"
+)
+ORACLE["profile_head"] = o.sql("SELECT * FROM dim_races ORDER BY race_id LIMIT 5", "dim_races")
+ORACLE["profile_layer"] = o.sql(
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, "
+        f"(SELECT count(*) FROM (DESCRIBE SELECT * FROM s_{t})) AS column_count FROM s_{t}"
+        for t in SOURCE_TABLES
+    ),
+    *[f"s_{t}" for t in SOURCE_TABLES],
+)

@@ -345,3 +345,117 @@ def partitioned_scan(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
     upsert.write_partitioned(orders, path, ["year"], spread_by="o_orderkey")
     return spark.read.parquet(path).where("year = 1997")
+
+
+# --- features, model, dashboard cuts, profiling ---------------------------------------
+
+from ..operators import features, model, profile  # noqa: E402
+from . import trends  # noqa: E402
+
+
+@register("feat_trailing_avg")
+def feat_trailing_avg(spark, sf_dir):
+    return features.trailing_season_average(gold_models(spark, sf_dir).ref("fact_results"))
+
+
+@register("feat_dnf_rate")
+def feat_dnf_rate(spark, sf_dir):
+    return features.dnf_rate(gold_models(spark, sf_dir).ref("fact_results"))
+
+
+@register("feat_pace_delta")
+def feat_pace_delta(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return features.pace_delta(g.ref("fact_qualifying"), g.ref("fact_results"))
+
+
+@register("feat_consistency")
+def feat_consistency(spark, sf_dir):
+    return features.consistency(gold_models(spark, sf_dir).ref("fact_results"))
+
+
+@register("feat_team_momentum")
+def feat_team_momentum(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    return features.team_momentum(g.ref("fact_results"), g.ref("dim_races"))
+
+
+@register("feat_session_weather")
+def feat_session_weather(spark, sf_dir):
+    from ..sources.bridge import read_table
+
+    return features.session_weather(read_table(spark, sf_dir, "events"))
+
+
+# Seasons of the provided data used for training and scoring.
+BRIDGE_TRAIN_SEASONS = (1996, 1998, 2000)
+BRIDGE_SCORE_SEASON = 2001
+
+
+def _fitted(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    feats = model.season_features(g.ref("fact_results"), g.ref("fact_qualifying"))
+    return model.train(feats, BRIDGE_TRAIN_SEASONS), feats
+
+
+@register("model_predicted_vs_actual")
+def model_predicted_vs_actual(spark, sf_dir):
+    """GBT fitted on selected seasons, one season scored,
+    ranked and compared with its actual points."""
+    fitted, feats = _fitted(spark, sf_dir)
+    return model.predicted_vs_actual(fitted, feats, BRIDGE_SCORE_SEASON)
+
+
+@register("model_feature_importance")
+def model_feature_importance(spark, sf_dir):
+    fitted, _ = _fitted(spark, sf_dir)
+    return model.feature_importances(spark, fitted)
+
+
+def _master(spark, sf_dir):
+    return views.historical_master(gold_models(spark, sf_dir))
+
+
+@register("trend_championship")
+def trend_championship(spark, sf_dir):
+    return trends.championship_trend(_master(spark, sf_dir))
+
+
+@register("trend_circuits")
+def trend_circuits(spark, sf_dir):
+    return trends.circuit_breakdown(_master(spark, sf_dir))
+
+
+@register("trend_pit_impact")
+def trend_pit_impact(spark, sf_dir):
+    return trends.pit_stop_impact(_master(spark, sf_dir))
+
+
+@register("trend_driver_team")
+def trend_driver_team(spark, sf_dir):
+    return trends.driver_team_comparison(_master(spark, sf_dir))
+
+
+@register("profile_fact_results")
+def profile_fact_results(spark, sf_dir):
+    """Per-column rows, NULLs and exact distinct counts."""
+    return profile.profile(gold_models(spark, sf_dir).ref("fact_results"), "fact_results")
+
+
+@register("profile_distinct_sorted")
+def profile_distinct_sorted(spark, sf_dir):
+    """Sorted distinct values of one column."""
+    return profile.distinct_sorted(BridgeSources(spark, sf_dir).silver("race_data_results"), "positiontext")
+
+
+@register("profile_head")
+def profile_head(spark, sf_dir):
+    """First five rows under a total order (a distributed top-k)."""
+    return profile.head(gold_models(spark, sf_dir).ref("dim_races"), 5, ["race_id"])
+
+
+@register("profile_layer")
+def profile_layer(spark, sf_dir):
+    """Every Silver table with its row and column counts."""
+    src = BridgeSources(spark, sf_dir)
+    return profile.layer_inventory(spark, {t: src.silver(t) for t in SOURCE_TABLES})
