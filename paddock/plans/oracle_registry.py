@@ -326,3 +326,18 @@ ORACLE["profile_layer"] = o.sql(
     ),
     *[f"s_{t}" for t in SOURCE_TABLES],
 )
+
+# --- streaming --------------------------------------------------------------------------------
+
+ORACLE["stream_hourly"] = """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+  event_type, count(*) AS events, round(sum(value), 2) AS value_sum
+FROM events GROUP BY 1, 2, 3"""
+ORACLE["stream_dedupe_upsert"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+ORACLE["stream_two_feeds"] = """WITH w AS (
+  SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS bucket_start, count(*) AS weather_readings,
+    round(avg(value), 6) AS weather_avg
+  FROM events WHERE event_type = 'purchase' GROUP BY 1)
+SELECT e.event_id, e.ts, e.event_type, e.value, time_bucket(INTERVAL 15 MINUTE, e.ts) AS bucket_start,
+  w.weather_readings, w.weather_avg
+FROM events e LEFT JOIN w ON time_bucket(INTERVAL 15 MINUTE, e.ts) = w.bucket_start
+WHERE e.event_type IN ('click', 'view')"""

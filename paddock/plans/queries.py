@@ -459,3 +459,56 @@ def profile_layer(spark, sf_dir):
     """Every Silver table with its row and column counts."""
     src = BridgeSources(spark, sf_dir)
     return profile.layer_inventory(spark, {t: src.silver(t) for t in SOURCE_TABLES})
+
+
+# --- streaming (replayed session) ----------------------------------------------------------
+
+from ..streaming import telemetry  # noqa: E402
+
+
+def _events(spark, sf_dir):
+    from ..sources.bridge import read_table
+
+    return read_table(spark, sf_dir, "events")
+
+
+@register("stream_hourly")
+def stream_hourly(spark, sf_dir):
+    """Replayed feed -> watermark + 1-hour windows per event
+    type -> update-mode upsert table; equals the batch aggregate."""
+    schema, root = telemetry.scratch_tables(spark, "hourly")
+    telemetry.land_replay(_events(spark, sf_dir), f"{root}/landing", chunks=6)
+    q = telemetry.hourly_telemetry(telemetry.replay_stream(spark, f"{root}/landing"), f"{schema}.hourly", f"{root}/ckpt")
+    q.awaitTermination()
+    return telemetry.read_table_fresh(spark, f"{schema}.hourly").drop("_batch")
+
+
+@register("stream_dedupe_upsert")
+def stream_dedupe_upsert(spark, sf_dir):
+    """Every slice delivered twice; the table still holds each event once."""
+    schema, root = telemetry.scratch_tables(spark, "dedupe")
+    telemetry.land_replay(_events(spark, sf_dir), f"{root}/landing", chunks=6, redeliver=True)
+    q = telemetry.dedupe_into_table(
+        telemetry.replay_stream(spark, f"{root}/landing", files_per_trigger=2),
+        f"{schema}.events", f"{schema}.batch_quality", f"{root}/ckpt",
+    )
+    q.awaitTermination()
+    return telemetry.read_table_fresh(spark, f"{schema}.events")
+
+
+@register("stream_two_feeds")
+def stream_two_feeds(spark, sf_dir):
+    """The slow feed (purchase readings) per 15-minute bucket, joined to
+    each event of the fast feed (clicks and views)."""
+    schema, root = telemetry.scratch_tables(spark, "feeds")
+    ev = _events(spark, sf_dir)
+    telemetry.land_replay(ev.where("event_type = 'purchase'"), f"{root}/weather", chunks=6)
+    telemetry.land_replay(ev.where("event_type IN ('click', 'view')"), f"{root}/telemetry", chunks=6)
+    telemetry.weather_buckets(
+        telemetry.replay_stream(spark, f"{root}/weather"), f"{schema}.weather", f"{root}/ckpt-weather"
+    ).awaitTermination()
+    telemetry.telemetry_with_weather(
+        telemetry.replay_stream(spark, f"{root}/telemetry"), f"{schema}.weather", f"{root}/joined",
+        f"{root}/ckpt-joined",
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/joined")
