@@ -34,8 +34,10 @@ def time_to_ms_sql(x: str) -> str:
     parts = f"split({x}, ':')"
     n = f"size({parts})"
     last = f"get({parts}, {n} - 1)"
-    whole = f"try_cast(get(split({last}, '[.]'), 0) AS BIGINT)"
-    frac = f"coalesce(try_cast(rpad(get(split({last}, '[.]'), 1), 3, '0') AS BIGINT), 0)"
+    # '\\.' (an escaped dot) takes Java's split fast path; '[.]' would
+    # compile a regex per row
+    whole = f"try_cast(get(split({last}, '\\\\.'), 0) AS BIGINT)"
+    frac = f"coalesce(try_cast(rpad(get(split({last}, '\\\\.'), 1), 3, '0') AS BIGINT), 0)"
     mins = f"coalesce(try_cast(get({parts}, {n} - 2) AS BIGINT), 0)"
     hours = f"coalesce(try_cast(get({parts}, {n} - 3) AS BIGINT), 0)"
     total = f"{hours} * 3600000 + {mins} * 60000 + {whole} * 1000 + {frac}"
@@ -62,8 +64,14 @@ def clean_wall_clock(c: str) -> Column:
 
 
 def parse_multi_format_date_sql(x: str, century_pivot: str = DEFAULT_CENTURY_PIVOT) -> str:
-    iso = f"try_to_date({x}, {lit_sql(ISO_DATE_FORMAT)})"
-    short = "coalesce(" + ", ".join(f"try_to_date({x}, {lit_sql(f)})" for f in SHORT_YEAR_DATE_FORMATS) + ")"
+    # A layout is only tried on text containing its separator: same result,
+    # but no parse (and no parse exception) for text that cannot match.
+    iso = f"(CASE WHEN instr({x}, '-') > 0 THEN try_to_date({x}, {lit_sql(ISO_DATE_FORMAT)}) END)"
+    short = (
+        f"(CASE WHEN instr({x}, '/') > 0 THEN coalesce("
+        + ", ".join(f"try_to_date({x}, {lit_sql(f)})" for f in SHORT_YEAR_DATE_FORMATS)
+        + ") END)"
+    )
     pivot = f"DATE {lit_sql(century_pivot)}"
     return f"coalesce({iso}, (CASE WHEN {short} > {pivot} THEN add_months({short}, -1200) ELSE {short} END))"
 

@@ -466,6 +466,10 @@ def profile_layer(spark, sf_dir):
 from ..streaming import telemetry  # noqa: E402
 
 
+def _cores(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _events(spark, sf_dir):
     from ..sources.bridge import read_table
 
@@ -477,8 +481,10 @@ def stream_hourly(spark, sf_dir):
     """Replayed feed -> watermark + 1-hour windows per event
     type -> update-mode upsert table; equals the batch aggregate."""
     schema, root = telemetry.scratch_tables(spark, "hourly")
-    telemetry.land_replay(_events(spark, sf_dir), f"{root}/landing", chunks=6)
-    q = telemetry.hourly_telemetry(telemetry.replay_stream(spark, f"{root}/landing"), f"{schema}.hourly", f"{root}/ckpt")
+    per = telemetry.land_replay(_events(spark, sf_dir), f"{root}/landing", chunks=6, files_per_slice=_cores(spark))
+    q = telemetry.hourly_telemetry(
+        telemetry.replay_stream(spark, f"{root}/landing", files_per_trigger=per), f"{schema}.hourly", f"{root}/ckpt"
+    )
     q.awaitTermination()
     return telemetry.read_table_fresh(spark, f"{schema}.hourly").drop("_batch")
 
@@ -487,9 +493,11 @@ def stream_hourly(spark, sf_dir):
 def stream_dedupe_upsert(spark, sf_dir):
     """Every slice delivered twice; the table still holds each event once."""
     schema, root = telemetry.scratch_tables(spark, "dedupe")
-    telemetry.land_replay(_events(spark, sf_dir), f"{root}/landing", chunks=6, redeliver=True)
+    per = telemetry.land_replay(
+        _events(spark, sf_dir), f"{root}/landing", chunks=6, redeliver=True, files_per_slice=_cores(spark)
+    )
     q = telemetry.dedupe_into_table(
-        telemetry.replay_stream(spark, f"{root}/landing", files_per_trigger=2),
+        telemetry.replay_stream(spark, f"{root}/landing", files_per_trigger=per),
         f"{schema}.events", f"{schema}.batch_quality", f"{root}/ckpt",
     )
     q.awaitTermination()
@@ -502,13 +510,14 @@ def stream_two_feeds(spark, sf_dir):
     each event of the fast feed (clicks and views)."""
     schema, root = telemetry.scratch_tables(spark, "feeds")
     ev = _events(spark, sf_dir)
-    telemetry.land_replay(ev.where("event_type = 'purchase'"), f"{root}/weather", chunks=6)
-    telemetry.land_replay(ev.where("event_type IN ('click', 'view')"), f"{root}/telemetry", chunks=6)
+    n = _cores(spark)
+    pw = telemetry.land_replay(ev.where("event_type = 'purchase'"), f"{root}/weather", chunks=6, files_per_slice=n)
+    pt = telemetry.land_replay(ev.where("event_type IN ('click', 'view')"), f"{root}/telemetry", chunks=6, files_per_slice=n)
     telemetry.weather_buckets(
-        telemetry.replay_stream(spark, f"{root}/weather"), f"{schema}.weather", f"{root}/ckpt-weather"
+        telemetry.replay_stream(spark, f"{root}/weather", files_per_trigger=pw), f"{schema}.weather", f"{root}/ckpt-weather"
     ).awaitTermination()
     telemetry.telemetry_with_weather(
-        telemetry.replay_stream(spark, f"{root}/telemetry"), f"{schema}.weather", f"{root}/joined",
+        telemetry.replay_stream(spark, f"{root}/telemetry", files_per_trigger=pt), f"{schema}.weather", f"{root}/joined",
         f"{root}/ckpt-joined",
     ).awaitTermination()
     return spark.read.parquet(f"{root}/joined")

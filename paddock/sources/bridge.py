@@ -29,11 +29,21 @@ _READS: dict[tuple[int, str], DataFrame] = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of a provided table; one DataFrame per session and path
-    so the file listing and footer read happen once."""
+    so the file listing and footer read happen once.
+
+    A scan with fewer splits than the cluster has cores (one file with one
+    row group, as in the provided tables) is spread round-robin over the
+    default parallelism, so the row-level work after it is not a single
+    task. A scan of many files is already parallel and is left alone.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        _READS[key] = df
     return _READS[key]
 
 

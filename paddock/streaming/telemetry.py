@@ -31,10 +31,14 @@ from ..sources.upsert import latest_per_key, new_rows
 LIVE_TRIGGER = "2 seconds"  # the 3-5 s event-to-table budget of the live feed
 
 
-def land_replay(events: DataFrame, folder: str, chunks: int = 6, redeliver: bool = False) -> None:
+def land_replay(
+    events: DataFrame, folder: str, chunks: int = 6, redeliver: bool = False, files_per_slice: int = 1
+) -> int:
     """Write ``events`` as ``chunks`` slices in event-time order (one write
-    per time slice, so file modification times follow event time). With
-    ``redeliver`` every slice lands twice, like a producer retrying."""
+    per time slice, so file modification times follow event time), each
+    slice as ``files_per_slice`` files. With ``redeliver`` every slice
+    lands twice, like a producer retrying. Returns the files per delivery,
+    the ``maxFilesPerTrigger`` that makes one micro-batch per slice."""
     bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     lo, hi = bounds.lo, bounds.hi
     step = (hi - lo) / chunks
@@ -48,7 +52,8 @@ def land_replay(events: DataFrame, folder: str, chunks: int = 6, redeliver: bool
         if i < chunks - 1:
             cond = cond & (F.col("ts") < at(start + step))
         for _ in range(2 if redeliver else 1):
-            events.where(cond).write.mode("append").parquet(folder)
+            events.where(cond).repartition(files_per_slice).write.mode("append").parquet(folder)
+    return files_per_slice * (2 if redeliver else 1)
 
 
 def replay_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
