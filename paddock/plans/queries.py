@@ -275,14 +275,22 @@ def ingest_report(spark, sf_dir):
     return out
 
 
+_LAYER_ROOTS: dict[str, str] = {}
+
+
 def _layers(spark, name):
     root = scratch_path(spark, name)
     suffix = root.rsplit("-", 1)[-1]
     names = {layer: f"{layer}_{suffix}" for layer in catalog.LAYERS}
     catalog.create_layers(spark, names.values(), root)
+    _LAYER_ROOTS[names["bronze"]] = root
     return names
 
 
+def _layer_root(names):
+    return _LAYER_ROOTS[names["bronze"]]
+
+
 @register("layered_master")
 def layered_master(spark, sf_dir):
     """The full layer build through the catalog:
@@ -292,6 +300,7 @@ def layered_master(spark, sf_dir):
     src = BridgeSources(spark, sf_dir)
     for t in SOURCE_TABLES:
         catalog.send_to_schema(catalog.stamp(src.bronze(t), "ingested_at"), t, names["bronze"])
+    catalog.reset_layer(spark, names["silver"], _layer_root(names))  # S10: rebuild Silver from scratch
     tables = catalog.build_silver(spark, names["bronze"], names["silver"])
     catalog.silver_gate(spark, names["silver"], tables)
     catalog.build_gold(spark, names["silver"], names["gold"])

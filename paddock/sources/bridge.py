@@ -31,22 +31,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of a provided table; one DataFrame per session and path
     so the file listing and footer read happen once.
 
-    A scan with fewer splits than the cluster has cores (one file with one
-    row group, as in the provided tables) is spread round-robin over the
-    default parallelism, so the row-level work after it is not a single
-    task. A scan of many files is already parallel and is left alone.
+    A scan of at least ``SPREAD_MIN_BYTES`` with fewer splits than the
+    cluster has cores (one file with one row group, as in the provided
+    tables) is spread round-robin over the default parallelism, so the
+    row-level work after it is not a single task. A scan of many files is
+    already parallel, and a tiny one is not worth a shuffle; both are left
+    alone.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _READS:
         df = spark.read.parquet(path)
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        if _size_bytes(spark, path) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         _READS[key] = df
     return _READS[key]
 
 
+SPREAD_MIN_BYTES = 512 * 1024
+
+
+def _size_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` via the Hadoop FileSystem (works on object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def _duration_text(price: str, style: str) -> str:
     """Lap-time-like text from a price: ``m:ss.fff`` (style 0), ``ss.fff``
     (1), ``m:ss.f`` (2) or whole seconds (otherwise)."""
