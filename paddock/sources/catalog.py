@@ -41,9 +41,18 @@ def list_tables(spark: SparkSession, schema: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
 
 
+def table_format(spark: SparkSession) -> str:
+    """``delta`` when the Delta Lake classes are on the classpath, else ``parquet``."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("io.delta.tables.DeltaTable")
+        return "delta"
+    except Exception:  # noqa: BLE001 - jar absent
+        return "parquet"
+
+
 def send_to_schema(df: DataFrame, table: str, schema: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite ``schema.table`` (Parquet; Delta where that jar is present)."""
-    w = df.write.mode("overwrite")
+    """Overwrite ``schema.table`` (Delta where that jar is present, else Parquet)."""
+    w = df.write.format(table_format(df.sparkSession)).mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(f"{schema}.{table}")

@@ -33,9 +33,28 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     ).select(*df.columns)
 
 
+def _is_delta(spark: SparkSession, table: str) -> bool:
+    try:
+        return spark.sql(f"DESCRIBE DETAIL {table}").first()["format"] == "delta"
+    except Exception:  # noqa: BLE001 - not a Delta table or no Delta support
+        return False
+
+
+def merge_insert_only(spark: SparkSession, table: str, incoming: DataFrame, keys: list[str]) -> None:
+    """``MERGE INTO ... WHEN NOT MATCHED THEN INSERT`` for Delta tables."""
+    view = f"_incoming_{abs(hash((table, tuple(keys)))) % 10**8}"
+    incoming.createOrReplaceTempView(view)
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} WHEN NOT MATCHED THEN INSERT *")
+
+
 def upsert_insert_only(spark: SparkSession, table: str, incoming: DataFrame, keys: list[str]) -> int:
     """Append rows with new keys to ``table`` (created if missing); returns
-    the number of appended rows."""
+    the number of appended rows. A Delta table takes a real ``MERGE``."""
+    if spark.catalog.tableExists(table) and _is_delta(spark, table):
+        before = spark.table(table).count()
+        merge_insert_only(spark, table, incoming, keys)
+        return spark.table(table).count() - before
     if not spark.catalog.tableExists(table):
         incoming.write.saveAsTable(table)
         return spark.table(table).count()
