@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SENT = r"'\\N'"
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     alone.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _READS:
         df = spark.read.parquet(path)
         cores = spark.sparkContext.defaultParallelism
