@@ -495,7 +495,7 @@ def stream_hourly(spark, sf_dir):
         telemetry.replay_stream(spark, f"{root}/landing", files_per_trigger=per), f"{schema}.hourly", f"{root}/ckpt"
     )
     q.awaitTermination()
-    return telemetry.read_table_fresh(spark, f"{schema}.hourly").drop("_batch")
+    return telemetry.read_table_fresh(spark, f"{schema}.hourly").drop("_batch", "window_date")
 
 
 @register("stream_dedupe_upsert")
@@ -510,7 +510,7 @@ def stream_dedupe_upsert(spark, sf_dir):
         f"{schema}.events", f"{schema}.batch_quality", f"{root}/ckpt",
     )
     q.awaitTermination()
-    return telemetry.read_table_fresh(spark, f"{schema}.events")
+    return telemetry.read_table_fresh(spark, f"{schema}.events").drop("event_date")
 
 
 @register("stream_two_feeds")
