@@ -301,7 +301,7 @@ def layered_master(spark, sf_dir):
     for t in SOURCE_TABLES:
         catalog.send_to_schema(catalog.stamp(src.bronze(t), "ingested_at"), t, names["bronze"])
     catalog.reset_layer(spark, names["silver"], _layer_root(names))  # S10: rebuild Silver from scratch
-    tables = catalog.build_silver(spark, names["bronze"], names["silver"])
+    tables = catalog.build_silver(spark, names["bronze"], names["silver"], race_buckets=_cores(spark))
     catalog.silver_gate(spark, names["silver"], tables)
     catalog.build_gold(spark, names["silver"], names["gold"])
     view = f"{names['dashboard']}_"
