@@ -196,20 +196,20 @@ FROM lineitem""",
 cte(
     "b_race_data_driver_standings",
     f"""SELECT l_orderkey AS raceid, l_suppkey AS driverid,
-  floor(l_extendedprice / 10) / 100.0 AS points,
-  CASE WHEN l_returnflag = 'R' THEN {SENT} ELSE CAST(l_linenumber AS VARCHAR) END AS position,
-  CASE WHEN l_returnflag = 'R' THEN '-' ELSE CAST(l_linenumber AS VARCHAR) END AS positiontext,
-  CAST(round(l_discount * 100) AS INTEGER) AS wins
-FROM lineitem""",
+  CAST(floor(max(l_extendedprice) / 10) AS DOUBLE) / 100 AS points,
+  CASE WHEN count(*) FILTER (WHERE l_returnflag = 'R') > 0 THEN {SENT} ELSE CAST(min(l_linenumber) AS VARCHAR) END AS position,
+  CASE WHEN count(*) FILTER (WHERE l_returnflag = 'R') > 0 THEN '-' ELSE CAST(min(l_linenumber) AS VARCHAR) END AS positiontext,
+  max(CAST(round(l_discount * 100) AS INTEGER)) AS wins
+FROM lineitem GROUP BY l_orderkey, l_suppkey""",
 )
 
 cte(
     "b_race_data_constructor_standings",
-    """SELECT l_orderkey AS raceid, l_partkey AS constructorid, l_quantity AS points,
-  CAST(l_linenumber AS VARCHAR) AS position,
-  CASE WHEN l_linestatus = 'F' THEN 'E' ELSE CAST(l_linenumber AS VARCHAR) END AS positiontext,
-  CAST(round(l_tax * 100) AS INTEGER) AS wins
-FROM lineitem""",
+    """SELECT l_orderkey AS raceid, l_partkey AS constructorid, max(l_quantity) AS points,
+  CAST(min(l_linenumber) AS VARCHAR) AS position,
+  CASE WHEN count(*) FILTER (WHERE l_linestatus = 'F') > 0 THEN 'E' ELSE CAST(min(l_linenumber) AS VARCHAR) END AS positiontext,
+  max(CAST(round(l_tax * 100) AS INTEGER)) AS wins
+FROM lineitem GROUP BY l_orderkey, l_partkey""",
 )
 
 cte(

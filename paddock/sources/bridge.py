@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SENT = r"'\\N'"
 
@@ -255,30 +256,6 @@ BRONZE_SQL: dict[str, tuple[str, str | None, list[str]]] = {
             "CAST(CAST(floor(l_discount * 100000) AS BIGINT) AS STRING) AS milliseconds",
         ],
     ),
-    "race_data_driver_standings": (
-        "lineitem",
-        None,
-        [
-            "l_orderkey AS raceid",
-            "l_suppkey AS driverid",
-            "CAST(floor(l_extendedprice / 10) AS DOUBLE) / 100 AS points",
-            f"CASE WHEN l_returnflag = 'R' THEN {SENT} ELSE CAST(l_linenumber AS STRING) END AS position",
-            "CASE WHEN l_returnflag = 'R' THEN '-' ELSE CAST(l_linenumber AS STRING) END AS positiontext",
-            "CAST(round(l_discount * 100) AS INT) AS wins",
-        ],
-    ),
-    "race_data_constructor_standings": (
-        "lineitem",
-        None,
-        [
-            "l_orderkey AS raceid",
-            "l_partkey AS constructorid",
-            "l_quantity AS points",
-            "CAST(l_linenumber AS STRING) AS position",
-            "CASE WHEN l_linestatus = 'F' THEN 'E' ELSE CAST(l_linenumber AS STRING) END AS positiontext",
-            "CAST(round(l_tax * 100) AS INT) AS wins",
-        ],
-    ),
     "race_data_constructor_results": (
         "lineitem",
         None,
@@ -339,6 +316,38 @@ BRONZE_SQL: dict[str, tuple[str, str | None, list[str]]] = {
 }
 
 
+# Standings are snapshots: one row per race and driver (team), so they are
+# derived with a keyed aggregate (order-independent min/max, exact in any
+# engine) and the dashboard's left joins on them are N:1.
+STANDINGS_SQL: dict[str, tuple[list[str], list[str]]] = {
+    "race_data_driver_standings": (
+        ["l_orderkey AS raceid", "l_suppkey AS driverid"],
+        [
+            "CAST(floor(max(l_extendedprice) / 10) AS DOUBLE) / 100 AS points",
+            f"CASE WHEN count_if(l_returnflag = 'R') > 0 THEN {SENT} ELSE CAST(min(l_linenumber) AS STRING) END AS position",
+            "CASE WHEN count_if(l_returnflag = 'R') > 0 THEN '-' ELSE CAST(min(l_linenumber) AS STRING) END AS positiontext",
+            "max(CAST(round(l_discount * 100) AS INT)) AS wins",
+        ],
+    ),
+    "race_data_constructor_standings": (
+        ["l_orderkey AS raceid", "l_partkey AS constructorid"],
+        [
+            "max(l_quantity) AS points",
+            "CAST(min(l_linenumber) AS STRING) AS position",
+            "CASE WHEN count_if(l_linestatus = 'F') > 0 THEN 'E' ELSE CAST(min(l_linenumber) AS STRING) END AS positiontext",
+            "max(CAST(round(l_tax * 100) AS INT)) AS wins",
+        ],
+    ),
+}
+
+
+def _standings(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    keys, aggs = STANDINGS_SQL[name]
+    li = read_table(spark, sf_dir, "lineitem")
+    key_names = [k.rsplit(" AS ", 1)[1] for k in keys]
+    return li.selectExpr(*keys, "*").groupBy(*key_names).agg(*[F.expr(a) for a in aggs])
+
+
 def _seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row per season; the partial aggregate per task keeps the shuffle tiny
     return read_table(spark, sf_dir, "orders").selectExpr("year(o_orderdate) AS year").distinct()
@@ -347,6 +356,8 @@ def _seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "race_data_seasons":
         return _seasons(spark, sf_dir)
+    if name in STANDINGS_SQL:
+        return _standings(spark, sf_dir, name)
     source, where, projection = BRONZE_SQL[name]
     df = read_table(spark, sf_dir, source)
     if where:
@@ -354,7 +365,7 @@ def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.selectExpr(*projection)
 
 
-BRONZE_TABLES: tuple[str, ...] = tuple(sorted([*BRONZE_SQL, "race_data_seasons"]))
+BRONZE_TABLES: tuple[str, ...] = tuple(sorted([*BRONZE_SQL, *STANDINGS_SQL, "race_data_seasons"]))
 BRONZE_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     n: (lambda spark, sf_dir, _n=n: bronze(spark, sf_dir, _n)) for n in BRONZE_TABLES
 }
