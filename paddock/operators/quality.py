@@ -31,7 +31,7 @@ from ..functions._col import ident, lit_sql
 
 @dataclass(frozen=True)
 class Check:
-    kind: str  # not_null | of_type | in_set | not_match | match | between | absent
+    kind: str  # not_null | of_type | in_set | not_match | match | between | absent | unique
     column: str
     arg: object = None
 
@@ -45,6 +45,7 @@ REASONS = {
     "match": "Column contains values that do not match the expected format; a date or string cast may have failed.",
     "between": "Column contains values outside the expected numeric range.",
     "absent": "Column is still present; the drop rule may not have run.",
+    "unique": "Key is not unique; joins on it would fan out or merge rows.",
     "missing": "Execution error: column not found.",
 }
 
@@ -56,6 +57,7 @@ CHECK_NAMES = {
     "match": "expect_match_regex",
     "between": "expect_between",
     "absent": "expect_column_absent",
+    "unique": "expect_unique",
 }
 
 # Patterns used by the suites.
@@ -125,6 +127,17 @@ SUITES: dict[str, list[Check]] = {
     "race_events_safety_cars": _nn("race", "cause", "deployed") + [Check("not_match", "cause", CAUSE_LEFTOVER)],
 }
 
+# Gold suites: keys the star schema joins on must be unique (a second
+# race of the same name in a season would make ``race_key`` fan out).
+GOLD_SUITES: dict[str, list[Check]] = {
+    "dim_races": [Check("unique", "race_id"), Check("unique", "race_key")],
+    "dim_drivers": [Check("unique", "driver_id")],
+    "dim_teams": [Check("unique", "team_id")],
+    "dim_circuits": [Check("unique", "circuit_id")],
+    "standings_drivers": [Check("unique", "race_id,driver_id")],
+    "standings_teams": [Check("unique", "race_id,team_id")],
+}
+
 # Checks every table gets, and the races-only one.
 GLOBAL_CHECKS = [Check("absent", "url")]
 TABLE_GLOBAL_CHECKS = {"race_data_races": [Check("absent", "year")]}
@@ -169,6 +182,8 @@ def expected_hint(check: Check) -> str:
         return f"between {check.arg[0]} and {check.arg[1]}"
     if check.kind == "absent":
         return "column absent"
+    if check.kind == "unique":
+        return f"unique ({check.column})"
     return "no NULL values"
 
 
@@ -189,6 +204,14 @@ def check_table(df: DataFrame, table: str, checks: list[Check] | None = None) ->
         if chk.kind == "absent":
             ok = chk.column not in fields
             rows.append(f"{meta}, CAST(NULL AS BIGINT), {str(ok).lower()}, {lit_sql(REASONS['absent'])}, {hint}, CAST(NULL AS STRING)")
+        elif chk.kind == "unique":
+            cols = chk.column.split(",")
+            if not all(c in fields for c in cols):
+                rows.append(f"{meta}, CAST(NULL AS BIGINT), false, {lit_sql(REASONS['missing'])}, {hint}, CAST(NULL AS STRING)")
+                continue
+            # rows beyond the first per key (one more aggregate in the same pass)
+            aggs.append(f"count(1) - count(DISTINCT {', '.join(ident(c) for c in cols)}) AS n{i}")
+            rows.append(f"{meta}, n{i}, n{i} = 0, {lit_sql(REASONS['unique'])}, {hint}, CAST(NULL AS STRING)")
         elif chk.column not in fields:
             rows.append(f"{meta}, CAST(NULL AS BIGINT), false, {lit_sql(REASONS['missing'])}, {hint}, CAST(NULL AS STRING)")
         elif chk.kind == "of_type":

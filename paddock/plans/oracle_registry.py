@@ -341,3 +341,22 @@ SELECT e.event_id, e.ts, e.event_type, e.value, time_bucket(INTERVAL 15 MINUTE,
   w.weather_readings, w.weather_avg
 FROM events e LEFT JOIN w ON time_bucket(INTERVAL 15 MINUTE, e.ts) = w.bucket_start
 WHERE e.event_type IN ('click', 'view')"""
+
+
+def _gold_dq() -> tuple[str, list[str]]:
+    parts, deps = [], []
+    for m, checks in sorted(_q.GOLD_SUITES.items()):
+        for chk in checks:
+            cols = ", ".join(chk.column.split(","))
+            parts.append(
+                f"SELECT {_dlit(m)} AS table_name, {_dlit(_q.CHECK_NAMES[chk.kind])} AS check_name, "
+                f"{_dlit(chk.column)} AS column_name, count(*) - count(DISTINCT ({cols})) AS unexpected_count, "
+                f"count(*) - count(DISTINCT ({cols})) = 0 AS success, {_dlit(_q.REASONS['unique'])} AS reason, "
+                f"{_dlit(_q.expected_hint(chk))} AS expected, CAST(NULL AS VARCHAR) AS first_example FROM {m}"
+            )
+            deps.append(m)
+    return "\nUNION ALL\n".join(parts), deps
+
+
+_gold_body, _gold_deps = _gold_dq()
+ORACLE["dq_gold_report"] = o.sql(_gold_body, *_gold_deps)

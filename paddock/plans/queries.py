@@ -179,6 +179,16 @@ def dq_table_verdicts(spark, sf_dir):
     return quality.table_verdicts(quality.check_tables(src.bronze, SOURCE_TABLES))
 
 
+@register("dq_gold_report")
+def dq_gold_report(spark, sf_dir):
+    """V-suites on Gold: the join keys of the star schema are unique."""
+    g = gold_models(spark, sf_dir)
+    from functools import reduce
+
+    parts = [quality.check_table(g.ref(m), m, checks) for m, checks in sorted(quality.GOLD_SUITES.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("dq_failure_examples")
 def dq_failure_examples(spark, sf_dir):
     """Up to five smallest offending values per failed Bronze value check."""
