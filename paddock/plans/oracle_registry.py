@@ -204,6 +204,9 @@ ORACLE["ingest_report"] = """SELECT 'succeeded' AS status, 'orders.csv' AS file_
   false AS has_reason, (SELECT count(*) FROM orders) AS row_count
 UNION ALL SELECT 'skipped', 'nation.csv', 'landing_nation', false, CAST(NULL AS BIGINT)
 UNION ALL SELECT 'failed', 'region.csv', 'landing_region', true, CAST(NULL AS BIGINT)"""
+ORACLE["ingest_summary"] = """SELECT 'succeeded' AS status, CAST(1 AS BIGINT) AS files, 'orders.csv' AS file_names
+UNION ALL SELECT 'skipped', 1, 'nation.csv'
+UNION ALL SELECT 'failed', 1, 'region.csv'"""
 ORACLE["layered_master"] = ORACLE["historical_master"]
 
 _LI = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate"

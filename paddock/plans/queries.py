@@ -253,11 +253,9 @@ def read_nation(spark, sf_dir):
     return read_table(spark, sf_dir, "nation")
 
 
-@register("ingest_report")
-def ingest_report(spark, sf_dir):
-    """Three landing files ingested concurrently: one
-    new, one whose table exists (skipped), one that fails its declared
-    schema; report plus row counts of what landed."""
+def _run_ingest(spark, sf_dir):
+    """Land orders, nation and region as CSV, pre-create the nation table,
+    ingest all three (region against a wrong declared schema)."""
     from ..sources.bridge import read_table
 
     root = scratch_path(spark, "ingest")
@@ -272,6 +270,16 @@ def ingest_report(spark, sf_dir):
     report = ingest.ingest_files(
         spark, files, schema_name, schemas={"landing_region": bad_region}, mode="FAILFAST"
     )
+    assert len(errors) == 1, errors  # the missing folder is reported, not raised
+    return report, schema_name
+
+
+@register("ingest_report")
+def ingest_report(spark, sf_dir):
+    """Three landing files ingested concurrently:
+    one new, one whose table exists (skipped), one that fails its declared
+    schema; report plus row counts of what landed."""
+    report, schema_name = _run_ingest(spark, sf_dir)
     counts = {
         r.table_name: spark.table(f"{schema_name}.{r.table_name}").count()
         for r in report.where("status = 'succeeded'").collect()
@@ -281,10 +289,18 @@ def ingest_report(spark, sf_dir):
         "status", "file_name", "table_name", F.col("reason").isNotNull().alias("has_reason"),
         (count_col[F.col("table_name")] if count_col is not None else F.lit(None)).cast("bigint").alias("row_count"),
     )
-    assert len(errors) == 1, errors  # the missing folder is reported, not raised
     return out
 
 
+@register("ingest_summary")
+def ingest_summary(spark, sf_dir):
+    """The run summary, files and file names per status."""
+    report, _ = _run_ingest(spark, sf_dir)
+    return ingest.report_summary(report).select(
+        "status", "files", F.array_join("file_names", ", ").alias("file_names")
+    )
+
+
 _LAYER_ROOTS: dict[str, str] = {}
 
 
