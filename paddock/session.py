@@ -14,16 +14,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Defaults applied only when the launcher did not set them. Sized for a
-# local[8] run; a cluster sets its own shuffle width and memory.
+# SQL defaults, applied only to keys the launcher did not set.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Whole-stage methods over 8000 bytecode bytes are never JIT-compiled by
     # HotSpot; above this limit Spark splits the stage instead (measured 3x
@@ -31,27 +28,40 @@ _DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Only for a local session this module starts itself.
+_LOCAL_ONLY = {
+    "spark.ui.enabled": "false",
+}
+
 
 def get_session(master: str | None = None, app: str = "paddock") -> SparkSession:
-    """Return the active session or build one with the engine defaults."""
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get(
-        "PYSPARK_SUBMIT_ARGS", ""
-    ):
-        builder = builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
-    for k, v in _DEFAULTS.items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", os.environ.get("PADDOCK_DRIVER_MEMORY", "16g"))
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    """Return the active session or build one, then fill in the engine's
+    SQL defaults for keys the launcher left unset. The shuffle width
+    defaults to the cluster's parallelism (AQE coalesces from there)."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        builder = SparkSession.builder.appName(app)
+        launched = bool(os.environ.get("SPARK_MASTER")) or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+        if master or not launched:
+            builder = builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+            for k, v in _LOCAL_ONLY.items():
+                builder = builder.config(k, v)
+            builder = builder.config("spark.driver.memory", os.environ.get("PADDOCK_DRIVER_MEMORY", "16g"))
+        spark = builder.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    apply_defaults(spark)
     return spark
 
 
+def apply_defaults(spark: SparkSession) -> None:
+    conf = spark.sparkContext.getConf()
+    for k, v in _DEFAULTS.items():
+        if not conf.contains(k):
+            spark.conf.set(k, v)
+    if not conf.contains("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 

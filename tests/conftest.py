@@ -11,13 +11,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from paddock.session import _DEFAULTS
+    from paddock.session import apply_defaults
 
-    b = SparkSession.builder.master("local[4]").appName("paddock-tests")
-    for k, v in _DEFAULTS.items():
-        b = b.config(k, v)
+    b = SparkSession.builder.master("local[4]").appName("paddock-tests").config("spark.ui.enabled", "false")
     b = b.config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
     s = b.getOrCreate()
+    apply_defaults(s)
     s.sparkContext.setLogLevel("ERROR")
     # set a checkpoint folder only where the launcher did not name one
     if not s.conf.get("spark.checkpoint.dir", None):
