@@ -201,6 +201,8 @@ def dq_failure_examples(spark, sf_dir):
     for r in failed:
         by_table.setdefault(r.table_name, []).append((r.check_name, r.column_name))
     parts = [quality.failure_examples(src.bronze(t), t, keys) for t, keys in sorted(by_table.items())]
+    if not parts:  # nothing failed: an empty result with the same columns
+        return quality.failure_examples(src.bronze(SOURCE_TABLES[0]), SOURCE_TABLES[0], [])
     from functools import reduce
     return reduce(DataFrame.unionByName, parts)
 

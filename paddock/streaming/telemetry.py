@@ -41,6 +41,8 @@ def land_replay(
     the ``maxFilesPerTrigger`` that makes one micro-batch per slice."""
     bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     lo, hi = bounds.lo, bounds.hi
+    if lo is None:  # an empty feed lands nothing
+        return files_per_slice * (2 if redeliver else 1)
     step = (hi - lo) / chunks
 
     def at(t) -> F.Column:
