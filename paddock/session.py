@@ -31,6 +31,8 @@ _DEFAULTS = {
 # Only for a local session this module starts itself.
 _LOCAL_ONLY = {
     "spark.ui.enabled": "false",
+    # concurrent ingest / layer jobs from driver threads share the cores fairly
+    "spark.scheduler.mode": "FAIR",
 }
 
 
