@@ -172,6 +172,31 @@ def pit_aggregates(pit_facts: DataFrame) -> DataFrame:
     )
 
 
+def pit_aggregates_eager(pit_stops: DataFrame, races_dim: DataFrame, drivers: DataFrame) -> DataFrame:
+    """``pit_aggregates(fact_pit_stops(...))`` with the aggregation pushed
+    below the joins.
+
+    Stops are grouped per (race, driver) first (map-side combine, one
+    shuffle of the stops); the small result is then joined to the number
+    of matching race and driver rows, and counts and sums are scaled by
+    those multiplicities. The numbers equal joining first and aggregating
+    after for any key multiplicity, while the full-size stops table is
+    shuffled once instead of once per join.
+    """
+    per_key = pit_stops.groupBy(F.col("raceid").alias("race_id"), F.col("driverid").alias("driver_id")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("duration").alias("_ms")
+    )
+    races = races_dim.groupBy(F.col("race_id").alias("_rid")).agg(F.count(F.lit(1)).alias("_rn"))
+    drivers_n = drivers.groupBy(F.col("driverid").alias("_did")).agg(F.count(F.lit(1)).alias("_dn"))
+    j = per_key.join(races, F.col("race_id") == F.col("_rid")).join(drivers_n, F.col("driver_id") == F.col("_did"))
+    mult = F.col("_rn") * F.col("_dn")
+    return j.select(
+        "race_id", "driver_id",
+        (F.col("_n") * mult).alias("pit_stop_count"),
+        (F.col("_ms") * mult).alias("total_pit_time_ms"),
+    )
+
+
 def _results_core(results: DataFrame, races_dim, drivers, constructors, status, broadcast_rows) -> DataFrame:
     return (
         _with_race_and_driver(results, races_dim, drivers)
@@ -186,10 +211,15 @@ def fact_results(
     drivers: DataFrame,
     constructors: DataFrame,
     status: DataFrame,
-    pit_facts: DataFrame,
+    pit_stops: DataFrame,
     broadcast_rows: int | None = None,
 ) -> DataFrame:
-    pa = pit_aggregates(pit_facts).withColumnsRenamed({"race_id": "pa_race_id", "driver_id": "pa_driver_id"})
+    """``pit_stops`` are the Silver stops; their per-(race, driver)
+    aggregates equal those of the ``fact_pit_stops`` model (see
+    ``pit_aggregates_eager``)."""
+    pa = pit_aggregates_eager(pit_stops, races_dim, drivers).withColumnsRenamed(
+        {"race_id": "pa_race_id", "driver_id": "pa_driver_id"}
+    )
     j = _results_core(results, races_dim, drivers, constructors, status, broadcast_rows).join(
         pa, (F.col("race_id") == F.col("pa_race_id")) & (F.col("driverid") == F.col("pa_driver_id")), "left"
     )
@@ -398,7 +428,7 @@ class GoldModels:
             self.source("race_data_drivers"),
             self.source("race_data_constructors"),
             self.source("race_data_status"),
-            self.ref("fact_pit_stops"),
+            self.source("race_data_pit_stops"),
             self.broadcast_rows,
         )
 

@@ -94,3 +94,19 @@ def test_quality_silver_passes_bronze_fails(spark, gold):
     quality.gate(s_report)
     with pytest.raises(quality.QualityGateError):
         quality.gate(b_report)
+
+
+def test_eager_pit_aggregates_equal_join_then_aggregate(spark):
+    from paddock.plans.gold import fact_pit_stops, pit_aggregates, pit_aggregates_eager
+
+    stops = spark.createDataFrame(
+        [(1, 7, 1, 10, "t", 100, "x"), (1, 7, 2, 20, "t", None, "x"), (2, 7, 1, 5, "t", 300, "x"), (3, 9, 1, 1, "t", 5, "x")],
+        "raceid int, driverid int, stop int, lap int, time string, duration int, milliseconds string",
+    )
+    # race 1 appears twice in the dimension and driver 9 is missing: both must behave like the joins
+    races = spark.createDataFrame([(1, "k1", 2024), (1, "k1b", 2024), (2, "k2", 2024), (3, "k3", 2024)],
+                                  "race_id int, race_key string, year int")
+    drivers = spark.createDataFrame([(7, "A", "B")], "driverid int, forename string, surname string")
+    want = sorted(tuple(r) for r in pit_aggregates(fact_pit_stops(stops, races, drivers)).collect())
+    got = sorted(tuple(r) for r in pit_aggregates_eager(stops, races, drivers).collect())
+    assert got == want == [(1, 7, 4, 200), (2, 7, 1, 300)]
