@@ -74,10 +74,25 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, schema: str) ->
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("m")).select("m.*")
 
 
-def _run(writer, checkpoint: str, live: bool) -> StreamingQuery:
+def _run(writer, checkpoint: str, live: bool, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a query with its checkpoint in the shared folder.
+
+    The number of state-store partitions is fixed by the shuffle width in
+    force when a query first starts (and then kept in its checkpoint); it
+    is pinned here to ``state_partitions`` (default: the cluster's
+    parallelism) so a session-wide shuffle width meant for batch jobs does
+    not decide it.
+    """
+    spark = SparkSession.getActiveSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=LIVE_TRIGGER) if live else writer.trigger(availableNow=True)
-    return writer.start()
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def _touched(batch: DataFrame, part: str) -> list:
