@@ -33,6 +33,8 @@ _LOCAL_ONLY = {
     "spark.ui.enabled": "false",
     # concurrent ingest / layer jobs from driver threads share the cores fairly
     "spark.scheduler.mode": "FAIR",
+    # remove reliable-checkpoint files once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
