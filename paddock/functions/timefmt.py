@@ -86,9 +86,13 @@ def parse_multi_format_date(c: str, century_pivot: str = DEFAULT_CENTURY_PIVOT)
     return F.expr(parse_multi_format_date_sql(col_sql(c), century_pivot))
 
 
+def season_start_sql(x: str) -> str:
+    return f"make_date({x}, 1, 1)"
+
+
 def year_to_season_start(c: str) -> Column:
     """Integer season year to the first day of that year."""
-    return F.expr(f"make_date({col_sql(c)}, 1, 1)")
+    return F.expr(season_start_sql(col_sql(c)))
 
 
 def session_timestamp(date_col: str, time_col: str) -> Column:

@@ -28,6 +28,7 @@ from ..functions.timefmt import (
     DEFAULT_CENTURY_PIVOT,
     clean_wall_clock_sql,
     parse_multi_format_date_sql,
+    season_start_sql,
     time_to_ms_sql,
 )
 
@@ -137,7 +138,7 @@ def sprint_results_rules(df: DataFrame) -> DataFrame:
 
 
 def seasons_rules(df: DataFrame) -> DataFrame:
-    return _rewrite(df, {"year": "make_date(`year`, 1, 1)"})
+    return _rewrite(df, {"year": season_start_sql("`year`")})
 
 
 def safety_cars_rules(df: DataFrame) -> DataFrame:

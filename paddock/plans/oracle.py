@@ -8,8 +8,6 @@ provided tables, independently of the Spark code.
 
 from __future__ import annotations
 
-import re
-
 SENT = r"'\N'"
 
 # name -> (sql body, dependencies)
@@ -635,7 +633,3 @@ FROM event_fatal_accidents""",
 
 def select_all(name: str) -> str:
     return sql(f"SELECT * FROM {name}", name)
-
-
-def strip_ws(s: str) -> str:
-    return re.sub(r"\s+", " ", s).strip()

@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 SENT = r"'\\N'"
 
 _READS: dict[tuple[str, int, str], DataFrame] = {}
@@ -34,10 +36,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     A scan of at least ``SPREAD_MIN_BYTES`` with fewer splits than the
     cluster has cores (one file with one row group, as in the provided
-    tables) is spread round-robin over the default parallelism, so the
-    row-level work after it is not a single task. A scan of many files is
-    already parallel, and a tiny one is not worth a shuffle; both are left
-    alone.
+    tables) is re-split once per session into a staged Parquet copy with
+    one file per core, so the row-level work after it is not a single task
+    and no query pays a spread shuffle. A scan of many files is already
+    parallel, and a tiny one is not worth it; both are read as they are.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, id(spark), path)
@@ -45,7 +47,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = spark.read.parquet(path)
         cores = spark.sparkContext.defaultParallelism
         if _size_bytes(spark, path) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
+            # re-split once per session into a staged copy (one file per
+            # core) in the shared scratch folder; later scans of it are
+            # parallel and keep column pruning and filter pushdown
+            staged = scratch_path(spark, f"staged-{name}")
+            df.repartition(cores).write.parquet(staged)
+            df = spark.read.parquet(staged)
         _READS[key] = df
     return _READS[key]
 
