@@ -93,3 +93,14 @@ def test_checked_broadcast_bound(spark):
         assert "SortMergeJoin" in plan  # over the bound: no forced broadcast
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sequence_numbers_descending_rank(spark):
+    # the season ranking: descending score, ties broken by id, one season holding most rows
+    rows = [(2001, i, float(i % 17)) for i in range(300)] + [(2000, i, float(i % 5)) for i in range(30)]
+    df = spark.createDataFrame(rows, "season int, driver_id int, score double")
+    order = [F.desc("score"), F.asc("driver_id")]
+    got = sorted(tuple(r) for r in sequence_numbers(df, "season", order, partitions=5).select("season", "driver_id", "seq").collect())
+    w = Window.partitionBy("season").orderBy(*order)
+    want = sorted(tuple(r) for r in df.select("season", "driver_id", F.row_number().over(w).alias("seq")).collect())
+    assert got == want
