@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import to_silver
-from ..operators.quality import check_tables, gate
+from ..operators.quality import check_tables, gate, table_verdicts
 from ..plans import views
 from ..plans.gold import GOLD_MODELS, GoldModels
 from .registry import CatalogSources
@@ -114,6 +114,13 @@ def build_silver(
     return _concurrently(one, names, workers)
 
 
+def validate_layer(spark: SparkSession, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Run the suites over every table of a layer; returns the check
+    report and the passed/failed verdict per table."""
+    report = check_tables(CatalogSources(spark, schema), list_tables(spark, schema))
+    return report, table_verdicts(report)
+
+
 def silver_gate(spark: SparkSession, silver: str, tables: Iterable[str]) -> DataFrame:
     """Run the suites on Silver; raise if any check failed, else return the report."""
     report = check_tables(CatalogSources(spark, silver), list(tables))
