@@ -35,3 +35,21 @@ def test_value_map_is_idempotent(spark, values):
     once = df.select(text.map_values("x", text.RACE_DATA_VALUE_MAP).alias("x"))
     twice = once.select(text.map_values("x", text.RACE_DATA_VALUE_MAP).alias("x"))
     assert [r[0] for r in once.collect()] == [r[0] for r in twice.collect()]
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.dates(min_value=__import__("datetime").date(1930, 1, 1),
+                         max_value=__import__("datetime").date(2029, 12, 31)), min_size=30, max_size=120))
+def test_multi_format_date_round_trips(spark, dates):
+    # every layout of the rule, two-digit years included, parses back to the same day under the pivot
+    layouts = [
+        lambda d: d.isoformat(),
+        lambda d: d.strftime("%m/%d/%y"),
+        lambda d: f"{d.month}/{d.day}/{d.strftime('%y')}",
+        lambda d: f"{d.month}/{d.day:02d}/{d.strftime('%y')}",
+        lambda d: f"{d.month:02d}/{d.day}/{d.strftime('%y')}",
+    ]
+    texts = [(layouts[i % 5](d), d) for i, d in enumerate(dates)]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "x string")
+    got = [r[0] for r in df.select(timefmt.parse_multi_format_date("x")).collect()]
+    assert got == [d for _, d in texts]

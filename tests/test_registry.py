@@ -21,7 +21,7 @@ SAMPLE = [
     "fact_results", "historical_seasons", "historical_incidents", "silver_race_data_races", "rule_time_to_ms",
     "rule_multi_format_date", "dq_bronze_report", "dq_failure_examples", "upsert_latest", "partitioned_scan",
     "feat_trailing_avg", "feat_team_momentum", "trend_pit_impact", "profile_fact_results", "csv_roundtrip",
-    "stream_hourly",
+    "stream_hourly", "layered_master", "ingest_summary", "dq_gold_report",
 ]
 
 
