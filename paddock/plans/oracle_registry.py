@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..operators import quality as _q
+from ..sources.registry import SOURCE_TABLES
 from . import oracle as o
 from .gold import GOLD_MODELS
 from .views import DRIVERS_TEAMS_COLUMNS, OVERVIEW_COLUMNS, SEASON_COLUMNS
@@ -23,8 +25,6 @@ ORACLE["historical_incidents"] = o.select_all("historical_incidents")
 
 # --- Silver tables and single rules ---------------------------------------------
 
-from ..operators import quality as _q  # noqa: E402
-from ..sources.registry import SOURCE_TABLES  # noqa: E402
 
 for _t in SOURCE_TABLES:
     ORACLE[f"silver_{_t}"] = o.select_all(f"s_{_t}")

@@ -10,11 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions import text, timefmt
-from ..operators import clean, quality
+from ..operators import clean, features, model, profile, quality
+from ..session import scratch_path
+from ..sources import catalog, ingest, upsert
 from ..sources.registry import SOURCE_TABLES, BridgeSources
-from . import views
+from ..streaming import telemetry
+from . import trends, views
 from .gold import GOLD_MODELS, GoldModels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,12 +213,6 @@ def dq_failure_examples(spark, sf_dir):
 
 # --- ingest, layers, upserts, partitioned writes -------------------------------------
 
-from pyspark.sql.types import (  # noqa: E402
-    DoubleType, LongType, IntegerType, StringType, StructField, StructType,
-)
-
-from ..session import scratch_path  # noqa: E402
-from ..sources import catalog, ingest, upsert  # noqa: E402
 
 # Awkward CSV headers for the circuits round trip.
 AWKWARD_CIRCUIT_HEADERS = (
@@ -386,9 +384,6 @@ def partitioned_scan(spark, sf_dir):
 
 # --- features, model, dashboard cuts, profiling ---------------------------------------
 
-from ..operators import features, model, profile  # noqa: E402
-from . import trends  # noqa: E402
-
 
 @register("feat_trailing_avg")
 def feat_trailing_avg(spark, sf_dir):
@@ -500,8 +495,6 @@ def profile_layer(spark, sf_dir):
 
 # --- streaming (replayed session) ----------------------------------------------------------
 
-from ..streaming import telemetry  # noqa: E402
-
 
 def _cores(spark) -> int:
     return spark.sparkContext.defaultParallelism
