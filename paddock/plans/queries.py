@@ -330,9 +330,8 @@ def layered_master(spark, sf_dir):
     tables = catalog.build_silver(spark, names["bronze"], names["silver"], race_buckets=_cores(spark))
     catalog.silver_gate(spark, names["silver"], tables)
     catalog.build_gold(spark, names["silver"], names["gold"])
-    view = f"{names['dashboard']}_"
-    catalog.build_dashboard(spark, names["gold"], prefix=view)
-    return spark.table(f"{view}historical_master")
+    catalog.create_dashboard_views(spark, names["gold"], names["dashboard"])
+    return spark.table(f"{names['dashboard']}.historical_master")
 
 
 _LI_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]

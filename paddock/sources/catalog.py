@@ -160,3 +160,34 @@ def build_dashboard(spark: SparkSession, gold: str, prefix: str = "") -> dict[st
     for name, df in out.items():
         df.createOrReplaceTempView(f"{prefix}{name}")
     return out
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def create_dashboard_views(spark: SparkSession, gold: str, dashboard: str) -> list[str]:
+    """Persistent ``CREATE OR REPLACE VIEW``s in the dashboard schema
+    over the Gold tables; the subset views select from the master view, so
+    reading them inlines it and Catalyst prunes what they do not use."""
+    m = views.MASTER_COLUMNS
+    master_sql = (
+        "SELECT " + ", ".join(f"{src} AS {_q(name)}" for src, name in m)
+        + f" FROM {gold}.fact_results fr"
+        + f" JOIN {gold}.dim_races r ON fr.race_id = r.race_id"
+        + f" JOIN {gold}.dim_circuits c ON r.circuit_id = c.circuit_id"
+        + f" JOIN {gold}.dim_drivers d ON fr.driver_id = d.driver_id"
+        + f" JOIN {gold}.dim_teams t ON fr.team_id = t.team_id"
+        + f" LEFT JOIN {gold}.standings_drivers sd ON fr.race_id = sd.race_id AND fr.driver_id = sd.driver_id"
+        + f" LEFT JOIN {gold}.standings_teams st ON fr.race_id = st.race_id AND fr.team_id = st.team_id"
+    )
+    master = f"{dashboard}.historical_master"
+    defs = {
+        "historical_master": master_sql,
+        "historical_overview": f"SELECT {', '.join(map(_q, views.OVERVIEW_COLUMNS))} FROM {master}",
+        "historical_drivers_teams": f"SELECT {', '.join(map(_q, views.DRIVERS_TEAMS_COLUMNS))} FROM {master}",
+        "historical_seasons": f"SELECT DISTINCT {', '.join(map(_q, views.SEASON_COLUMNS))} FROM {master}",
+    }
+    for name, body in defs.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {dashboard}.{name} AS {body}")
+    return list(defs)
