@@ -110,3 +110,24 @@ def test_eager_pit_aggregates_equal_join_then_aggregate(spark):
     want = sorted(tuple(r) for r in pit_aggregates(fact_pit_stops(stops, races, drivers)).collect())
     got = sorted(tuple(r) for r in pit_aggregates_eager(stops, races, drivers).collect())
     assert got == want == [(1, 7, 4, 200), (2, 7, 1, 300)]
+
+
+def test_catalog_layers_and_persistent_views(spark, gold):
+    from paddock.session import scratch_path
+    from paddock.sources import catalog
+
+    _, silver = gold
+    root = scratch_path(spark, "views-test")
+    sfx = root.rsplit("-", 1)[-1]
+    names = {k: f"{k}_{sfx}" for k in ("silver", "gold", "dashboard")}
+    catalog.create_layers(spark, names.values(), root)
+    for t, df in silver.items():
+        catalog.send_to_schema(df, t, names["silver"])
+    catalog.build_gold(spark, names["silver"], names["gold"], workers=3)
+    assert set(catalog.list_tables(spark, names["gold"])) >= {"fact_results", "dim_races", "standings_teams"}
+    catalog.create_dashboard_views(spark, names["gold"], names["dashboard"])
+    master = spark.table(f"{names['dashboard']}.historical_master")
+    assert master.count() == 4 and len(master.columns) == 40
+    assert len(spark.table(f"{names['dashboard']}.historical_overview").columns) == 19
+    assert len(spark.table(f"{names['dashboard']}.historical_drivers_teams").columns) == 24
+    assert spark.table(f"{names['dashboard']}.historical_seasons").count() == 4
