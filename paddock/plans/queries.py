@@ -324,8 +324,7 @@ def layered_master(spark, sf_dir):
     dashboard view read back by name."""
     names = _layers(spark, "layers")
     src = BridgeSources(spark, sf_dir)
-    for t in SOURCE_TABLES:
-        catalog.send_to_schema(catalog.stamp(src.bronze(t), "ingested_at"), t, names["bronze"])
+    catalog.write_layer({t: catalog.stamp(src.bronze(t), "ingested_at") for t in SOURCE_TABLES}, names["bronze"])
     catalog.reset_layer(spark, names["silver"], _layer_root(names))  # S10: rebuild Silver from scratch
     tables = catalog.build_silver(spark, names["bronze"], names["silver"], race_buckets=_cores(spark))
     catalog.silver_gate(spark, names["silver"], tables)

@@ -84,6 +84,16 @@ def stamp(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
+def write_layer(tables: dict[str, DataFrame], schema: str, workers: int = 4) -> list[str]:
+    """Write several tables of one layer as concurrent jobs."""
+
+    def one(name: str) -> str:
+        send_to_schema(tables[name], name, schema)
+        return name
+
+    return _concurrently(one, sorted(tables), workers)
+
+
 # Silver tables keyed by race: bucketed on the race id so the fact-to-race
 # joins and per-race aggregates of the Gold build can skip their shuffle.
 RACE_KEYED = (
