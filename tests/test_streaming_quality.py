@@ -71,3 +71,11 @@ def test_profile_counts(spark):
     rows = {r.column_name: r for r in profile.profile(df, "t").collect()}
     assert rows["k"].distinct_count == 2 and rows["s"].null_count == 1 and rows["d"].null_count == 2
     assert rows["d"].data_type == "date" and rows["k"].row_count == 3
+
+
+def test_profile_approx_distinct(spark):
+    from paddock.operators import profile
+
+    df = spark.range(5000).selectExpr("id % 100 AS k", "CAST(NULL AS STRING) AS s")
+    rows = {r.column_name: r for r in profile.profile(df, "t", approx=True).collect()}
+    assert abs(rows["k"].distinct_count - 100) <= 5 and rows["s"].null_count == 5000
