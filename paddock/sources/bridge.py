@@ -11,9 +11,11 @@ with its source, and dirt (blank padding, code letters, ``\\N`` and
 layouts) is a deterministic function of the source row, so DuckDB can
 derive the same rows for the oracle.
 
-Only narrow projections (plus one tiny DISTINCT for seasons): no joins,
-and Parquet pushdown keeps each scan to the columns used. Each
-projection is SQL expression text, one JVM call per table.
+Narrow projections, plus a DISTINCT for seasons and a keyed aggregate for
+the two standings snapshots (one row per race and driver/team, with
+map-side partial aggregation); no joins, and Parquet pushdown keeps each
+scan to the columns used. Each projection is SQL expression text, one
+JVM call per table.
 """
 
 from __future__ import annotations
