@@ -69,19 +69,22 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; set a local one only when unset.
+    Read from ``spark.checkpoint.dir``; a local session may leave it unset
+    and gets a folder of its own, any other must name a shared one.
     """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
         if root:
             # getCheckpointDir returns a per-application sub folder
             root = root.rsplit("/", 1)[0]
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="paddock-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 

@@ -15,12 +15,11 @@ def spark():
 
     b = SparkSession.builder.master("local[4]").appName("paddock-tests").config("spark.ui.enabled", "false")
     b = b.config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
+    if not os.environ.get("SPARK_CHECKPOINT_DIR"):  # a folder only where none is named
+        b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paddock-test-ckpt-"))
     s = b.getOrCreate()
     apply_defaults(s)
     s.sparkContext.setLogLevel("ERROR")
-    # set a checkpoint folder only where the launcher did not name one
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paddock-test-ckpt-"))
     yield s
     s.stop()
 
