@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 #: fixed values: odd multipliers of the polynomial and mixing hashes
 _R = 0x9E3779B97F4A7C15
