@@ -210,7 +210,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
     payload of responses. Archives are dealt out one by one."""
     ship(manifest.sparkSession)
     schema = RECORDS + (", payload binary" if payloads else "")
-    return manifest.select("path").repartition("path").mapInArrow(lambda it: _read(it, payloads), schema)
+    return manifest.select("path").repartition(max(1, manifest.count())).mapInArrow(lambda it: _read(it, payloads), schema)
 
 
 def archive(spark: SparkSession, pages: DataFrame) -> DataFrame:
