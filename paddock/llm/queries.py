@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, warc
+from . import packing, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +55,13 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM q
 """
+
+
+@query
+def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
