@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, packing, quality, toxicity, warc
+from . import anchors, jaccard, packing, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +70,8 @@ def op7_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), 3, 90)
+
+
+@query
+def op5_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.remove_repeats(table(spark, sf_dir, "documents"), 35).drop("kept")
