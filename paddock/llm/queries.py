@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, jaccard, packing, quality, toxicity, warc
+from . import anchors, jaccard, packing, quality, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.remove_repeats(table(spark, sf_dir, "documents"), 35).drop("kept")
+
+
+@query
+def op3_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), 100).drop("kept")
