@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontaminate, jaccard, packing, quality, suffixes, toxicity, warc
+from . import anchors, decontaminate, jaccard, packing, pseudonyms, quality, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -105,3 +105,13 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+def pseudonym_key() -> bytes:
+    """The key of the pseudonyms; PADDOCK_PSEUDONYM_KEY names the real one."""
+    return os.environ.get("PADDOCK_PSEUDONYM_KEY", "a key for tests").encode()
+
+
+@query
+def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), pseudonym_key())
