@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontaminate, jaccard, packing, pseudonyms, quality, suffixes, toxicity, warc
+from . import anchors, decontaminate, jaccard, licences, packing, pseudonyms, quality, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,8 @@ def pseudonym_key() -> bytes:
 @query
 def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), pseudonym_key())
+
+
+@query
+def op6_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
