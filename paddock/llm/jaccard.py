@@ -267,7 +267,8 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: in
     sizes = families.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     members = families.join(sizes, "family").withColumn("side", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    held = text.withColumnRenamed("doc_id", "d").join(members, F.col("d").eqNullSafe(F.col("doc_id"))).select("family", "side", "vertex", "text", other.alias("o"))
+    # texts meet their members by a shuffle at every size
+    held = text.withColumnRenamed("doc_id", "d").hint("merge").join(members, F.col("d").eqNullSafe(F.col("doc_id"))).select("family", "side", "vertex", "text", other.alias("o"))
     blocks = held.select("family", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "vertex", "text")
     blocks = blocks.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
     links = blocks.mapInArrow(lambda it: _check(it, words, percent), "a long, b long")
@@ -282,4 +283,4 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, n2: int = 1, k2
     """The rows of ``docs``, all columns, less every document whose group has
     a smaller doc_id; rows that repeat the smallest id stay."""
     gone = join(docs, words, percent, n2, k2).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
