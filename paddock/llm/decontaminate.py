@@ -101,7 +101,8 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: int = 0) -
     proximity matches only; none without ``slop``), exact (start, len, wid)."""
     windows = stored(windows_of(benchmark, size), "benchmark")
     places = candidates(docs, windows, slop).groupBy("k").agg(F.collect_list(F.struct("start", F.size("win").alias("len"), "wid", "win")).alias("at"))
-    read = keyed(docs).join(places, "k", "left").withColumn("words", words_of("text"))
+    read = keyed(docs).hint("merge").join(places, "k", "left")  # texts are shuffled at every size
+    read = read.withColumn("words", words_of("text"))
     empty = "array()"
     matched = read.select("doc_id", "k", F.size("words").cast("long").alias("n_words"), F.expr(f"filter(coalesce(at, cast({empty} as array<struct<start:int,len:int,wid:bigint,win:array<string>>>)), c -> slice(words, c.start + 1, c.len) = c.win)").alias("exact"), "at")
     matched = matched.withColumn("exact", F.expr("array_distinct(transform(exact, c -> named_struct('start', c.start, 'len', c.len, 'wid', c.wid)))"))
@@ -130,4 +131,4 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -
     """The rows of ``docs``, all columns, without any benchmark window."""
     hit = find(docs, benchmark, size).where("n_hit > 0").select(F.col("k").alias("_k")).distinct()
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.join(hit, key == F.col("_k"), "left_anti")
+    return docs.join(hit.hint("merge"), key == F.col("_k"), "left_anti")
