@@ -22,9 +22,9 @@ SHORT_YEAR_DATE_FORMATS = ("MM/dd/yy", "M/d/yy", "M/dd/yy", "MM/d/yy")
 # 100 years ("71" -> 1971, "20" -> 2020).
 DEFAULT_CENTURY_PIVOT = "2029-12-31"
 
-# A duration is [[h:]m:]s[.fff]: up to three colon groups, at most three
-# fraction digits.
-DURATION_PATTERN = r"^(\d+:){0,2}\d+(\.\d{1,3})?$"
+# A duration is [[h:]m:]s[.f...]: up to three colon groups, any number of
+# fraction digits (cut to milliseconds).
+DURATION_PATTERN = r"^(\d+:){0,2}\d+(\.\d+)?$"
 
 # Fixed value: the wall clock kept from a time-of-day string.
 WALL_CLOCK_PATTERN = r"(\d{1,2}:\d{2}:\d{2}).*"
@@ -37,7 +37,7 @@ def time_to_ms_sql(x: str) -> str:
     # '\\.' (an escaped dot) takes Java's split fast path; '[.]' would
     # compile a regex per row
     whole = f"try_cast(get(split({last}, '\\\\.'), 0) AS BIGINT)"
-    frac = f"coalesce(try_cast(rpad(get(split({last}, '\\\\.'), 1), 3, '0') AS BIGINT), 0)"
+    frac = f"coalesce(try_cast(rpad(left(get(split({last}, '\\\\.'), 1), 3), 3, '0') AS BIGINT), 0)"
     mins = f"coalesce(try_cast(get({parts}, {n} - 2) AS BIGINT), 0)"
     hours = f"coalesce(try_cast(get({parts}, {n} - 3) AS BIGINT), 0)"
     total = f"{hours} * 3600000 + {mins} * 60000 + {whole} * 1000 + {frac}"

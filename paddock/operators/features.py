@@ -75,15 +75,15 @@ def team_momentum(results: DataFrame, races_dim: DataFrame, last: int = 4) -> Da
 
 
 def session_weather(
-    events: DataFrame, telemetry_types=("click", "view"), weather_types=("purchase",), since: str | None = None
+    events: DataFrame, weather_types=("purchase",), since: str | None = None
 ) -> DataFrame:
-    """M8: per session day, telemetry volume left-joined with the weather
+    """M8: per session day, telemetry volume (all events but weather) left-joined with the weather
     feed aggregated to the same day; ``since`` keeps sessions from that
     date on (the filter is pushed into the scan)."""
     if since is not None:
         events = events.where(F.col("ts") >= F.lit(since).cast("date"))
     day = F.to_date("ts").alias("session_date")
-    telemetry = events.where(F.col("event_type").isin(*telemetry_types)).groupBy(day).agg(
+    telemetry = events.where(~F.coalesce(F.col("event_type").isin(*weather_types), F.lit(False))).groupBy(day).agg(
         F.count(F.lit(1)).alias("telemetry_events")
     )
     weather = events.where(F.col("event_type").isin(*weather_types)).groupBy(day).agg(

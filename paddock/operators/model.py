@@ -15,36 +15,52 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .features import driver_seasons
-from .sequence import sequence_numbers
-
 # The regulation-change seasons trained on by default.
 DEFAULT_TRAIN_SEASONS = (2014, 2017, 2022)
-FEATURES = ("prev_avg_points", "dnf_rate", "pace_delta", "position_variance", "races")
+FEATURES = ("prev_avg_points", "dnf_rate", "pace_delta", "position_variance", "prev_races")
 
 
 def season_features(results: DataFrame, qualifying: DataFrame, seasons: int = 3) -> DataFrame:
-    """driver x season rows: label (season points) and features."""
-    ds = driver_seasons(results)
-    w = Window.partitionBy("driver_id").orderBy("year").rangeBetween(-seasons, -1)
-    prev = F.coalesce(F.sum("points").over(w) / F.sum("races").over(w), F.lit(0.0))
+    """driver x season rows: label (season points) and features of the
+    ``seasons`` seasons before, so a coming season can be scored. Drivers
+    without any have zeros."""
     per = results.groupBy("driver_id", "year").agg(
-        F.avg(F.col("dnf_flag").cast("int")).alias("dnf_rate"),
-        F.coalesce(F.var_pop("position_order"), F.lit(0.0)).alias("position_variance"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("points").alias("points"),
+        F.sum(F.col("dnf_flag").cast("int")).alias("dnfs"),
+        F.count("position_order").alias("k"),
+        F.sum("position_order").alias("s1"),
+        F.sum(F.col("position_order").cast("double") * F.col("position_order")).alias("s2"),
     )
     q = qualifying.groupBy("race_id", "driver_id", "year").agg(F.avg("qualifying_position").alias("q_pos"))
     r = results.groupBy("race_id", "driver_id").agg(F.avg("position_order").alias("r_pos"))
     pace = q.join(r, ["race_id", "driver_id"]).groupBy("driver_id", "year").agg(
-        F.avg(F.col("q_pos") - F.col("r_pos")).alias("pace_delta")
+        F.sum(F.col("q_pos") - F.col("r_pos")).alias("pace"), F.count(F.col("q_pos") - F.col("r_pos")).alias("paced")
     )
-    return (
-        ds.select("driver_id", "year", "races", F.col("points").alias("label"), prev.alias("prev_avg_points"))
-        .join(per, ["driver_id", "year"])
-        .join(pace, ["driver_id", "year"], "left")
-        .fillna({"pace_delta": 0.0})
+    rows = per.join(pace, ["driver_id", "year"], "left")
+    w = Window.partitionBy("driver_id").orderBy("year").rangeBetween(-seasons, -1)  # a driver's seasons
+    before = lambda c: F.sum(c).over(w)
+    ratio = lambda a, b: F.coalesce(before(a) / F.nullif(before(b), F.lit(0)), F.lit(0.0))
+    mean = ratio("s1", "k")
+    return rows.select(
+        "driver_id",
+        "year",
+        F.col("points").alias("label"),
+        F.round(ratio("points", "n"), 6).alias("prev_avg_points"),
+        F.round(ratio("dnfs", "n"), 6).alias("dnf_rate"),
+        F.round(ratio("pace", "paced"), 6).alias("pace_delta"),
+        F.round(ratio("s2", "k") - mean * mean, 4).alias("position_variance"),
+        F.coalesce(before("n"), F.lit(0)).alias("prev_races"),
     )
 
 
+def actual_ranks(features: DataFrame) -> DataFrame:
+    """driver_id, season, actual_points, actual_rank (ties share one)."""
+    w = Window.partitionBy("season").orderBy(F.desc("actual_points"))  # the drivers of a season
+    rows = features.select("driver_id", F.col("year").alias("season"), F.round("label", 4).alias("actual_points"))
+    return rows.withColumn("actual_rank", F.rank().over(w))
+
+
 def train(features: DataFrame, train_seasons=DEFAULT_TRAIN_SEASONS, seed: int = 42) -> PipelineModel:
     data = features.where(F.col("year").isin(*train_seasons))
     pipe = Pipeline(
@@ -57,20 +73,20 @@ def train(features: DataFrame, train_seasons=DEFAULT_TRAIN_SEASONS, seed: int =
 
 
 def predicted_vs_actual(model: PipelineModel, features: DataFrame, season: int) -> DataFrame:
-    """Predicted and actual standings of one season. Ranks break ties on
-    the driver id, so they are positions in a total order, computed with
-    the range-partitioned ``sequence_numbers`` (no single-task window)."""
+    """Predicted and actual standings of one season; equal points share a
+    rank. The windows hold the drivers of that season."""
     scored = model.transform(features.where(F.col("year") == season)).select(
         "driver_id",
         F.col("year").alias("season"),
         F.col("prediction").alias("predicted_points"),
         F.col("label").alias("actual_points"),
     )
-    by_pred = sequence_numbers(scored, "season", [F.desc("predicted_points"), F.asc("driver_id")])
-    by_pred = by_pred.withColumnRenamed("seq", "predicted_rank")
-    ranked = sequence_numbers(by_pred, "season", [F.desc("actual_points"), F.asc("driver_id")])
-    return ranked.withColumnRenamed("seq", "actual_rank").withColumn(
-        "difference", F.col("predicted_points") - F.col("actual_points")
+    rank = lambda c: F.rank().over(Window.partitionBy("season").orderBy(F.desc(c)))
+    return scored.select(
+        "*",
+        rank("predicted_points").alias("predicted_rank"),
+        rank("actual_points").alias("actual_rank"),
+        (F.col("predicted_points") - F.col("actual_points")).alias("difference"),
     )
 
 

@@ -5,12 +5,12 @@ all value checks of one table into ONE aggregation (``count_if`` per
 check, partial aggregates per task, a single-row result) and unpivots it
 with ``stack`` into one report row per check; schema checks (type,
 absent column) are decided from the DataFrame schema and emitted in the
-same ``stack``. No data is pulled to the driver: the reference's
-validate-a-pandas-copy step is replaced by this pass.
+same ``stack``. No data is pulled to the driver.
 
 Report columns: table_name, check_name, column_name, unexpected_count
-(NULL for schema checks), success, reason, expected, first_example (the
-smallest offending value, as text).
+(NULL for schema checks, and for a column that is missing), success, rule
+(the predicate checked), first_example (the smallest offending value, as
+text).
 
 ``failure_examples`` adds up to five examples per failed check (a
 distributed top-k per check, only for checks that failed) and
@@ -24,7 +24,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, IntegerType
+from pyspark.sql.types import DoubleType, IntegerType
 
 from ..functions._col import ident, lit_sql
 
@@ -36,19 +36,6 @@ class Check:
     arg: object = None
 
 
-# Human-readable reasons per check kind.
-REASONS = {
-    "not_null": "Column contains NULL values; these should not be null after Silver transforms.",
-    "of_type": "Column has the wrong data type; the Silver cast may not have run.",
-    "in_set": "Column contains values outside the allowed set; mapping or normalisation is incomplete.",
-    "not_match": "Column contains values that match a banned pattern; normalisation did not fully clean it.",
-    "match": "Column contains values that do not match the expected format; a date or string cast may have failed.",
-    "between": "Column contains values outside the expected numeric range.",
-    "absent": "Column is still present; the drop rule may not have run.",
-    "unique": "Key is not unique; joins on it would fan out or merge rows.",
-    "missing": "Execution error: column not found.",
-}
-
 CHECK_NAMES = {
     "not_null": "expect_not_null",
     "of_type": "expect_of_type",
@@ -170,25 +157,25 @@ def failure_sql(check: Check) -> str | None:
     return None
 
 
-def expected_hint(check: Check) -> str:
+def rule_text(check: Check) -> str:
+    """The rule that the column must satisfy, as a predicate, with all of
+    its allowed values or its whole pattern."""
+    c = check.column
     if check.kind == "of_type":
-        return f"type = {check.arg.simpleString()}"
+        return f"{c}: {check.arg.simpleString()}"
     if check.kind == "in_set":
-        vals = [str(v) for v in check.arg][:8]
-        return "{" + ", ".join(vals) + ("}" if len(check.arg) <= 8 else ", ...}")
-    if check.kind in ("match", "not_match"):
-        return f"regex: {check.arg}"
+        return f"{c} IN ({', '.join(lit_sql(v) for v in check.arg)})"
+    if check.kind == "match":
+        return f"{c} RLIKE {check.arg}"
+    if check.kind == "not_match":
+        return f"{c} NOT RLIKE {check.arg}"
     if check.kind == "between":
-        return f"between {check.arg[0]} and {check.arg[1]}"
+        return f"{c} BETWEEN {check.arg[0]} AND {check.arg[1]}"
     if check.kind == "absent":
-        return "column absent"
+        return f"no {c}"
     if check.kind == "unique":
-        return f"unique ({check.column})"
-    return "no NULL values"
-
-
-def _type_ok(actual: DataType, wanted: DataType) -> bool:
-    return actual == wanted
+        return f"unique {c}"
+    return f"{c} IS NOT NULL"
 
 
 def check_table(df: DataFrame, table: str, checks: list[Check] | None = None) -> DataFrame:
@@ -197,34 +184,35 @@ def check_table(df: DataFrame, table: str, checks: list[Check] | None = None) ->
     fields = {f.name: f.dataType for f in df.schema.fields}
     aggs: list[str] = []
     rows: list[str] = []
+    unique: list[tuple[list[str], str]] = []
     for i, chk in enumerate(checks):
         name = CHECK_NAMES[chk.kind]
         meta = f"{lit_sql(table)}, {lit_sql(name)}, {lit_sql(chk.column)}"
-        hint = lit_sql(expected_hint(chk))
+        rule = lit_sql(rule_text(chk))
+        undecided = f"{meta}, CAST(NULL AS BIGINT), %s, {rule}, CAST(NULL AS STRING)"
         if chk.kind == "absent":
-            ok = chk.column not in fields
-            rows.append(f"{meta}, CAST(NULL AS BIGINT), {str(ok).lower()}, {lit_sql(REASONS['absent'])}, {hint}, CAST(NULL AS STRING)")
-        elif chk.kind == "unique":
-            cols = chk.column.split(",")
-            if not all(c in fields for c in cols):
-                rows.append(f"{meta}, CAST(NULL AS BIGINT), false, {lit_sql(REASONS['missing'])}, {hint}, CAST(NULL AS STRING)")
-                continue
-            # rows beyond the first per key (one more aggregate in the same pass)
-            aggs.append(f"count(1) - count(DISTINCT {', '.join(ident(c) for c in cols)}) AS n{i}")
-            rows.append(f"{meta}, n{i}, n{i} = 0, {lit_sql(REASONS['unique'])}, {hint}, CAST(NULL AS STRING)")
-        elif chk.column not in fields:
-            rows.append(f"{meta}, CAST(NULL AS BIGINT), false, {lit_sql(REASONS['missing'])}, {hint}, CAST(NULL AS STRING)")
+            rows.append(undecided % str(chk.column not in fields).lower())
+        elif not all(c in fields for c in (chk.column.split(",") if chk.kind == "unique" else [chk.column])):
+            rows.append(undecided % "false")
         elif chk.kind == "of_type":
-            ok = _type_ok(fields[chk.column], chk.arg)
-            rows.append(f"{meta}, CAST(NULL AS BIGINT), {str(ok).lower()}, {lit_sql(REASONS['of_type'])}, {hint}, CAST(NULL AS STRING)")
+            rows.append(undecided % str(fields[chk.column] == chk.arg).lower())
+        elif chk.kind == "unique":
+            keys = [ident(c) for c in chk.column.split(",")]
+            unique.append((keys, f"{meta}, n, n = 0, {rule}, CAST(NULL AS STRING)"))
         else:
             fail = failure_sql(chk)
             aggs.append(f"count_if({fail}) AS n{i}")
             aggs.append(f"min(CASE WHEN {fail} THEN CAST({ident(chk.column)} AS STRING) END) AS x{i}")
-            rows.append(f"{meta}, n{i}, n{i} = 0, {lit_sql(REASONS[chk.kind])}, {hint}, x{i}")
+            rows.append(f"{meta}, n{i}, n{i} = 0, {rule}, x{i}")
     base = df.selectExpr(*aggs) if aggs else df.sparkSession.range(1).selectExpr("1 AS one")
-    stack = f"stack({len(rows)}, {', '.join(rows)}) AS (table_name, check_name, column_name, unexpected_count, success, reason, expected, first_example)"
-    return base.selectExpr(stack)
+    names = "AS (table_name, check_name, column_name, unexpected_count, success, rule, first_example)"
+    parts = [base.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) {names}")] if rows else []
+    for keys, row in unique:
+        # rows beyond the first of each key: one grouped count per key, not a
+        # distinct count that multiplies the rows by the number of keys
+        beyond = df.groupBy(*(F.expr(k) for k in keys)).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
+        parts.append(beyond.selectExpr(f"stack(1, {row}) {names}"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def check_tables(sources, tables) -> DataFrame:
@@ -242,12 +230,13 @@ def table_verdicts(report: DataFrame) -> DataFrame:
 
 
 def failure_examples(df: DataFrame, table: str, failed_columns: list[tuple[str, str]], k: int = 5) -> DataFrame:
-    """Up to ``k`` smallest distinct offending values per failed value check.
+    """The ``k`` smallest offending values (of rows, so a value may recur) per
+    failed value check.
 
     ``failed_columns`` lists (check_name, column) pairs that failed (read
-    from a collected report, which has one row per check). Each example
-    list is a distributed top-k, so a check that fails on every row still
-    moves at most k values per task.
+    from a collected report, which has one row per check). Each list is a
+    distributed top-k: a check that fails on every row moves at most k
+    values per task.
     """
     by_key = {(CHECK_NAMES[c.kind], c.column): c for c in suite_for(table)}
     parts = []
@@ -259,7 +248,6 @@ def failure_examples(df: DataFrame, table: str, failed_columns: list[tuple[str,
         parts.append(
             df.where(failure_sql(chk))
             .select(v.alias("value"))
-            .distinct()
             .orderBy("value")
             .limit(k)
             .select(F.lit(table).alias("table_name"), F.lit(key[0]).alias("check_name"), F.lit(key[1]).alias("column_name"), "value")
@@ -282,4 +270,4 @@ def gate(report: DataFrame) -> None:
     failed = report.where(~F.col("success")).select("table_name", "check_name", "column_name").collect()
     if failed:
         lines = [f"{r.table_name}.{r.column_name}: {r.check_name}" for r in failed]
-        raise QualityGateError(f"{len(failed)} quality checks failed: " + "; ".join(lines[:20]))
+        raise QualityGateError(f"{len(failed)} quality checks failed: " + "; ".join(lines))

@@ -11,7 +11,6 @@ Dimension joins are inner equi-joins left to the planner: a side whose
 estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` is
 broadcast, anything larger is a shuffle join that AQE can still demote to
 a broadcast (or split when skewed) once it has measured the real sizes.
-Passing ``broadcast_rows`` forces a counted, checked broadcast instead.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import not_classified_flag
-from ..operators.joins import checked_broadcast
 
 
 def _full_name(first="forename", last="surname"):
@@ -103,11 +101,8 @@ def _team_side(constructors: DataFrame) -> DataFrame:
     return constructors.select(F.col("constructorid").alias("t_constructorid"), F.col("name").alias("team_name"))
 
 
-def _status_side(status: DataFrame, broadcast_rows: int | None) -> DataFrame:
-    side = status.select(F.col("statusid").alias("s_statusid"), F.col("status"))
-    # By default the planner decides from the scan's size estimate, and AQE
-    # from the measured shuffle size; an explicit bound adds a counted check.
-    return side if broadcast_rows is None else checked_broadcast(side, broadcast_rows)
+def _status_side(status: DataFrame) -> DataFrame:
+    return status.select(F.col("statusid").alias("s_statusid"), F.col("status"))
 
 
 def _with_race_and_driver(df: DataFrame, races_dim: DataFrame, drivers: DataFrame) -> DataFrame:
@@ -197,11 +192,11 @@ def pit_aggregates_eager(pit_stops: DataFrame, races_dim: DataFrame, drivers: Da
     )
 
 
-def _results_core(results: DataFrame, races_dim, drivers, constructors, status, broadcast_rows) -> DataFrame:
+def _results_core(results: DataFrame, races_dim, drivers, constructors, status) -> DataFrame:
     return (
         _with_race_and_driver(results, races_dim, drivers)
         .join(_team_side(constructors), F.col("constructorid") == F.col("t_constructorid"))
-        .join(_status_side(status, broadcast_rows), F.col("statusid") == F.col("s_statusid"))
+        .join(_status_side(status), F.col("statusid") == F.col("s_statusid"))
     )
 
 
@@ -212,7 +207,6 @@ def fact_results(
     constructors: DataFrame,
     status: DataFrame,
     pit_stops: DataFrame,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """``pit_stops`` are the Silver stops; their per-(race, driver)
     aggregates equal those of the ``fact_pit_stops`` model (see
@@ -220,7 +214,7 @@ def fact_results(
     pa = pit_aggregates_eager(pit_stops, races_dim, drivers).withColumnsRenamed(
         {"race_id": "pa_race_id", "driver_id": "pa_driver_id"}
     )
-    j = _results_core(results, races_dim, drivers, constructors, status, broadcast_rows).join(
+    j = _results_core(results, races_dim, drivers, constructors, status).join(
         pa, (F.col("race_id") == F.col("pa_race_id")) & (F.col("driverid") == F.col("pa_driver_id")), "left"
     )
     return j.select(
@@ -255,9 +249,8 @@ def fact_sprint_results(
     drivers: DataFrame,
     constructors: DataFrame,
     status: DataFrame,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
-    j = _results_core(sprint, races_dim, drivers, constructors, status, broadcast_rows)
+    j = _results_core(sprint, races_dim, drivers, constructors, status)
     return j.select(
         "race_key",
         "year",
@@ -375,13 +368,11 @@ class GoldModels:
     def __init__(
         self,
         source: Callable[[str], DataFrame],
-        broadcast_rows: int | None = None,
         materialized: Callable[[str], DataFrame] | None = None,
     ):
         """``materialized`` resolves a model to an already written table
         (e.g. ``spark.table``) instead of rebuilding it."""
         self.source = source
-        self.broadcast_rows = broadcast_rows
         self.materialized = materialized
         self._refs: dict[str, DataFrame] = {}
 
@@ -395,6 +386,10 @@ class GoldModels:
 
     __getitem__ = ref
 
+    def use(self, name: str, df: DataFrame) -> None:
+        """Resolve ``name`` to ``df`` (a written table) from now on."""
+        self._refs[name] = df
+
     def _build_dim_circuits(self):
         return dim_circuits(self.source("race_data_circuits"))
 
@@ -429,7 +424,6 @@ class GoldModels:
             self.source("race_data_constructors"),
             self.source("race_data_status"),
             self.source("race_data_pit_stops"),
-            self.broadcast_rows,
         )
 
     def _build_fact_sprint_results(self):
@@ -439,7 +433,6 @@ class GoldModels:
             self.source("race_data_drivers"),
             self.source("race_data_constructors"),
             self.source("race_data_status"),
-            self.broadcast_rows,
         )
 
     def _build_standings_drivers(self):

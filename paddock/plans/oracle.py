@@ -255,7 +255,7 @@ cte(
     f"""SELECT 'Marshal ' || CAST(o_orderkey AS VARCHAR) AS name, CAST(day(o_orderdate) + 18 AS INTEGER) AS age,
   {_ACCIDENT_DATE} AS date_of_accident,
   CAST(year(o_orderdate) AS VARCHAR) || ' ' || o_orderpriority || ' Race' AS event
-FROM orders WHERE o_orderstatus = 'P'""",
+FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'""",
 )
 
 # --------------------------------------------------------------------------

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import quality as _q
 from ..sources.registry import SOURCE_TABLES
 from . import oracle as o
+from . import oracle_checks as _c
 from .gold import GOLD_MODELS
 from .views import DRIVERS_TEAMS_COLUMNS, OVERVIEW_COLUMNS, SEASON_COLUMNS
 
@@ -127,22 +127,21 @@ def _has_column(cte_name: str, column: str) -> bool:
 def _dq_table(prefix: str, table: str) -> tuple[str, list[str]]:
     cte_name = f"{prefix}_{table}"
     aggs, rows = [], []
-    for i, chk in enumerate(_q.suite_for(table)):
-        meta = f"{_dlit(table)} AS table_name, {_dlit(_q.CHECK_NAMES[chk.kind])} AS check_name, {_dlit(chk.column)} AS column_name"
-        hint = _dlit(_q.expected_hint(chk))
+    for i, chk in enumerate([e for e in _c.SILVER if e.table == table]):
+        meta = f"{_dlit(table)} AS table_name, {_dlit(_c.NAMES[chk.kind])} AS check_name, {_dlit(chk.column)} AS column_name"
+        hint = _dlit(_c.rule(chk))
         if chk.kind == "absent":
             ok = "false" if _has_column(cte_name, chk.column) else "true"
             rows.append(f"SELECT {meta}, CAST(NULL AS BIGINT) AS unexpected_count, {ok} AS success, "
-                        f"{_dlit(_q.REASONS['absent'])} AS reason, {hint} AS expected, CAST(NULL AS VARCHAR) AS first_example")
+                        f"{hint} AS rule, CAST(NULL AS VARCHAR) AS first_example")
         elif chk.kind == "of_type":
-            want = _DUCK_TYPE[chk.arg.simpleString()]
+            want = _DUCK_TYPE[chk.arg]
             rows.append(f"SELECT {meta}, CAST(NULL AS BIGINT) AS unexpected_count, coalesce((SELECT typeof(\"{chk.column}\") FROM {cte_name} LIMIT 1) = '{want}', false) AS success, "
-                        f"{_dlit(_q.REASONS['of_type'])} AS reason, {hint} AS expected, CAST(NULL AS VARCHAR) AS first_example")
+                        f"{hint} AS rule, CAST(NULL AS VARCHAR) AS first_example")
         else:
             f = _dfail(chk)
             aggs.append(f"count_if({f}) AS n{i}, min(CASE WHEN {f} THEN CAST(\"{chk.column}\" AS VARCHAR) END) AS x{i}")
-            rows.append(f"SELECT {meta}, n{i} AS unexpected_count, n{i} = 0 AS success, {_dlit(_q.REASONS[chk.kind])} AS reason, "
-                        f"{hint} AS expected, x{i} AS first_example FROM agg_{cte_name}")
+            rows.append(f"SELECT {meta}, n{i} AS unexpected_count, n{i} = 0 AS success, {hint} AS rule, x{i} AS first_example FROM agg_{cte_name}")
     if aggs:
         o.cte(f"agg_{cte_name}", f"SELECT {', '.join(aggs)} FROM {cte_name}", cte_name)
     return "\nUNION ALL\n".join(rows), ([f"agg_{cte_name}"] if aggs else []) + [cte_name]
@@ -173,14 +172,14 @@ def _examples() -> tuple[str, list[str]]:
     parts, deps = [], []
     for t in SOURCE_TABLES:
         cte_name = f"b_{t}"
-        for chk in _q.suite_for(t):
+        for chk in [e for e in _c.SILVER if e.table == t]:
             f = _dfail(chk)
             if f is None or chk.kind == "not_null":
                 continue
             parts.append(
-                f"SELECT {_dlit(t)} AS table_name, {_dlit(_q.CHECK_NAMES[chk.kind])} AS check_name, "
+                f"SELECT {_dlit(t)} AS table_name, {_dlit(_c.NAMES[chk.kind])} AS check_name, "
                 f"{_dlit(chk.column)} AS column_name, string_agg(v, ', ' ORDER BY v) AS examples "
-                f"FROM (SELECT DISTINCT CAST(\"{chk.column}\" AS VARCHAR) AS v FROM {cte_name} WHERE {f} ORDER BY v LIMIT 5) "
+                f"FROM (SELECT CAST(\"{chk.column}\" AS VARCHAR) AS v FROM {cte_name} WHERE {f} ORDER BY v LIMIT 5) "
                 f"HAVING count(*) > 0"
             )
             deps.append(cte_name)
@@ -198,16 +197,31 @@ ORACLE["csv_roundtrip"] = o.sql(
     "b_race_data_circuits",
 )
 ORACLE["sanitize_columns"] = (
-    'SELECT n_nationkey AS "n_nation_key_", n_name AS "n_name", n_regionkey AS "n_region_key" FROM nation'
+    'SELECT l_orderkey AS "l_order_key_", l_linenumber AS "l_line_number", l_quantity AS "l_quantity" FROM lineitem'
 )
 ORACLE["ingest_report"] = """SELECT 'succeeded' AS status, 'orders.csv' AS file_name, 'landing_orders' AS table_name,
-  false AS has_reason, (SELECT count(*) FROM orders) AS row_count
+  false AS has_message, (SELECT count(*) FROM orders) AS row_count
 UNION ALL SELECT 'skipped', 'nation.csv', 'landing_nation', false, CAST(NULL AS BIGINT)
-UNION ALL SELECT 'failed', 'region.csv', 'landing_region', true, CAST(NULL AS BIGINT)"""
-ORACLE["ingest_summary"] = """SELECT 'succeeded' AS status, CAST(1 AS BIGINT) AS files, 'orders.csv' AS file_names
-UNION ALL SELECT 'skipped', 1, 'nation.csv'
-UNION ALL SELECT 'failed', 1, 'region.csv'"""
+UNION ALL SELECT 'failed', 'region.csv', 'landing_region', true, CAST(NULL AS BIGINT)
+UNION ALL SELECT 'unlisted', 'missing', CAST(NULL AS VARCHAR), true, CAST(NULL AS BIGINT)"""
+ORACLE["ingest_summary"] = """SELECT s AS status, CAST(1 AS BIGINT) AS files, CAST(0 AS BIGINT) AS rejected_rows,
+  CAST(0 AS BIGINT) AS rejected_cells FROM (VALUES ('succeeded'), ('skipped'), ('failed'), ('unlisted')) t(s)"""
+ORACLE["csv_rejects"] = o.sql(
+    """SELECT 'succeeded' AS status, 'race_data_pit_stops' AS table_name, CAST(count_if(driverid % 7 = 0) AS BIGINT) AS rejected_rows,
+  CAST(count_if(driverid % 7 = 0) AS BIGINT) AS rejected_cells, CAST(NULL AS VARCHAR) AS error,
+  count(stop) FILTER (WHERE driverid % 7 <> 0) AS n_stops, CAST(sum(lap) AS BIGINT) AS sum_laps,
+  CAST(sum(driverid) AS BIGINT) AS sum_drivers FROM b_race_data_pit_stops
+UNION ALL SELECT 'failed', 'race_data_status', 0, 0, 'HeaderMismatch', NULL, NULL, NULL""",
+    "b_race_data_pit_stops",
+)
 ORACLE["layered_master"] = ORACLE["historical_master"]
+ORACLE["csv_layered_master"] = ORACLE["historical_master"]
+ORACLE["layered_views_incidents"] = ORACLE["historical_incidents"]
+ORACLE["master_one_season"] = o.sql(
+    """SELECT f.race_id, r.race_name, r.race_date, f.driver_id, f.team_id, f.position_order, f.points, f.year
+FROM fact_results f JOIN dim_races r ON f.race_id = r.race_id WHERE f.year = 1997""",
+    "fact_results", "dim_races",
+)
 
 _LI = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate"
 o.cte("li_existing", f"SELECT {_LI} FROM lineitem WHERE l_shipdate < DATE '1998-01-01'")
@@ -272,7 +286,7 @@ JOIN dim_races r ON t.race_id = r.race_id""",
 )
 ORACLE["feat_session_weather"] = """SELECT t.session_date, t.telemetry_events, w.weather_readings, w.avg_weather
 FROM (SELECT CAST(ts AS DATE) AS session_date, count(*) AS telemetry_events FROM events
-      WHERE event_type IN ('click', 'view') GROUP BY 1) t
+      WHERE event_type IS DISTINCT FROM 'purchase' GROUP BY 1) t
 LEFT JOIN (SELECT CAST(ts AS DATE) AS session_date, count(*) AS weather_readings, round(avg(value), 6) AS avg_weather
       FROM events WHERE event_type IN ('purchase') GROUP BY 1) w ON t.session_date = w.session_date"""
 
@@ -343,19 +357,18 @@ ORACLE["stream_two_feeds"] = """WITH w AS (
 SELECT e.event_id, e.ts, e.event_type, e.value, time_bucket(INTERVAL 15 MINUTE, e.ts) AS bucket_start,
   w.weather_readings, w.weather_avg
 FROM events e LEFT JOIN w ON time_bucket(INTERVAL 15 MINUTE, e.ts) = w.bucket_start
-WHERE e.event_type IN ('click', 'view')"""
+WHERE e.event_type IS DISTINCT FROM 'purchase'"""
 
 
 def _gold_dq() -> tuple[str, list[str]]:
     parts, deps = [], []
-    for m, checks in sorted(_q.GOLD_SUITES.items()):
-        for chk in checks:
+    for m in sorted({e.table for e in _c.GOLD}):
+        for chk in [e for e in _c.GOLD if e.table == m]:
             cols = ", ".join(chk.column.split(","))
             parts.append(
-                f"SELECT {_dlit(m)} AS table_name, {_dlit(_q.CHECK_NAMES[chk.kind])} AS check_name, "
+                f"SELECT {_dlit(m)} AS table_name, {_dlit(_c.NAMES[chk.kind])} AS check_name, "
                 f"{_dlit(chk.column)} AS column_name, count(*) - count(DISTINCT ({cols})) AS unexpected_count, "
-                f"count(*) - count(DISTINCT ({cols})) = 0 AS success, {_dlit(_q.REASONS['unique'])} AS reason, "
-                f"{_dlit(_q.expected_hint(chk))} AS expected, CAST(NULL AS VARCHAR) AS first_example FROM {m}"
+                f"count(*) - count(DISTINCT ({cols})) = 0 AS success, {_dlit(_c.rule(chk))} AS rule, CAST(NULL AS VARCHAR) AS first_example FROM {m}"
             )
             deps.append(m)
     return "\nUNION ALL\n".join(parts), deps
@@ -363,3 +376,54 @@ def _gold_dq() -> tuple[str, list[str]]:
 
 _gold_body, _gold_deps = _gold_dq()
 ORACLE["dq_gold_report"] = o.sql(_gold_body, *_gold_deps)
+
+# --- model -----------------------------------------------------------------------------------
+
+_SEASON_FEATURES = """WITH per AS (
+  SELECT driver_id, year, count(*) AS n, sum(points) AS points, sum(CAST(dnf_flag AS INTEGER)) AS dnfs,
+    count(position_order) AS k, sum(position_order) AS s1, sum(CAST(position_order AS DOUBLE) * position_order) AS s2
+  FROM fact_results GROUP BY 1, 2
+), q AS (SELECT race_id, driver_id, year, avg(qualifying_position) AS q_pos FROM fact_qualifying GROUP BY 1, 2, 3),
+r AS (SELECT race_id, driver_id, avg(position_order) AS r_pos FROM fact_results GROUP BY 1, 2),
+pace AS (SELECT driver_id, year, sum(q_pos - r_pos) AS pace, count(q_pos - r_pos) AS paced
+  FROM q JOIN r USING (race_id, driver_id) GROUP BY 1, 2),
+sums AS (
+  SELECT driver_id, year, points AS label, sum(n) OVER w AS n, sum(points) OVER w AS p, sum(dnfs) OVER w AS d,
+    sum(k) OVER w AS k, sum(s1) OVER w AS s1, sum(s2) OVER w AS s2, sum(pace) OVER w AS pace, sum(paced) OVER w AS paced
+  FROM per LEFT JOIN pace USING (driver_id, year)
+  WINDOW w AS (PARTITION BY driver_id ORDER BY year RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING)
+), feats AS (
+  SELECT driver_id, year, label, round(coalesce(p / nullif(n, 0), 0.0), 6) AS prev_avg_points,
+    round(coalesce(CAST(d AS DOUBLE) / nullif(n, 0), 0.0), 6) AS dnf_rate,
+    round(coalesce(pace / nullif(paced, 0), 0.0), 6) AS pace_delta,
+    round(coalesce(s2 / nullif(k, 0), 0.0) - coalesce(CAST(s1 AS DOUBLE) / nullif(k, 0), 0.0) * coalesce(CAST(s1 AS DOUBLE) / nullif(k, 0), 0.0), 4) AS position_variance,
+    CAST(coalesce(n, 0) AS BIGINT) AS prev_races FROM sums
+)"""
+
+
+def _with(ctes: str, body: str) -> str:
+    """The shared fact tables and then the local steps, in one WITH."""
+    inner = o.sql("SELECT 1", "fact_results", "fact_qualifying").rsplit("SELECT 1", 1)[0].rstrip()
+    return f"{inner},\n{ctes.removeprefix('WITH ')}\n{body}"
+
+
+ORACLE["model_season_features"] = _with(_SEASON_FEATURES, "SELECT * FROM feats")
+ORACLE["model_actual_ranks"] = _with(
+    _SEASON_FEATURES,
+    """SELECT driver_id, year AS season, round(label, 4) AS actual_points,
+  CAST(rank() OVER (PARTITION BY year ORDER BY round(label, 4) DESC) AS INTEGER) AS actual_rank FROM feats""",
+)
+ORACLE["model_prediction_properties"] = _with(
+    _SEASON_FEATURES,
+    """SELECT count(*) AS drivers, count(DISTINCT driver_id) AS distinct_drivers, CAST(1 AS BIGINT) AS first_rank,
+  round(sum(label), 4) AS actual_points, true AS differences_hold, true AS all_predicted FROM feats WHERE year = 2001""",
+)
+ORACLE["stream_batch_quality"] = """SELECT * FROM (
+  SELECT 'expect_not_null' AS check_name, 'event_id' AS column_name, 'event_id IS NOT NULL' AS rule,
+    count_if(event_id IS NULL) AS unexpected_count, count_if(event_id IS NULL) = 0 AS success, CAST(NULL AS VARCHAR) AS first_example FROM events
+  UNION ALL SELECT 'expect_not_null', 'ts', 'ts IS NOT NULL', count_if(ts IS NULL), count_if(ts IS NULL) = 0, NULL FROM events
+  UNION ALL SELECT 'expect_not_null', 'value', 'value IS NOT NULL', count_if(value IS NULL), count_if(value IS NULL) = 0, NULL FROM events
+  UNION ALL SELECT 'expect_between', 'value', 'value BETWEEN 0 AND 40', count_if(NOT value BETWEEN 0 AND 40),
+    count_if(NOT value BETWEEN 0 AND 40) = 0, min(CASE WHEN NOT value BETWEEN 0 AND 40 THEN CAST(value AS VARCHAR) END) FROM events
+  UNION ALL SELECT 'expect_match_regex', 'event_type', 'event_type RLIKE ^[a-z]+$', count_if(NOT regexp_matches(event_type, '^[a-z]+$')),
+    count_if(NOT regexp_matches(event_type, '^[a-z]+$')) = 0, NULL FROM events)"""

@@ -121,42 +121,47 @@ def historical_seasons(master: DataFrame) -> DataFrame:
     return _subset(master, SEASON_COLUMNS).distinct()
 
 
+# (expression or None for NULL, output name, type) of the two kinds of incident
+INCIDENT_CELLS = (
+    ("race_name", "Race Name", "string"),
+    ("incident_type", "Incident Type", "string"),
+    ("lap", "Lap", "int"),
+    ("incident", "Incident Description", "string"),
+    ("deployed_lap", "SC Deployed Lap", "int"),
+    ("retreated_lap", "SC Retreated Lap", "double"),
+    ("full_laps_under_sc", "Full Laps Under SC", "int"),
+    ("resumed", "Resumed", "string"),
+    ("excluded", "Excluded Drivers", "string"),
+    (None, "Person", "string"),
+    (None, "Age", "int"),
+    (None, "Date of Accident", "date"),
+    (None, "Car", "string"),
+    (None, "Session", "string"),
+    (None, "Fatal Accident Type", "string"),
+)
+ACCIDENT_CELLS = (
+    ("event", "Race Name", "string"),
+    ("'Fatal Accident'", "Incident Type", "string"),
+    (None, "Lap", "int"),
+    (None, "Incident Description", "string"),
+    (None, "SC Deployed Lap", "int"),
+    (None, "SC Retreated Lap", "double"),
+    (None, "Full Laps Under SC", "int"),
+    (None, "Resumed", "string"),
+    (None, "Excluded Drivers", "string"),
+    ("name", "Person", "string"),
+    ("CAST(age AS INT)", "Age", "int"),
+    ("date_of_accident", "Date of Accident", "date"),
+    ("car", "Car", "string"),
+    ("session", "Session", "string"),
+    ("type", "Fatal Accident Type", "string"),
+)
+
+
+def cells_sql(cells) -> list[str]:
+    return [f"{src or f'CAST(NULL AS {kind})'} AS `{name}`" for src, name, kind in cells]
+
+
 def historical_incidents(incidents: DataFrame, accidents: DataFrame) -> DataFrame:
-    def null(t):
-        return F.lit(None).cast(t)
-
-    a = incidents.select(
-        F.col("race_name").alias("Race Name"),
-        F.col("incident_type").alias("Incident Type"),
-        F.col("lap").alias("Lap"),
-        F.col("incident").alias("Incident Description"),
-        F.col("deployed_lap").alias("SC Deployed Lap"),
-        F.col("retreated_lap").alias("SC Retreated Lap"),
-        F.col("full_laps_under_sc").alias("Full Laps Under SC"),
-        F.col("resumed").alias("Resumed"),
-        F.col("excluded").alias("Excluded Drivers"),
-        null("string").alias("Person"),
-        null("int").alias("Age"),
-        null("date").alias("Date of Accident"),
-        null("string").alias("Car"),
-        null("string").alias("Session"),
-        null("string").alias("Fatal Accident Type"),
-    )
-    b = accidents.select(
-        F.col("event").alias("Race Name"),
-        F.lit("Fatal Accident").alias("Incident Type"),
-        null("int").alias("Lap"),
-        null("string").alias("Incident Description"),
-        null("int").alias("SC Deployed Lap"),
-        null("double").alias("SC Retreated Lap"),
-        null("int").alias("Full Laps Under SC"),
-        null("string").alias("Resumed"),
-        null("string").alias("Excluded Drivers"),
-        F.col("name").alias("Person"),
-        F.col("age").cast("int").alias("Age"),
-        F.col("date_of_accident").alias("Date of Accident"),
-        F.col("car").alias("Car"),
-        F.col("session").alias("Session"),
-        F.col("type").alias("Fatal Accident Type"),
-    )
-    return a.unionByName(b)
+    a = incidents.selectExpr(*cells_sql(INCIDENT_CELLS))
+    return a.unionByName(accidents.selectExpr(*cells_sql(ACCIDENT_CELLS)))

@@ -40,8 +40,9 @@ _LOCAL_ONLY = {
 
 def get_session(master: str | None = None, app: str = "paddock") -> SparkSession:
     """Return the active session or build one, then fill in the engine's
-    SQL defaults for keys the launcher left unset. The shuffle width
-    defaults to the cluster's parallelism (AQE coalesces from there)."""
+    SQL defaults for keys the launcher left unset. The shuffle width is the
+    launcher's (AQE coalesces from there); a local session of its own starts
+    with two partitions a core."""
     spark = SparkSession.getActiveSession()
     if spark is None:
         builder = SparkSession.builder.appName(app)
@@ -50,6 +51,7 @@ def get_session(master: str | None = None, app: str = "paddock") -> SparkSession
             builder = builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
             for k, v in _LOCAL_ONLY.items():
                 builder = builder.config(k, v)
+            builder = builder.config("spark.sql.shuffle.partitions", str(2 * int(os.environ.get("BENCH_CPUS", "8"))))
             builder = builder.config("spark.driver.memory", os.environ.get("PADDOCK_DRIVER_MEMORY", "16g"))
         spark = builder.getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
@@ -62,8 +64,6 @@ def apply_defaults(spark: SparkSession) -> None:
     for k, v in _DEFAULTS.items():
         if not conf.contains(k):
             spark.conf.set(k, v)
-    if not conf.contains("spark.sql.shuffle.partitions"):
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

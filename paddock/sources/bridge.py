@@ -25,48 +25,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
 SENT = r"'\\N'"
 
-_READS: dict[tuple[str, int, str], DataFrame] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of a provided table; one DataFrame per session and path
-    so the file listing and footer read happen once.
-
-    A scan of at least ``SPREAD_MIN_BYTES`` with fewer splits than the
-    cluster has cores (one file with one row group, as in the provided
-    tables) is re-split once per session into a staged Parquet copy with
-    one file per core, so the row-level work after it is not a single task
-    and no query pays a spread shuffle. A scan of many files is already
-    parallel, and a tiny one is not worth it; both are read as they are.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        cores = spark.sparkContext.defaultParallelism
-        if _size_bytes(spark, path) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-            # re-split once per session into a staged copy (one file per
-            # core) in the shared scratch folder; later scans of it are
-            # parallel and keep column pruning and filter pushdown
-            staged = scratch_path(spark, f"staged-{name}")
-            df.repartition(cores).write.parquet(staged)
-            df = spark.read.parquet(staged)
-        _READS[key] = df
-    return _READS[key]
-
-
-SPREAD_MIN_BYTES = 512 * 1024
-
-
-def _size_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` via the Hadoop FileSystem (works on object stores)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    """Parquet scan of a provided table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _duration_text(price: str, style: str) -> str:
@@ -314,7 +278,7 @@ BRONZE_SQL: dict[str, tuple[str, str | None, list[str]]] = {
     ),
     "race_events_fatal_accidents_marshalls": (
         "orders",
-        "o_orderstatus = 'P'",
+        "NOT o_orderstatus <=> 'F'",
         [
             "concat('Marshal ', CAST(o_orderkey AS STRING)) AS name",
             "dayofmonth(o_orderdate) + 18 AS age",

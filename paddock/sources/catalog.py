@@ -4,21 +4,21 @@ A layer is a catalog schema (bronze, silver, gold, dashboard). On a
 cluster the schemas live under the shared warehouse; ``base_location``
 pins them to a folder (tests use the shared checkpoint folder).
 
-``build_silver`` / ``build_gold`` / ``build_dashboard`` run the layers
-in their fixed order, one Spark job per table; ``run_medallion`` chains
-them from Bronze tables in the catalog to the dashboard views.
+``build_silver``, ``silver_gate``, ``build_gold``, ``gold_gate`` and
+``create_dashboard_views`` run in that order, one Spark job per table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import to_silver
-from ..operators.quality import check_tables, gate, table_verdicts
+from ..operators.quality import GOLD_SUITES, check_table, check_tables, gate, table_verdicts
 from ..plans import views
 from ..plans.gold import GOLD_MODELS, GoldModels
 from .registry import CatalogSources
@@ -56,19 +56,13 @@ def send_to_schema(
     table: str,
     schema: str,
     partition_by: list[str] | None = None,
-    bucket_by: tuple[int, str] | None = None,
 ) -> None:
     """Overwrite ``schema.table`` (Delta where that jar is present, else
-    Parquet). ``bucket_by=(n, column)`` writes a bucketed, sorted Parquet
-    table, so later joins and aggregations on that column read co-located
-    buckets instead of shuffling."""
+    Parquet). With ``partition_by`` a filter on those columns prunes folders."""
     fmt = table_format(df.sparkSession)
     w = df.write.format(fmt).mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if bucket_by and fmt == "parquet":
-        n, col = bucket_by
-        w = w.bucketBy(n, col).sortBy(col)
     w.saveAsTable(f"{schema}.{table}")
 
 
@@ -94,31 +88,20 @@ def write_layer(tables: dict[str, DataFrame], schema: str, workers: int = 4) ->
     return _concurrently(one, sorted(tables), workers)
 
 
-# Silver tables keyed by race: bucketed on the race id so the fact-to-race
-# joins and per-race aggregates of the Gold build can skip their shuffle.
-RACE_KEYED = (
-    "race_data_races", "race_data_results", "race_data_sprint_results", "race_data_qualifying",
-    "race_data_lap_times", "race_data_pit_stops", "race_data_driver_standings",
-    "race_data_constructor_standings", "race_data_constructor_results",
-)
-
-
 def build_silver(
     spark: SparkSession,
     bronze: str,
     silver: str,
     tables: Iterable[str] | None = None,
     workers: int = 4,
-    race_buckets: int | None = None,
 ) -> list[str]:
     """Bronze -> Silver for each table (concurrent jobs), stamped with
-    ``transformed_at``; race-keyed tables bucketed when ``race_buckets``."""
+    ``transformed_at``."""
     names = list(tables) if tables is not None else list_tables(spark, bronze)
 
     def one(t: str) -> str:
         df = to_silver(spark.table(f"{bronze}.{t}").drop("ingested_at"), t)
-        bucket = (race_buckets, "raceid") if race_buckets and t in RACE_KEYED else None
-        send_to_schema(stamp(df, "transformed_at"), t, silver, bucket_by=bucket)
+        send_to_schema(stamp(df, "transformed_at"), t, silver)
         return t
 
     return _concurrently(one, names, workers)
@@ -141,35 +124,34 @@ def silver_gate(spark: SparkSession, silver: str, tables: Iterable[str]) -> Data
 def build_gold(
     spark: SparkSession, silver: str, gold: str, models: Iterable[str] = GOLD_MODELS, workers: int = 4
 ) -> list[str]:
-    """Write every Gold model. Models reference each other as plans (not
-    as written tables), so the writes are independent concurrent jobs."""
+    """Write every Gold model: first the race dimension, which other models
+    refer to and then read as a table, then the rest as concurrent jobs.
+    Models with a season are partitioned by it (rows are spread within a
+    season by the writing tasks, so a long season is no single task)."""
     src = CatalogSources(spark, silver)
     g = GoldModels(lambda name: src(name).drop("transformed_at", "ingested_at"))
     names = list(models)
-    plans = {m: g.ref(m) for m in names}  # build plans on the driver thread first
 
     def one(m: str) -> str:
-        send_to_schema(plans[m], m, gold)
+        df = g.ref(m)
+        send_to_schema(df, m, gold, partition_by=["year"] if m.startswith("fact_") and "year" in df.columns else None)
         return m
 
-    return _concurrently(one, names, workers)
+    if "dim_races" in names:
+        one("dim_races")
+        g.use("dim_races", spark.table(f"{gold}.dim_races"))
+    for m in names:  # build plans on the driver thread first
+        g.ref(m)
+    _concurrently(one, [m for m in names if m != "dim_races"], workers)
+    return names
 
 
-def build_dashboard(spark: SparkSession, gold: str, prefix: str = "") -> dict[str, DataFrame]:
-    """Register the five dashboard views (temp views over the Gold tables)."""
-    src = CatalogSources(spark, gold)
-    g = GoldModels(src, materialized=src)
-    master = views.historical_master(g)
-    out = {
-        "historical_master": master,
-        "historical_overview": views.historical_overview(master),
-        "historical_drivers_teams": views.historical_drivers_teams(master),
-        "historical_seasons": views.historical_seasons(master),
-        "historical_incidents": views.historical_incidents(src("event_race_incidents"), src("event_fatal_accidents")),
-    }
-    for name, df in out.items():
-        df.createOrReplaceTempView(f"{prefix}{name}")
-    return out
+def gold_gate(spark: SparkSession, gold: str) -> DataFrame:
+    """Run the Gold suites on the written tables; raise if any check failed."""
+    parts = [check_table(spark.table(f"{gold}.{m}"), m, checks) for m, checks in sorted(GOLD_SUITES.items())]
+    report = reduce(DataFrame.unionByName, parts)
+    gate(report)
+    return report
 
 
 def _q(name: str) -> str:
@@ -198,6 +180,10 @@ def create_dashboard_views(spark: SparkSession, gold: str, dashboard: str) -> li
         "historical_drivers_teams": f"SELECT {', '.join(map(_q, views.DRIVERS_TEAMS_COLUMNS))} FROM {master}",
         "historical_seasons": f"SELECT DISTINCT {', '.join(map(_q, views.SEASON_COLUMNS))} FROM {master}",
     }
+    defs["historical_incidents"] = (
+        f"SELECT {', '.join(views.cells_sql(views.INCIDENT_CELLS))} FROM {gold}.event_race_incidents"
+        f" UNION ALL SELECT {', '.join(views.cells_sql(views.ACCIDENT_CELLS))} FROM {gold}.event_fatal_accidents"
+    )
     for name, body in defs.items():
         spark.sql(f"CREATE OR REPLACE VIEW {dashboard}.{name} AS {body}")
     return list(defs)

@@ -1,7 +1,8 @@
 """Declared Bronze schemas for the race-data source files.
 
 Field order is the column order of the public race-data CSV files, so a
-header CSV can be read with ``schema=`` and no inference pass. Columns
+header CSV can be read with ``schema=`` and no inference pass (columns are
+matched by header name; this order is that of the resulting table). Columns
 that may hold the ``\\N`` sentinel or formatted times stay strings in
 Bronze; the Silver rules cast them. Names are as in the files; ingest
 sanitises them (lower case, blanks to ``_``).
@@ -9,9 +10,9 @@ sanitises them (lower case, blanks to ``_``).
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-S, I, D = StringType(), IntegerType(), DoubleType()
+S, I, D, L = StringType(), IntegerType(), DoubleType(), LongType()
 
 
 def _schema(*fields: tuple[str, object]) -> StructType:
@@ -21,53 +22,53 @@ def _schema(*fields: tuple[str, object]) -> StructType:
 # Source file columns, in file order, with their Bronze types.
 BRONZE_SCHEMAS: dict[str, StructType] = {
     "race_data_circuits": _schema(
-        ("circuitId", I), ("circuitRef", S), ("name", S), ("location", S), ("country", S),
-        ("lat", D), ("lng", D), ("alt", S), ("url", S),
+        ("circuitId", L), ("circuitRef", S), ("name", S), ("location", S), ("country", S),
+        ("lat", D), ("lng", D), ("alt", I), ("url", S),
     ),
     "race_data_constructors": _schema(
-        ("constructorId", I), ("constructorRef", S), ("name", S), ("nationality", S), ("url", S),
+        ("constructorId", L), ("constructorRef", S), ("name", S), ("nationality", S), ("url", S),
     ),
     "race_data_drivers": _schema(
-        ("driverId", I), ("driverRef", S), ("number", S), ("code", S), ("forename", S), ("surname", S),
+        ("driverId", L), ("driverRef", S), ("number", S), ("code", S), ("forename", S), ("surname", S),
         ("dob", S), ("nationality", S), ("url", S),
     ),
     "race_data_races": _schema(
-        ("raceId", I), ("year", I), ("round", I), ("circuitId", I), ("name", S), ("date", S), ("time", S),
+        ("raceId", L), ("year", I), ("round", I), ("circuitId", L), ("name", S), ("date", S), ("time", S),
         ("url", S), ("fp1_date", S), ("fp1_time", S), ("fp2_date", S), ("fp2_time", S), ("fp3_date", S),
         ("fp3_time", S), ("quali_date", S), ("quali_time", S), ("sprint_date", S), ("sprint_time", S),
     ),
     "race_data_results": _schema(
-        ("resultId", I), ("raceId", I), ("driverId", I), ("constructorId", I), ("number", S), ("grid", S),
+        ("resultId", L), ("raceId", L), ("driverId", L), ("constructorId", L), ("number", S), ("grid", S),
         ("position", S), ("positionText", S), ("positionOrder", I), ("points", D), ("laps", I), ("time", S),
         ("milliseconds", S), ("fastestLap", S), ("rank", S), ("fastestLapTime", S), ("fastestLapSpeed", S),
         ("statusId", I),
     ),
     "race_data_sprint_results": _schema(
-        ("resultId", I), ("raceId", I), ("driverId", I), ("constructorId", I), ("number", S), ("grid", S),
+        ("resultId", L), ("raceId", L), ("driverId", L), ("constructorId", L), ("number", S), ("grid", S),
         ("position", S), ("positionText", S), ("positionOrder", I), ("points", D), ("laps", I), ("time", S),
-        ("milliseconds", S), ("fastestLap", S), ("fastestLapTime", S), ("statusId", I),
+        ("milliseconds", S), ("fastestLap", S), ("rank", S), ("fastestLapTime", S), ("statusId", I),
     ),
     "race_data_qualifying": _schema(
-        ("qualifyId", I), ("raceId", I), ("driverId", I), ("constructorId", I), ("number", S),
+        ("qualifyId", L), ("raceId", L), ("driverId", L), ("constructorId", L), ("number", S),
         ("position", S), ("q1", S), ("q2", S), ("q3", S),
     ),
     "race_data_lap_times": _schema(
-        ("raceId", I), ("driverId", I), ("lap", I), ("position", S), ("time", S), ("milliseconds", S),
+        ("raceId", L), ("driverId", L), ("lap", I), ("position", S), ("time", S), ("milliseconds", S),
     ),
     "race_data_pit_stops": _schema(
-        ("raceId", I), ("driverId", I), ("stop", I), ("lap", I), ("time", S), ("duration", S),
+        ("raceId", L), ("driverId", L), ("stop", I), ("lap", I), ("time", S), ("duration", S),
         ("milliseconds", S),
     ),
     "race_data_driver_standings": _schema(
-        ("driverStandingsId", I), ("raceId", I), ("driverId", I), ("points", D), ("position", S),
+        ("driverStandingsId", L), ("raceId", L), ("driverId", L), ("points", D), ("position", S),
         ("positionText", S), ("wins", I),
     ),
     "race_data_constructor_standings": _schema(
-        ("constructorStandingsId", I), ("raceId", I), ("constructorId", I), ("points", D), ("position", S),
+        ("constructorStandingsId", L), ("raceId", L), ("constructorId", L), ("points", D), ("position", S),
         ("positionText", S), ("wins", I),
     ),
     "race_data_constructor_results": _schema(
-        ("constructorResultsId", I), ("raceId", I), ("constructorId", I), ("points", D), ("status", S),
+        ("constructorResultsId", L), ("raceId", L), ("constructorId", L), ("points", D), ("status", S),
     ),
     "race_data_seasons": _schema(("year", I), ("url", S)),
     "race_data_status": _schema(("statusId", I), ("status", S)),

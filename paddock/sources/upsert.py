@@ -10,13 +10,15 @@ same results come from joins and aggregates:
   partial step, so a key holding a third of all rows is reduced inside
   each task before the shuffle (a window would put it in one task). Ties
   on the order columns break on the remaining columns, deterministically.
-  The result is written to a staging table and swapped in, because a
-  table cannot be overwritten while it is being read.
+  The result is written beside the table, whose location then changes,
+  because a table cannot be overwritten while it is being read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,52 +35,35 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     ).select(*df.columns)
 
 
-def _is_delta(spark: SparkSession, table: str) -> bool:
-    try:
-        return spark.sql(f"DESCRIBE DETAIL {table}").first()["format"] == "delta"
-    except Exception:  # noqa: BLE001 - not a Delta table or no Delta support
-        return False
-
-
-def merge_insert_only(spark: SparkSession, table: str, incoming: DataFrame, keys: list[str]) -> None:
-    """``MERGE INTO ... WHEN NOT MATCHED THEN INSERT`` for Delta tables."""
-    view = f"_incoming_{abs(hash((table, tuple(keys)))) % 10**8}"
-    incoming.createOrReplaceTempView(view)
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    spark.sql(f"MERGE INTO {table} t USING {view} s ON {on} WHEN NOT MATCHED THEN INSERT *")
-
-
 def upsert_insert_only(spark: SparkSession, table: str, incoming: DataFrame, keys: list[str]) -> int:
     """Append rows with new keys to ``table`` (created if missing); returns
-    the number of appended rows. A Delta table takes a real ``MERGE``."""
-    if spark.catalog.tableExists(table) and _is_delta(spark, table):
-        before = spark.table(table).count()
-        merge_insert_only(spark, table, incoming, keys)
-        return spark.table(table).count() - before
-    if not spark.catalog.tableExists(table):
-        incoming.write.saveAsTable(table)
-        return spark.table(table).count()
-    add = new_rows(spark.table(table), incoming, keys).cache()
-    try:
-        n = add.count()
-        if n:
-            add.write.mode("append").saveAsTable(table)
-        return n
-    finally:
-        add.unpersist()
+    the number of appended rows, counted as they are written."""
+    seen = Observation()
+    exists = spark.catalog.tableExists(table)
+    add = new_rows(spark.table(table), incoming, keys) if exists else incoming
+    add.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").saveAsTable(table)
+    return seen.get["n"]
 
 
 def upsert_latest(spark: SparkSession, table: str, incoming: DataFrame, keys: list[str], order: list[str]) -> None:
-    """Latest row per key over old + new rows, via a staging table swap."""
+    """Latest row per key over old + new rows. The result is written beside
+    the table, which is then pointed at it in one catalog change: a failure
+    before leaves the old table, and readers never miss one."""
     if not spark.catalog.tableExists(table):
         latest_per_key(incoming, keys, order).write.saveAsTable(table)
         return
     merged = latest_per_key(spark.table(table).unionByName(incoming), keys, order)
-    staging = f"{table}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    merged.write.saveAsTable(staging)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    place = table_location(spark, table)
+    base = place.split("__v")[0].rstrip("/")
+    fresh = f"{base}__v{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(fresh)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+    spark.catalog.refreshTable(table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0]
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str], spread_by: str | None = None) -> None:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.quality import Check, check_table
 from ..session import cut_lineage, scratch_path
 from ..sources.upsert import latest_per_key, new_rows
 
@@ -38,11 +39,12 @@ def land_replay(
     per time slice, so file modification times follow event time), each
     slice as ``files_per_slice`` files. With ``redeliver`` every slice
     lands twice, like a producer retrying. Returns the files per delivery,
-    the ``maxFilesPerTrigger`` that makes one micro-batch per slice."""
+    the ``maxFilesPerTrigger`` that makes one micro-batch of each delivery
+    (so a redelivery is a later batch)."""
     bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     lo, hi = bounds.lo, bounds.hi
     if lo is None:  # an empty feed lands nothing
-        return files_per_slice * (2 if redeliver else 1)
+        return files_per_slice
     step = (hi - lo) / chunks
 
     def at(t) -> F.Column:
@@ -55,7 +57,7 @@ def land_replay(
             cond = cond & (F.col("ts") < at(start + step))
         for _ in range(2 if redeliver else 1):
             events.where(cond).repartition(files_per_slice).write.mode("append").parquet(folder)
-    return files_per_slice * (2 if redeliver else 1)
+    return files_per_slice
 
 
 def replay_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
@@ -114,20 +116,23 @@ def latest_upsert(table: str, keys: list[str], part: str):
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession  # the stream's session: table caches stay coherent
-        rows = batch.withColumn("_batch", F.lit(batch_id))
-        if not s.catalog.tableExists(table):
-            rows.write.partitionBy(part).saveAsTable(table)
-            return
-        touched = _touched(rows, part)
-        if not touched:
-            return
-        s.catalog.refreshTable(table)
-        old = s.table(table).where(F.col(part).isin(touched))
-        merged = latest_per_key(old.unionByName(rows), keys, ["_batch"])
-        merged = cut_lineage(merged.select(*s.table(table).columns))
-        # only the partitions present in ``merged`` are replaced
-        s.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        merged.write.insertInto(table, overwrite=True)
+        rows = batch.withColumn("_batch", F.lit(batch_id)).persist()  # the stateful plan runs once
+        try:
+            if not s.catalog.tableExists(table):
+                rows.write.partitionBy(part).saveAsTable(table)
+                return
+            touched = _touched(rows, part)
+            if not touched:
+                return
+            s.catalog.refreshTable(table)
+            old = s.table(table).where(F.col(part).isin(touched))
+            merged = latest_per_key(old.unionByName(rows), keys, ["_batch"])
+            merged = cut_lineage(merged.select(*s.table(table).columns))
+            # only the partitions present in ``merged`` are replaced
+            s.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            merged.write.insertInto(table, overwrite=True)
+        finally:
+            rows.unpersist()
 
     return upsert
 
@@ -151,8 +156,16 @@ def hourly_telemetry(stream: DataFrame, table: str, checkpoint: str, live: bool
     return _run(agg.writeStream.outputMode("update").foreachBatch(upsert), checkpoint, live)
 
 
+#: the suite of the event stream
+STREAM_CHECKS = [
+    Check("not_null", "event_id"), Check("not_null", "ts"), Check("not_null", "value"),
+    Check("between", "value", (0, 40)), Check("match", "event_type", r"^[a-z]+$"),
+]
+
+
 def dedupe_into_table(stream: DataFrame, table: str, metrics_table: str, checkpoint: str, live: bool = False) -> StreamingQuery:
-    """Insert each event id once; record per-batch quality counts.
+    """Insert each event id once; the quality suite runs on the rows that each
+    batch adds, and its report is kept by batch.
 
     The table is partitioned by event date; a redelivery lands within the
     watermark, so each batch is checked only against the dates it touches
@@ -165,20 +178,33 @@ def dedupe_into_table(stream: DataFrame, table: str, metrics_table: str, checkpo
             batch.dropDuplicates(["event_id"])
             .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
             .withColumn("event_date", F.to_date("ts"))
+            .withColumn("_batch", F.lit(batch_id))
         )
-        checks = rows.agg(
-            F.lit(batch_id).alias("batch_id"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("event_id").isNull() | F.col("ts").isNull()).alias("null_keys"),
-            F.count_if(F.col("value").isNull()).alias("null_values"),
-        )
-        checks.write.mode("append").saveAsTable(metrics_table)
-        if not spark.catalog.tableExists(table):
-            rows.write.partitionBy("event_date").saveAsTable(table)
-            return
-        spark.catalog.refreshTable(table)
-        seen = spark.table(table).where(F.col("event_date").isin(_touched(rows, "event_date")))
-        new_rows(seen, rows, ["event_id"]).select(*spark.table(table).columns).write.insertInto(table)
+        exists = spark.catalog.tableExists(table)
+        if exists:
+            rows = rows.persist()  # the stateful plan runs once
+            spark.catalog.refreshTable(table)
+            seen = spark.table(table).where(F.col("event_date").isin(_touched(rows, "event_date")))
+            # rows this batch wrote before a retry count as new again
+            add = new_rows(seen.where(F.col("_batch") != batch_id), rows, ["event_id"]).persist()
+        else:
+            add = rows.persist()
+        try:
+            report = check_table(add, "events", STREAM_CHECKS).withColumn("batch_id", F.lit(batch_id))
+            if spark.catalog.tableExists(metrics_table):
+                # a retried batch replaces its own report
+                spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+                report.write.insertInto(metrics_table, overwrite=True)
+            else:
+                report.write.partitionBy("batch_id").saveAsTable(metrics_table)
+            if exists:
+                fresh = new_rows(seen, add, ["event_id"])
+                fresh.select(*spark.table(table).columns).write.mode("append").insertInto(table)
+            else:
+                add.write.partitionBy("event_date").saveAsTable(table)
+        finally:
+            add.unpersist()
+            rows.unpersist()
 
     return _run(deduped.writeStream.foreachBatch(sink), checkpoint, live)
 

@@ -79,22 +79,6 @@ def test_partitioned_write_prunes(spark):
     assert "PartitionFilters: [isnotnull(year" in plan and scan.count() == 333
 
 
-def test_checked_broadcast_bound(spark):
-    from paddock.operators.joins import checked_broadcast, is_bounded
-
-    small, big = spark.range(10), spark.range(1000)
-    assert is_bounded(small, 10) and not is_bounded(big, 999)
-    fact = spark.range(100).withColumnRenamed("id", "k")
-    plan = fact.join(checked_broadcast(small, 10), fact.k == small.id)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = fact.join(checked_broadcast(big, 10), fact.k == big.id)._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan  # over the bound: no forced broadcast
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_sequence_numbers_descending_rank(spark):
     # the season ranking: descending score, ties broken by id, one season holding most rows
     rows = [(2001, i, float(i % 17)) for i in range(300)] + [(2000, i, float(i % 5)) for i in range(30)]
