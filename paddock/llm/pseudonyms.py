@@ -277,7 +277,7 @@ def stretches(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     at = np.flatnonzero(MARK[buf])
     row = np.searchsorted(off, at, "right") - 1
     blank = np.concatenate([[-1], np.flatnonzero(SPACE[buf]), [len(buf)]])
-    s = np.maximum(blank[np.searchsorted(blank, at - REACH, "right") - 1] + 1, off[row])
+    s = np.maximum(blank[np.searchsorted(blank, np.maximum(at - REACH, -1), "right") - 1] + 1, off[row])
     e = np.minimum(blank[np.searchsorted(blank, np.minimum(at + REACH, len(buf)))], off[row + 1])
     fresh = np.ones(len(at), bool)
     fresh[1:] = (row[1:] != row[:-1]) | (s[1:] > e[:-1])
