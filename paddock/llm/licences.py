@@ -161,8 +161,11 @@ def learn(docs: DataFrame, max_sample: int = MAX_SAMPLE, rare: float = 0.005) ->
     some = docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("sample")), F.lit(scale)) < int(scale * min(1.0, max_sample / total)))
     sample = stored(paragraphs(some).where("n = pmod(k, 3)").select("words"), "paragraph-sample")  # one line or none of each
     wordings = template_table(spark).withColumn("words", words_of(F.col("text")))
-    n = max(1, sample.count())
-    counts = sample.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    trigrams = wordings.where(F.col("family") != UNKNOWN).select(F.explode(ngrams("words", 3)).alias("t")).distinct()
+    like = F.array(*(F.lit(r["t"]) for r in trigrams.collect()))  # of the templates above
+    plain = sample.where(~F.arrays_overlap(ngrams("words", 3), like))  # licences may be common; they don't count as ordinary
+    n = max(1, plain.count())
+    counts = plain.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     vocabulary = wordings.where(F.col("family") != UNKNOWN).select(F.explode("words").alias("w")).distinct()
     picked = vocabulary.join(counts, "w", "left").where(F.coalesce("n", F.lit(0)) <= rare * n).where(F.length("w") > 1)
     triggers = sorted(r["w"] for r in picked.collect())  # words of the templates above
@@ -171,12 +174,10 @@ def learn(docs: DataFrame, max_sample: int = MAX_SAMPLE, rare: float = 0.005) ->
     # each wording whole, and with every seventh word or so left out
     variants = wordings.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS))).alias("v"))
     variants = variants.withColumn("words", F.expr("CASE WHEN v = 0 THEN words ELSE filter(words, (w, i) -> pmod(xxhash64(w, i, v), 7) <> 0) END"))
-    trigrams = wordings.where(F.col("family") != UNKNOWN).select(F.explode(ngrams("words", 3)).alias("t")).distinct()
-    like = F.array(*(F.lit(r["t"]) for r in trigrams.collect()))
-    plain = sample.where(~F.arrays_overlap(ngrams("words", 3), like)).select(F.lit(UNKNOWN).alias("family"), "words", F.pmod(F.xxhash64("words"), F.lit(VARIANTS + 1)).cast("int").alias("v"))
+    examples = plain.select(F.lit(UNKNOWN).alias("family"), "words", F.pmod(F.xxhash64("words"), F.lit(VARIANTS + 1)).cast("int").alias("v"))
     families = sorted(TEMPLATES)
     label = F.array_position(F.array(*(F.lit(f) for f in families)), F.col("family")).cast("double") - 1
-    rows = stored(with_features(variants.unionByName(plain), triggers).withColumn("label", label).select("label", "terms", "v"), "licence-examples")
+    rows = stored(with_features(variants.unionByName(examples), triggers).withColumn("label", label).select("label", "terms", "v"), "licence-examples")
     stages = [
         CountVectorizer(inputCol="terms", outputCol="f", binary=True, vocabSize=1 << 14),
         LogisticRegression(featuresCol="f", labelCol="label", rawPredictionCol="raw", probabilityCol="probs", predictionCol="hit", family="multinomial", regParam=2e-4, maxIter=60),
