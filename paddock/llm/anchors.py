@@ -71,10 +71,11 @@ def _edge_windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa
     as one row with both ends of their places."""
     back = PERIOD - 1
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    size = 0
+    size, last = 0, None
     for doc, tag, at, _, text in repeats.marked_texts(batches):
-        if not len(at):
+        if not len(at) or (doc, tag) == last:  # nothing at an edge, or a repeated row
             continue
+        last = (doc, tag)
         w = Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
         starts = np.unique((at[:, None] - np.arange(back + 1)[None]).ravel())
         starts = starts[(starts >= 0) & (starts + window <= len(w.h))]

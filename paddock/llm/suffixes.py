@@ -174,7 +174,11 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iter
     """The suffixes at edge anchors, in front-coded sorted runs by bucket;
     ``before`` holds the bytes before each, nearest first, padded with its count."""
     items: list[tuple] = []
+    last = None
     for doc, tag, at, _, text in repeats.marked_texts(batches):
+        if (doc, tag) == last:  # a repeated row
+            continue
+        last = (doc, tag)
         for a in np.unique(at).tolist():
             back = text[max(0, a - (length - k)) : a][::-1]
             suffix = text[a : a + length]
