@@ -222,7 +222,7 @@ def _match(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[p
     for _, table in key_runs(batches, 1):
         blocks = {c: table.column(c).to_pylist() for c in table.column_names}
         num = lambda c, t: [np.frombuffer(x, t) for x in blocks[c]]
-        doc, place = num("doc", "<i8"), num("place", "<i8")
+        doc, place = [x.tolist() for x in num("doc", "<i8")], [x.tolist() for x in num("place", "<i8")]
         runs = [Run(m.tolist(), s.tolist(), r) for m, s, r in zip(num("lcp", "<i4"), num("size", "<i4"), blocks["rest"], strict=True)]
         group: list[tuple[int, int]] = []
         shared: list[int] = []
@@ -230,11 +230,15 @@ def _match(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[p
 
         def close() -> None:
             if len(group) > 1:
-                d = np.array([doc[r][i] for r, i in group])
-                p = np.array([place[r][i] for r, i in group])
+                d = [doc[r][i] for r, i in group]
+                p = [place[r][i] for r, i in group]
                 w = reach + 1
                 back = [blocks["before"][r][i * w : (i + 1) * w] for r, i in group]
-                found.extend(_covered_in_group(d, p, back, shared, suffixes, length))
+                if len(group) <= PAIRWISE:
+                    back = [x[1 : 1 + x[0]] for x in back]
+                    found.extend(_covered_pairwise(d, p, back, shared, length))
+                else:
+                    found.extend(_covered_in_group(np.array(d), np.array(p), back, shared, suffixes, length))
 
         for r, i, m, suffix in merge(runs):
             if m < k and group:
@@ -256,6 +260,25 @@ def _marks(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(e)], names=["doc", "place", "stop"])
 
 
+#: groups of more are matched by classes, at a cost linear in the group
+PAIRWISE = 40
+
+
+def _covered_pairwise(doc: list[int], place: list[int], back: list[bytes], shared: list[int], length: int) -> Iterator[tuple[int, int, int]]:
+    """Small groups, pair by pair: what each shares forwards is the least
+    prefix length between them in sorted order."""
+    for j in range(1, len(doc)):
+        f = length
+        for i in range(j - 1, -1, -1):
+            f = min(f, shared[i + 1])
+            need = length - f
+            if min(len(back[i]), len(back[j])) < need or back[i][:need] != back[j][:need]:
+                continue
+            b = common_prefix(back[i], back[j], need)
+            later = j if (doc[i], place[i]) < (doc[j], place[j]) else i
+            yield doc[later], place[later] - b, place[later] + f
+
+
 def _covered_in_group(doc, place, back: list[bytes], shared: list[int], suffixes: list[bytes], length: int) -> Iterator[tuple[int, int, int]]:
     """A group is sorted by suffix; ``shared[i]`` is the prefix of i with i - 1.
     For each count b of bytes before, the strings from b before to
