@@ -86,19 +86,14 @@ def archive_bytes(records: list[bytes], level: int = 3) -> bytes:
 
     every = max(1, -(-sum(map(len, records)) // SAMPLE_BYTES))
     samples = [r[: SAMPLE_BYTES // 8] for r in records[::every]]
-    trained = None
-    if sum(map(len, samples)) >= 8 * 1024 and len(samples) >= 8:
-        try:
-            trained = zstd.train_dictionary(min(DICT_BYTES, sum(map(len, samples)) // 4), samples, k=256, d=8)
-        except zstd.ZstdError:  # too little in common: plain frames
-            trained = None
+    try:
+        trained = zstd.train_dictionary(min(DICT_BYTES, sum(map(len, samples)) // 4), samples, k=256, d=8)
+    except zstd.ZstdError:  # too few samples, or nothing in common: the samples themselves serve
+        trained = zstd.ZstdCompressionDict(b"".join(samples)[-DICT_BYTES:], dict_type=zstd.DICT_TYPE_RAWCONTENT)
     out = io.BytesIO()
-    if trained is not None:
-        body = zstd.ZstdCompressor(level=level).compress(trained.as_bytes())
-        out.write(struct.pack("<II", DICT_MAGIC, len(body)) + body)
-        compressor = zstd.ZstdCompressor(level=level, dict_data=trained, write_checksum=True)
-    else:
-        compressor = zstd.ZstdCompressor(level=level, write_checksum=True)
+    body = zstd.ZstdCompressor(level=level).compress(trained.as_bytes())
+    out.write(struct.pack("<II", DICT_MAGIC, len(body)) + body)
+    compressor = zstd.ZstdCompressor(level=level, dict_data=trained, write_checksum=True)
     for r in records:
         out.write(compressor.compress(r))
     return out.getvalue()
