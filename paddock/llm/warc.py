@@ -115,7 +115,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, date: str, limit: int
     def flush(records: list[bytes]) -> pa.RecordBatch:
         name = f"{uuid.uuid4().hex}.warc.zst"
         data = archive_bytes(records)
-        with files.open_output_stream(f"{base}/{name}") as f:
+        with files.open_output_stream(f"{base}/{name}", compression=None) as f:
             f.write(data)
         return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "records": pa.array([len(records)], pa.int64()), "bytes": pa.array([len(data)], pa.int64())})
 
@@ -180,7 +180,7 @@ def _read(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Reco
             files, at = _open(path)
             rows: list[tuple] = []
             size = 0
-            with files.open_input_stream(at) as f:
+            with files.open_input_stream(at, compression=None) as f:
                 for fields, block in read_records(f):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     kind = fields["warc-type"]
