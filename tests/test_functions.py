@@ -28,7 +28,8 @@ def _one(spark, col_expr, values, dtype="string"):
         ("abc", None),
         ("1:2:3:4", None),
         ("-5.0", None),
-        ("1.2345", None),
+        ("1.2345", 1234),  # digits beyond milliseconds are cut
+        ("1:26.4521", 86452),
     ],
 )
 def test_time_to_ms(spark, txt, ms):

@@ -30,3 +30,9 @@ def test_grouped_aggregates_are_partial(spark):
     df = entry_mod.queries()["fact_results"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_one_season_prunes_the_others(spark):
+    df = entry_mod.queries()["master_one_season"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ = 1997", plan)

@@ -28,8 +28,13 @@ def test_live_trigger_and_replay_are_idempotent(spark):
     )
     q2.awaitTermination()
     assert telemetry.read_table_fresh(spark, f"{schema}.events").count() == ev.count()
-    m = telemetry.read_table_fresh(spark, f"{schema}.metrics").agg(F.sum("rows"), F.sum("null_keys")).first()
-    assert m[0] >= ev.count() and m[1] == 0
+    # one report of the suite for each batch, of the rows the batch added
+    m = telemetry.read_table_fresh(spark, f"{schema}.metrics").where("check_name = 'expect_not_null'")
+    assert m.count() == 3 * m.select("batch_id").distinct().count()
+    assert m.agg(F.sum("unexpected_count")).first()[0] == 0
+    over = ev.where("value > 40 OR value < 0").count()
+    between = telemetry.read_table_fresh(spark, f"{schema}.metrics").where("check_name = 'expect_between'")
+    assert between.agg(F.sum("unexpected_count")).first()[0] == over
 
 
 def test_hourly_windows_equal_batch(spark):
@@ -79,3 +84,23 @@ def test_profile_approx_distinct(spark):
     df = spark.range(5000).selectExpr("id % 100 AS k", "CAST(NULL AS STRING) AS s")
     rows = {r.column_name: r for r in profile.profile(df, "t", approx=True).collect()}
     assert abs(rows["k"].distinct_count - 100) <= 5 and rows["s"].null_count == 5000
+
+
+def test_gate_stops_on_a_duplicate_key(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "race_id long, race_key string")
+    report = quality.check_table(df, "dim_races", quality.GOLD_SUITES["dim_races"])
+    assert {r.column_name: r.unexpected_count for r in report.collect()} == {"race_id": 1, "race_key": 1}
+    with pytest.raises(quality.QualityGateError, match="dim_races.race_key: expect_unique"):
+        quality.gate(report)
+
+
+def test_suites_hold_the_expected_checks():
+    from paddock.plans import oracle_checks as expected
+    from paddock.sources.registry import SOURCE_TABLES
+
+    have = [(t, c.kind, c.column, quality.rule_text(c)) for t in SOURCE_TABLES for c in quality.suite_for(t)]
+    assert have == [(e.table, e.kind, e.column, expected.rule(e)) for e in expected.SILVER]
+    gold = [(m, c.kind, c.column, quality.rule_text(c)) for m, cs in sorted(quality.GOLD_SUITES.items()) for c in cs]
+    assert gold == [(e.table, e.kind, e.column, expected.rule(e)) for e in expected.GOLD]
