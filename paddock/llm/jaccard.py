@@ -13,9 +13,12 @@ sign those as well, so no pair is lost.
 
 Sets that share a signature form families; equal sets are one vertex from
 the start, and within a batch a signature is sent once, so a signature that
-a third of all documents share costs a row for each batch. Inside a
-family, links are checked exactly in pairs of bounded blocks, each of which
-reports a spanning forest of its links and never the pairs.
+a third of all documents share costs a row for each batch. A family is
+first sieved by parity sketches (a bit for each hash value, flipped by each
+element; sets differ in at least as many elements as their sketches in
+bits), which are far smaller than texts, and what the sieve leaves
+connected is checked exactly. Both go in pairs of bounded blocks, each of
+which reports a spanning forest of its links and never the pairs.
 
 Null and empty text have no shingles and are linked with nothing; equal
 rows are one vertex; rows without an id take part and count as the largest
@@ -39,6 +42,8 @@ from .graph import components, components_of, runs
 
 #: shingles of a block; a family of more is checked block by block
 BLOCK_SHINGLES = 1_000_000
+#: shingles of a block of sketches (some 0.4 bytes each)
+SIEVE_SHINGLES = 20_000_000
 
 
 @dataclass
@@ -123,11 +128,62 @@ def set_key(u: np.ndarray) -> int:
     return int(mix(np.array([np.uint64(len(u)) + mix(u.copy()).sum(dtype=np.uint64)], np.uint64)).view(np.int64)[0])
 
 
+def sketch(u: np.ndarray) -> bytes:
+    """Parities of the elements by the low bits of their hashes: the least
+    power of two of bits (64 or more) that is twice the elements or more."""
+    bits = max(64, 1 << (2 * len(u) - 1).bit_length())
+    odd = np.bincount((mix(u.copy()) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sieve(n: np.ndarray, sketches: list[bytes], sides: np.ndarray, across: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (of different sides if ``across``) whose sizes and sketches allow
+    a link. A longer sketch is folded to the shorter one's bits."""
+    order = np.argsort(n, kind="stable")
+    words = np.array([len(x) // 8 for x in sketches])
+    groups = {}
+    for w in np.unique(words).tolist():
+        at = order[words[order] == w]
+        m = np.frombuffer(b"".join([sketches[i] for i in at]), np.uint64).reshape(-1, w)
+        groups[w] = (at, n[at], m, m[:, : w // 2] ^ m[:, w // 2 :] if w > 1 else None)
+    found = []
+    for w, (at, size, m, _) in groups.items():
+        for k, i in enumerate(at.tolist()):
+            most = 100 * size[k] // percent
+            parts = [(at, size, m, k + 1)]
+            if 2 * w in groups:
+                at2, size2, _, folded = groups[2 * w]
+                parts.append((at2, size2, folded, 0))
+            for other, sizes, bits, lo in parts:
+                hi = int(np.searchsorted(sizes, most, "right"))
+                if hi <= lo:
+                    continue
+                apart = np.bitwise_count(bits[lo:hi] ^ m[k]).sum(1, dtype=np.int64)
+                j = other[lo:hi][apart * (100 + percent) <= (sizes[lo:hi] + size[k]) * (100 - percent)]
+                if across:
+                    j = j[sides[j] != sides[i]]
+                if len(j):
+                    found.append(np.stack([np.full(len(j), i), j]))
+    pairs = np.concatenate(found, 1) if found else np.zeros((2, 0), np.int64)
+    return pairs[0], pairs[1]
+
+
+def _sift(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Block pairs (family, i, j, side, vertex, n_shingles, sketch) -> spanning edges."""
+    for (_, i, j), rows in runs(batches, 3):
+        name, n, side = (rows.column(c).to_numpy() for c in ("vertex", "n_shingles", "side"))
+        a, b = sieve(n, rows.column("sketch").to_pylist(), side, i != j, percent)
+        label = components_of(len(n), a, b)
+        own = np.flatnonzero(label != np.arange(len(n)))
+        yield pa.RecordBatch.from_arrays([pa.array(name[own]), pa.array(name[label[own]])], names=["a", "b"])
+
+
 def _keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, buf, off in text_chunks(batch):
-            got = [(len(u), set_key(u) if len(u) else None) for u in shingle_sets(buf, off, size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0)[rows], pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())], names=["doc_id", "n_shingles", "vertex"])
+            got = [(len(u), set_key(u) if len(u) else None, sketch(u) if len(u) else None) for u in shingle_sets(buf, off, size)]
+            cols = [pa.array([g[k] for g in got], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[rows], *cols], names=["doc_id", "n_shingles", "vertex", "sketch"])
 
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int, bands: Bands) -> Iterator[pa.RecordBatch]:
@@ -254,23 +310,33 @@ def _check(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array(name[own]), pa.array(name[label[own]])], names=["a", "b"])
 
 
+def _blocks(members: DataFrame, shingles: int, *columns: str, sizes: DataFrame | None = None) -> DataFrame:
+    """Members of families dealt to pairs of blocks of about so many shingles:
+    family, i, j, side and ``columns``, each pair of blocks together."""
+    total = (members if sizes is None else sizes).groupBy("family").agg(F.ceil(F.sum("n_shingles") / shingles).cast("int").alias("blocks"))
+    side = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("side")
+    dealt = members.join(total, "family").select("family", side, "blocks", *columns)
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", *columns)
+    return dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+
+
 def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: int = 0) -> DataFrame:
     """doc_id, n_shingles, component_id: documents link when 100 * common >=
     percent * union; the component is named by its smallest doc_id."""
     ship(docs.sparkSession)
     text = text_table(docs)
-    keys = stored(text.mapInArrow(lambda it: _keys(it, words), "doc_id long, n_shingles long, vertex long"), "sets")
-    vertices = keys.where("vertex IS NOT NULL").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
+    keys = stored(text.mapInArrow(lambda it: _keys(it, words), "doc_id long, n_shingles long, vertex long, sketch binary"), "sets")
+    known = keys.where("vertex IS NOT NULL").groupBy("vertex")
+    vertices = known.agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     postings = text.mapInArrow(lambda it: _sign(it, words, Bands(percent, n2, k2)), "sig long, vertex long")
     pairs = postings.repartition("sig").sortWithinPartitions("sig").mapInArrow(_pair_up, "a long, b long").distinct()
-    families = stored(components(pairs).withColumnRenamed("component", "family").join(vertices, "vertex"), "families")
-    sizes = families.groupBy("family").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    members = families.join(sizes, "family").withColumn("side", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    wide = components(pairs).withColumnRenamed("component", "family").join(vertices, "vertex")
+    sifted = _blocks(wide, SIEVE_SHINGLES, "vertex", "n_shingles", "sketch").mapInArrow(lambda it: _sift(it, percent), "a long, b long")
+    families = stored(components(sifted).withColumnRenamed("component", "family").join(vertices.drop("sketch"), "vertex"), "families")
     # texts meet their members by a shuffle at every size
-    held = text.withColumnRenamed("doc_id", "d").hint("merge").join(members, F.col("d").eqNullSafe(F.col("doc_id"))).select("family", "side", "vertex", "text", other.alias("o"))
-    blocks = held.select("family", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "vertex", "text")
-    blocks = blocks.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    held = text.withColumnRenamed("doc_id", "d").hint("merge").join(families, F.col("d").eqNullSafe(F.col("doc_id")))
+    blocks = _blocks(held, BLOCK_SHINGLES, "vertex", "text", sizes=families)
     links = blocks.mapInArrow(lambda it: _check(it, words, percent), "a long, b long")
     found = stored(components(links), "components")
     named = keys.join(found, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
