@@ -79,8 +79,28 @@ def test_every_similar_pair_shares_a_signature():
                 assert set(jaccard.signatures(a, bands).tolist()) & set(jaccard.signatures(b, bands).tolist())
 
 
+def test_the_sieve_passes_every_similar_pair():
+    rng = np.random.default_rng(9)
+    sets = []
+    for _ in range(40):
+        base = np.unique(rng.integers(0, 2**63, int(rng.integers(5, 300))).astype(np.uint64))
+        sets += [base, np.unique(np.concatenate([base[int(rng.integers(0, 4)) :], rng.integers(0, 2**63, int(rng.integers(0, 9))).astype(np.uint64)]))]
+    n = np.array([len(x) for x in sets])
+    sides = np.arange(len(sets)) % 2
+    for across in (False, True):
+        a, b = jaccard.sieve(n, [jaccard.sketch(x) for x in sets], sides, across, 80)
+        got = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
+        for i in range(len(sets)):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * common >= 80 * (n[i] + n[j] - common) and (not across or sides[i] != sides[j]):
+                    assert frozenset((i, j)) in got
+        assert len(got) < 400
+
+
 def test_blocks_report_the_links_across_them(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 200)  # the near copies fill many blocks
+    monkeypatch.setattr(jaccard, "SIEVE_SHINGLES", 300)
     got = jaccard.join(frame(spark), 3, 90).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(texts(), 3, 90)
 
