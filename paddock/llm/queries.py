@@ -120,3 +120,56 @@ def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+_TOKENS = "list_filter(string_split_regex(%s, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op1_ngram_jaccard"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_TOKENS % _FOLDED} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 2), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS s FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), low AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+"""
+
+ORACLE["op3_suffix_merge"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+wins AS (
+  SELECT doc_id, s, substr(h, 2 * s - 1, 200) AS win
+  FROM (SELECT doc_id, h, unnest(generate_series(1, n - 99)) AS s FROM d WHERE n >= 100)
+), later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS r FROM wins) WHERE r > 1),
+edges AS (SELECT doc_id, s, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM later),
+runs AS (SELECT doc_id, s, sum(CASE WHEN before IS NULL OR s > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM edges),
+spans AS (SELECT doc_id, r, min(s) AS s, max(s) + 100 AS e FROM runs GROUP BY doc_id, r),
+marked AS (SELECT doc_id, s, e, lag(e, 1, 1) OVER (PARTITION BY doc_id ORDER BY s) AS from_, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC) AS back FROM spans),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n_removed,
+    string_agg(substr(h, 2 * from_ - 1, 2 * (s - from_)) || CASE WHEN back = 1 THEN substr(h, 2 * e - 1) ELSE '' END, '' ORDER BY s) AS body
+  FROM marked JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(body, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op5_difference_cover"] = f"""
+WITH d AS (SELECT doc_id, {_TOKENS % "coalesce(text, '')"} AS w FROM documents),
+wins AS (
+  SELECT doc_id, s, array_to_string(list_slice(w, s, s + 34), ' ') AS win
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS s FROM d WHERE len(w) >= 35)
+), again AS (SELECT win FROM wins GROUP BY win HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 34)) AS p FROM wins SEMI JOIN again USING (win)),
+words AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS p, unnest(w) AS word FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(counts.n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
