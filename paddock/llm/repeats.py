@@ -54,18 +54,17 @@ def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nda
         return doc, start, stop
     order = np.lexsort((start, doc))
     doc, start, stop = doc[order], start[order], stop[order]
-    fresh_doc = np.concatenate([[True], doc[1:] != doc[:-1]])
-    # running maximum of stops within a document: lift each document above the one before
-    base = np.cumsum(fresh_doc) * (1 << 41)
-    low = stop & ((1 << PLACE_BITS) - 1)
-    high = np.maximum.accumulate(base + low)
-    begin = fresh_doc.copy()
-    lowstart = (start & ((1 << PLACE_BITS) - 1)) + base
-    begin[1:] |= (lowstart[1:] > high[:-1]) | ((start[1:] >> PLACE_BITS) != (start[:-1] >> PLACE_BITS))
+    low = np.int64((1 << PLACE_BITS) - 1)
+    tag = start & ~low
+    fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])
+    # running maximum of stops within a document: each is lifted above the one before
+    base = np.cumsum(fresh) * (1 << PLACE_BITS + 1)
+    high = np.maximum.accumulate(base + (stop & low))
+    begin = fresh.copy()
+    begin[1:] |= (start[1:] & low) + base[1:] > high[:-1]
     at = np.flatnonzero(begin)
     last = np.concatenate([at[1:], [len(doc)]]) - 1
-    tag = start[at] & ~np.int64((1 << PLACE_BITS) - 1)
-    return doc[at], start[at], tag + (high[last] - base[last])
+    return doc[at], start[at], tag[at] + (high[last] - base[last])
 
 
 def anchor_rows(batches: Iterator[pa.RecordBatch], find: Callable[[np.ndarray, np.ndarray], Anchors], keep_first: bool) -> Iterator[pa.RecordBatch]:

@@ -185,6 +185,14 @@ def test_difference_cover_removes_all_occurrences(spark, window):
     assert anchors.remove_repeats(empty(spark)).count() == 0
 
 
+def test_merged_intervals_keep_texts_under_one_id_apart():
+    from paddock.llm.repeats import PLACE_BITS, merged
+
+    t = 3 << PLACE_BITS
+    d, s, e = merged(*(np.array(x) for x in ([1, 1, 1, 1, 2, 1], [5, 0, t + 2, t + 50, 1, 8], [20, 6, t + 9, t + 60, 4, 30])))
+    assert list(zip(d.tolist(), s.tolist(), e.tolist(), strict=True)) == [(1, 0, 30), (1, t + 2, t + 9), (1, t + 50, t + 60), (2, 1, 4)]
+
+
 def test_cover_meets_every_shift():
     p, c = anchors.PERIOD, anchors.COVER
     assert {(a - b) % p for a in c for b in c} == set(range(p))
