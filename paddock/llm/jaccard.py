@@ -256,11 +256,15 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     if len(le) and len(re):
         rb = np.searchsorted(re, le)
         cnt = np.searchsorted(re, le, "right") - rb
-        for s in range(0, len(le), 1 << 18):
-            c = cnt[s : s + (1 << 18)]
-            rep = np.repeat(lo[s : s + (1 << 18)], c)
-            idx = np.repeat(rb[s : s + (1 << 18)] - (np.cumsum(c) - c), c) + np.arange(c.sum())
-            out += np.bincount(rep * len(right) + ro[idx], minlength=len(out))
+        upto = np.concatenate([[0], np.cumsum(cnt)])
+        s = 0
+        while s < len(le):  # at most some 2^20 pairs at a time
+            e = max(s + 1, int(np.searchsorted(upto, upto[s] + (1 << 20), "right")) - 1)
+            c = cnt[s:e]
+            rep = np.repeat(lo[s:e], c)
+            idx = np.repeat(rb[s:e] - (upto[s:e] - upto[s]), c) + np.arange(upto[e] - upto[s])
+            np.add.at(out, rep * len(right) + ro[idx], 1)
+            s = e
     out = out.reshape(len(left), len(right))
     many = np.flatnonzero(pairs > 256)
     for s in range(0, len(many), 1024):
