@@ -1,15 +1,17 @@
 """Table inspection as DataFrames.
 
 ``profile`` computes, in one aggregation pass, per column: type, row
-count, NULL count and distinct count (exact by default; ``approx=True``
-uses HyperLogLog, a fixed-size sketch per task, for very large tables)
-and unpivots it to one row per column. ``distinct_sorted`` and ``head``
+count and NULL count, and unpivots it to one row per column. Distinct
+counts are exact for the columns named in ``distinct`` (each a grouped
+pass of its own; one pass over all would multiply the rows by the number
+of columns) or, with ``approx=True``, sketches for every column. ``distinct_sorted`` and ``head``
 are the other inspection modes; ``layer_inventory`` lists every table
 of a layer with its row and column counts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,20 +20,28 @@ from pyspark.sql import functions as F
 from ..functions._col import ident, lit_sql
 
 
-def profile(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame, table: str, distinct: Sequence[str] = (), approx: bool = False) -> DataFrame:
     fields = df.schema.fields
     aggs = ["count(1) AS n_rows"]
     for i, f in enumerate(fields):
         c = ident(f.name)
-        distinct = f"approx_count_distinct({c})" if approx else f"count(DISTINCT {c})"
-        aggs += [f"count_if({c} IS NULL) AS z{i}", f"{distinct} AS d{i}"]
+        aggs += [f"count_if({c} IS NULL) AS z{i}", f"{f'approx_count_distinct({c})' if approx else 'CAST(NULL AS BIGINT)'} AS d{i}"]
     rows = ", ".join(
         f"{lit_sql(table)}, {i}, {lit_sql(f.name)}, {lit_sql(f.dataType.simpleString())}, n_rows, z{i}, d{i}"
         for i, f in enumerate(fields)
     )
-    return df.selectExpr(*aggs).selectExpr(
+    out = df.selectExpr(*aggs).selectExpr(
         f"stack({len(fields)}, {rows}) AS (table_name, ordinal, column_name, data_type, row_count, null_count, distinct_count)"
     )
+    if not distinct:
+        return out
+    counts = [
+        df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("column_name"), "n")
+        for c in distinct
+    ]
+    exact = reduce(DataFrame.unionByName, counts)
+    kept = [c for c in out.columns if c != "distinct_count"]
+    return out.join(exact, "column_name", "left").select(*kept, F.coalesce("n", "distinct_count").alias("distinct_count"))
 
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:

@@ -326,7 +326,8 @@ _FR_TYPES = [
 ORACLE["profile_fact_results"] = o.sql(
     "\nUNION ALL\n".join(
         f"SELECT 'fact_results' AS table_name, {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
-        f"count(*) AS row_count, count_if({c} IS NULL) AS null_count, count(DISTINCT {c}) AS distinct_count FROM fact_results"
+        f"count(*) AS row_count, count_if({c} IS NULL) AS null_count, "
+        f"{f'count(DISTINCT {c})' if c in ('driver_id', 'team_id', 'race_id', 'year', 'status') else 'CAST(NULL AS BIGINT)'} AS distinct_count FROM fact_results"
         for i, (c, t) in enumerate(_FR_TYPES)
     ),
     "fact_results",

@@ -580,8 +580,8 @@ def trend_driver_team(spark, sf_dir):
 
 @register("profile_fact_results")
 def profile_fact_results(spark, sf_dir):
-    """Per-column rows, NULLs and exact distinct counts."""
-    return profile.profile(gold_models(spark, sf_dir).ref("fact_results"), "fact_results")
+    """Per-column rows and NULLs, exact distinct counts of the keys."""
+    return profile.profile(gold_models(spark, sf_dir).ref("fact_results"), "fact_results", ("driver_id", "team_id", "race_id", "year", "status"))
 
 
 @register("profile_distinct_sorted")

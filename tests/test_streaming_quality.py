@@ -73,7 +73,7 @@ def test_profile_counts(spark):
     from paddock.operators import profile
 
     df = spark.createDataFrame([(1, "a", dt.date(2020, 1, 1)), (2, None, None), (2, "a", None)], "k int, s string, d date")
-    rows = {r.column_name: r for r in profile.profile(df, "t").collect()}
+    rows = {r.column_name: r for r in profile.profile(df, "t", df.columns).collect()}
     assert rows["k"].distinct_count == 2 and rows["s"].null_count == 1 and rows["d"].null_count == 2
     assert rows["d"].data_type == "date" and rows["k"].row_count == 3
 
