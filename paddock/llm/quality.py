@@ -5,10 +5,11 @@ that fail the base rules go; for the rest, a vector of transformed
 statistics is compared with the robust centre and scatter of its language
 and source: a minimum-covariance-determinant estimate found by
 concentration steps from the deterministic start of medians and median
-deviations. Each step is two grouped aggregations over all rows (the
-distance quantile, then the moments of the rows within it), so a group of
-any size is estimated without gathering it; groups with too few rows use
-the estimate of their language, or of the whole corpus.
+deviations, repeated until no group's determinant falls any more. Each
+step is two grouped aggregations over all rows (the distance quantile, then
+the moments of the rows within it), so a group of any size is estimated
+without gathering it; groups with too few rows use the estimate of their
+language, or of the whole corpus.
 
 Null text has no words and fails; null language or source is a group of
 its own; repeated rows are rows of their own; an empty table gives no rows.
@@ -33,8 +34,8 @@ UPPER[65:91] = True
 PUNCT = np.zeros(256, bool)
 PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
-#: least standard deviation of each transformed statistic: differences
-#: below it are no evidence against a document
+#: least standard deviation of each transformed statistic, where the
+#: estimated one is smaller: it keeps constant statistics from rejecting
 FLOORS = {"length": 1.0, "word_size": 0.08, "symbols": 0.06, "dup_lines": 0.15, "repeats": 0.12, "upper": 0.08, "punctuation": 0.06}
 DIMS = len(FLOORS)
 STATS = [f"x{k}" for k in range(DIMS)]
@@ -146,27 +147,41 @@ def _pairs() -> list[tuple[int, int]]:
 
 
 def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Moments of each group -> centre and inverse scatter."""
-    floor = np.diag(np.square(list(FLOORS.values())))
+    """Moments of each group -> centre, inverse scatter and the log of the
+    scatter's determinant. In units of the floors, a direction whose variance
+    is below 1 gets 1; the others keep theirs."""
+    least = np.array(list(FLOORS.values()))
+    units = np.outer(least, least)
     for b in batches:
         n = b.column("n").to_numpy()
         mean = np.stack([b.column(f"s{k}").to_numpy() for k in range(DIMS)], 1) / n[:, None]
         cov = np.zeros((len(n), DIMS, DIMS))
         for i, j in _pairs():
             cov[:, i, j] = cov[:, j, i] = b.column(f"q_{i}_{j}").to_numpy() / n - mean[:, i] * mean[:, j]
-        inverse = np.linalg.inv(cov + floor)
-        arrays = [b.column("g"), *(pa.array(mean[:, k]) for k in range(DIMS)), *(pa.array(inverse[:, i, j]) for i, j in _pairs())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["g", *(f"m{k}" for k in range(DIMS)), *(f"p_{i}_{j}" for i, j in _pairs())])
+        variance, axes = np.linalg.eigh(cov * CONSISTENCY / units)
+        variance = np.maximum(variance, 1.0)
+        inverse = (axes / variance[:, None, :]) @ axes.transpose(0, 2, 1) / units
+        arrays = [b.column("g"), pa.array(np.log(variance).sum(1)), *(pa.array(mean[:, k]) for k in range(DIMS)), *(pa.array(inverse[:, i, j]) for i, j in _pairs())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["g", "ld", *(f"m{k}" for k in range(DIMS)), *(f"p_{i}_{j}" for i, j in _pairs())])
 
 
-SOLVED = "g string, " + ", ".join(f"m{k} double" for k in range(DIMS)) + ", " + ", ".join(f"p_{i}_{j} double" for i, j in _pairs())
+SOLVED = "g string, ld double, " + ", ".join(f"m{k} double" for k in range(DIMS)) + ", " + ", ".join(f"p_{i}_{j} double" for i, j in _pairs())
 
 
 def _group(*cols: Column) -> Column:
     return F.concat_ws("\x1f", *(F.coalesce(c, F.lit("\x1e")) for c in cols))
 
 
-def fit(measured: DataFrame, steps: int = 3, share: float = 0.75, min_rows: int = 200) -> tuple[DataFrame, DataFrame]:
+#: rows that the scatter is taken from
+SHARE = 0.75
+#: what makes the scatter of that share of a normal cloud the whole cloud's: share / P(chi-square of DIMS + 2 <= q),
+#: q being the quantile of that share of a chi-square of DIMS (9.037)
+CONSISTENCY = 1.3248
+#: a determinant's logarithm that falls by less has stopped
+STILL = 1e-4
+
+
+def fit(measured: DataFrame, min_rows: int = 200) -> tuple[DataFrame, DataFrame]:
     """(groups g of language and source with the key of the estimate they
     use, estimates by that key)."""
     rows = measured.withColumn("g", _group(F.col("lang"), F.col("source"))).withColumn("l", _group(F.col("lang")))
@@ -180,19 +195,25 @@ def fit(measured: DataFrame, steps: int = 3, share: float = 0.75, min_rows: int
     centre = stored(levels.groupBy("g").agg(*(quant(x, 0.5).alias(f"m{k}") for k, x in enumerate(STATS))), "mcd-centre")
     spread = levels.join(centre, "g").groupBy("g").agg(*(quant(F.abs(F.col(x) - F.col(f"m{k}")), 0.5).alias(f"d{k}") for k, x in enumerate(STATS)))
     least = list(FLOORS.values())
-    inverse = [(F.lit(1.0) / (F.pow(F.col(f"d{i}") * 1.4826, 2) + least[i] ** 2) if i == j else F.lit(0.0)).alias(f"p_{i}_{j}") for i, j in _pairs()]
-    estimate = stored(centre.join(spread, "g").select("g", *(f"m{k}" for k in range(DIMS)), *inverse), "mcd-start")
-    for step in range(steps):
+    inverse = [(F.lit(1.0) / (F.greatest(F.pow(F.col(f"d{i}") * 1.4826, 2), F.lit(least[i] ** 2))) if i == j else F.lit(0.0)).alias(f"p_{i}_{j}") for i, j in _pairs()]
+    estimate = stored(centre.join(spread, "g").select("g", F.lit(float("inf")).alias("best"), *(f"m{k}" for k in range(DIMS)), *inverse), "mcd-start")
+    step, fallen = 0, float("inf")
+    while fallen > STILL:
         near = levels.join(estimate, "g").withColumn("d2", _distance())
-        cut = stored(near.groupBy("g").agg(quant("d2", share).alias("cut")), f"mcd-cut-{step}")
+        cut = stored(near.groupBy("g").agg(quant("d2", SHARE).alias("cut")), f"mcd-cut-{step}")
         core = near.join(cut, "g").where("d2 <= cut")
         sums = [F.sum(x).alias(f"s{k}") for k, x in enumerate(STATS)] + [F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"q_{i}_{j}") for i, j in _pairs()]
-        estimate = stored(core.groupBy("g").agg(F.count("*").alias("n"), *sums).mapInArrow(_solve, SOLVED), f"mcd-{step}")
-    return uses, estimate
+        solved = core.groupBy("g").agg(F.count("*").alias("n"), *sums).mapInArrow(_solve, SOLVED)
+        following = solved.join(estimate.select("g", F.col("best").alias("before")), "g")
+        estimate = stored(following.withColumn("best", F.least("ld", "before")).withColumn("fallen", F.col("before") - F.col("ld")), f"mcd-{step}")
+        # against the least so far, which is bounded below: an approximate quantile can't make it go round
+        fallen = estimate.agg(F.max("fallen")).first()[0] or 0.0
+        step += 1
+    return uses, estimate.drop("ld", "best", "before", "fallen")
 
 
-#: squared distance that one in a million rows of a normal cloud of as many dimensions exceeds
-CUTOFF = 40.0
+#: squared distance that one in a thousand rows of a normal cloud exceeds: the 0.999 quantile of a chi-square of DIMS = 7
+CUTOFF = 24.322
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF, min_rows: int = 200) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -122,6 +123,29 @@ def test_outliers_of_a_group_are_rejected(spark):
     assert all(got[i] for i in range(400)) and not any(got[1000 + i] for i in range(30))
 
 
+def test_junk_between_the_quantiles_is_rejected(spark):
+    # a tenth of the characters are symbols: distance 29 to 40 under scatter + floors
+    rng = random.Random(8)
+    rows = [(i, "\n".join(sentence(rng, 30) for _ in range(4))) for i in range(600)]
+    for i in range(20):
+        w = sentence(rng, 120).split(" ")
+        rows.append((1000 + i, "\n".join(" ".join(x + "#|" * (k % 4 == 0) for k, x in enumerate(w[s : s + 30])) for s in range(0, 120, 30))))
+    got = {r.doc_id: r for r in quality.judge(frame(spark, rows), min_rows=50).collect()}
+    assert not any(got[1000 + i].kept for i in range(20))
+    assert sum(not got[i].kept for i in range(600)) <= 6
+    tight = quality._solve(iter([solvable(np.diag([4.0, 0.25, 1, 1, 1, 1, 1]))]))  # in squared floors
+    b = next(tight)
+    assert np.allclose([b.column("p_0_0")[0].as_py(), b.column("p_1_1")[0].as_py()], [1 / (4 * quality.CONSISTENCY), 1 / quality.FLOORS["word_size"] ** 2])
+
+
+def solvable(cov):
+    """The moments of 1000 rows of centre 0 whose scatter is ``cov`` squared floors."""
+    least = np.array(list(quality.FLOORS.values()))
+    cov = cov * np.outer(least, least)
+    cols = {"g": ["a"], "n": [1000], **{f"s{k}": [0.0] for k in range(quality.DIMS)}, **{f"q_{i}_{j}": [1000 * cov[i, j]] for i, j in quality._pairs()}}
+    return pa.RecordBatch.from_pydict(cols)
+
+
 # --- toxicity ------------------------------------------------------------------------
 
 
