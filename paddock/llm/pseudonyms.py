@@ -8,6 +8,14 @@ the format only, so equal values stay equal across documents, different
 ones stay different, formats and check digits stay valid, and the holder of
 the key can invert it.
 
+A run of digit groups, or of groups after a country's letters, may hold more
+than the value (an expiry date, a code, a word): its readings that begin and
+end at group borders are tried in a fixed order and the first that validates
+is replaced. A replacement that would make another reading of its run come
+first is permuted again, so that an inversion meets the same reading; only
+then does a value's replacement depend on its run. (Where other values of the
+same run are replaced too, that is checked against the run as it was.)
+
 Null text stays null; text without values stays as it is; rows are handled
 one by one, so ids, repeats and other columns don't matter; an empty table
 gives no rows.
@@ -214,7 +222,7 @@ NUMBERS = re.compile(
     r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
     r"|(?P<date>(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-]))"
+    r"|(?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?![\w])|(?<![\w+])\+\d{8,15}(?!\w))"
 )
 
@@ -236,23 +244,105 @@ class Scrubber:
         return self.replaced("email", m[0])
 
     def _number(self, m: re.Match) -> str:
-        kind, value = m.lastgroup, m[0]
-        new = self.replaced(kind, value)
+        new = self.replaced(m.lastgroup, m[0])
         if new is None:
-            if kind == "card":  # a run of groups may end in a number plan's format
-                return PHONE_ONLY.sub(self._number, value)
-            return value
-        self.counts[kind] = self.counts.get(kind, 0) + 1
+            return m[0]
+        self.counts[m.lastgroup] = self.counts.get(m.lastgroup, 0) + 1
         return new
 
+    def _first(self, kind: str, text: str, spans: list[tuple[int, int]]) -> tuple[int, int] | None:
+        return next((x for x in spans if self.replaced(kind, text[x[0] : x[1]]) is not None), None)
+
+    def _grouped(self, m: re.Match) -> tuple[str, int]:
+        """What replaces the text from the match of a card or IBAN on, and up to where."""
+        kind, text, at = m.lastgroup, m.string, m.start()
+        spans = card_spans(m) if kind == "card" else iban_spans(m)
+        found = self._first(kind, text, spans)
+        if found is None:
+            if kind == "iban":
+                return m[0], m.end()
+            stop = max([m.end(), *(x.end() for x in PART.finditer(text, at, RUN.match(text, at).end()) if x.start() < m.end())])
+            return self._parts(text, at, stop), stop
+        s, e = found
+        new = self.replaced(kind, text[s:e])
+        end = max(x[1] for x in spans)
+        while len(spans) > 1 and self._first(kind, new_run := text[at:s] + new + text[e:end], [(x - at, y - at) for x, y in spans]) != (s - at, e - at):
+            new = self.replaced(kind, new_run[s - at : e - at])
+        self.counts[kind] = self.counts.get(kind, 0) + 1
+        return (self._parts(text, at, s) if kind == "card" else text[at:s]) + new, e
+
+    def _parts(self, text: str, s: int, e: int) -> str:
+        """Groups that are no card may still hold shorter values of strict formats."""
+        out = []
+        for m in PART.finditer(text, s, e):
+            out += [text[s : m.start()], self._number(m)]
+            s = m.end()
+        return "".join([*out, text[s:e]])
+
     def scrub(self, text: str) -> tuple[str, dict[str, int]]:
         self.counts = {}
         if "@" in text:
             text = EMAIL.sub(self._email, text)
-        return NUMBERS.sub(self._number, text), self.counts
-
+        out, at = [], 0
+        while m := NUMBERS.search(text, at):
+            new, stop = self._grouped(m) if m.lastgroup in ("card", "iban") else (self._number(m), m.end())
+            out += [text[at : m.start()], new]
+            at = stop
+        return "".join([*out, text[at:]]), self.counts
+
+
+#: a run of digit groups; a card that begins in the first 19 digits ends within so many groups
+RUN = re.compile(r"\d+(?:[ -]\d+){0,40}")
+DIGITS = re.compile(r"\d+")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+PART = re.compile(
+    r"(?P<date>(?<![\d/.-])(?:\d{4}-\d{2}-\d{2})(?![\d/-]))"
+    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
+    r"|(?P<phone>(?<![\w+])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w))"
+)
+#: lengths of card numbers, the most common first
+CARDS = (16, 15, 14, 13, 19, 18, 17)
+#: lengths of the registered IBANs
+IBANS = {
+    n: cs.split()
+    for n, cs in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM TL SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
+IBAN_LENGTH = {c: n for n, cs in IBANS.items() for c in cs}
+
+
+def card_spans(m: re.Match) -> list[tuple[int, int]]:
+    """Readings of a run of digit groups, from border to border: by length, then from the left."""
+    groups = [g.span() for g in DIGITS.finditer(m.string, m.start(), RUN.match(m.string, m.start()).end())]
+    by_length: dict[int, list[tuple[int, int]]] = {}
+    for i, (s, _) in enumerate(groups):
+        if s >= m.end():
+            break
+        n = 0
+        for a, e in groups[i:]:
+            n += e - a
+            if n > CARDS[4]:
+                break
+            by_length.setdefault(n, []).append((s, e))
+    return [x for n in CARDS for x in by_length.get(n, ())]
+
+
+def iban_spans(m: re.Match) -> list[tuple[int, int]]:
+    """Readings of the IBANs that may begin in a match, from a start to a
+    border: from the left, the country's length, then the longest."""
+    out, inner = [], m
+    while inner and inner.start() < m.end():
+        s = inner.start()
+        ends = [s + k for k, c in enumerate(inner[0]) if c == " "] + [inner.end()]
+        sized = [(len(m.string[s:e].replace(" ", "")), e) for e in ends]
+        known = IBAN_LENGTH.get(inner[0][:2])
+        out += [(s, e) for n, e in sorted(sized, key=lambda x: (x[0] != known, -x[0])) if 15 <= n <= 34]
+        inner = IBAN.search(m.string, s + 4)
+    return out
 
-PHONE_ONLY = re.compile(r"(?P<phone>(?<![\w+])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w))")
 
 _SCRUBBERS: dict[tuple[bytes, bool], Scrubber] = {}
 
