@@ -10,8 +10,9 @@ out of the fit, and a prediction counts as confirmed when the paragraph and
 a template of the family share enough word 3-grams.
 
 The fit reads the templates and at most about ``max_sample`` corpus
-paragraphs (an id-hash sample); triggers, features and scores then cover
-every paragraph. Null and empty text have no paragraphs: no licence. Rows
+paragraphs (an id-hash sample, any line of a document); triggers come from
+the counts of the template words over all paragraphs, and features and scores
+cover every paragraph. Null and empty text have no paragraphs: no licence. Rows
 are judged one by one (a repeated row as its twin, null ids kept); an empty
 table gives no rows.
 """
@@ -154,23 +155,36 @@ def margins(scored: DataFrame, families: list[str]) -> DataFrame:
     return out.withColumn("family", F.col("_best.f")).drop("_best", "raw", "probs", "hit")
 
 
+def pick_triggers(docs: DataFrame, wordings: DataFrame, like: Column, rare: float) -> list[str]:
+    """Template words that at most ``rare`` of all ordinary paragraphs have,
+    and the rarest word of each wording, so that none is out of reach."""
+    known = [r["words"] for r in wordings.where(F.col("family") != UNKNOWN).select("words").collect()]  # the constants above
+    vocabulary = sorted({w for ws in known for w in ws})
+    least = min(len(set(ws[i : i + 3])) for ws in known for i in range(len(ws) - 2))
+    held = paragraphs(docs).select("words", F.array_intersect("words", F.array(*(F.lit(w) for w in vocabulary))).alias("held"))
+    # licences may be common; they don't count as ordinary. Only paragraphs with enough template words can be like them
+    alike = F.when(F.size("held") >= least, F.arrays_overlap(ngrams("words", 3), like)).otherwise(False)
+    ordinary = held.where(~alike).select(F.explode(F.concat(F.array(F.lit("")), "held")).alias("w"))  # "" counts the paragraphs
+    counts = {r["w"]: r["n"] for r in ordinary.groupBy("w").agg(F.count("*").alias("n")).collect()}  # at most the vocabulary
+    n = max(1, counts.get("", 0))
+    usable = [w for w in vocabulary if len(w) > 1]
+    rarest = {min((w for w in ws if len(w) > 1), key=lambda w: (counts.get(w, 0), w)) for ws in known}
+    return sorted({w for w in usable if counts.get(w, 0) <= rare * n} | rarest)
+
+
 def learn(docs: DataFrame, max_sample: int = MAX_SAMPLE, rare: float = 0.005) -> Model:
     spark = docs.sparkSession
     total = max(1, docs.count())
     scale = 1 << 20
     some = docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("sample")), F.lit(scale)) < int(scale * min(1.0, max_sample / total)))
-    sample = stored(paragraphs(some).where("n = pmod(k, 3)").select("words"), "paragraph-sample")  # one line or none of each
+    # one line with a word of each text, wherever it stands
+    drawn = paragraphs(some).groupBy("k").agg(F.min(F.struct(F.xxhash64("k", "n").alias("h"), "n", "words")).alias("line"))
+    sample = stored(drawn.select("line.words"), "paragraph-sample")
     wordings = template_table(spark).withColumn("words", words_of(F.col("text")))
     trigrams = wordings.where(F.col("family") != UNKNOWN).select(F.explode(ngrams("words", 3)).alias("t")).distinct()
     like = F.array(*(F.lit(r["t"]) for r in trigrams.collect()))  # of the templates above
-    plain = sample.where(~F.arrays_overlap(ngrams("words", 3), like))  # licences may be common; they don't count as ordinary
-    n = max(1, plain.count())
-    counts = plain.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    vocabulary = wordings.where(F.col("family") != UNKNOWN).select(F.explode("words").alias("w")).distinct()
-    picked = vocabulary.join(counts, "w", "left").where(F.coalesce("n", F.lit(0)) <= rare * n).where(F.length("w") > 1)
-    triggers = sorted(r["w"] for r in picked.collect())  # words of the templates above
-    if not triggers:
-        triggers = ["license"]
+    plain = sample.where(~F.arrays_overlap(ngrams("words", 3), like))
+    triggers = pick_triggers(docs, wordings, like, rare)
     # each wording whole, and with every seventh word or so left out
     variants = wordings.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS))).alias("v"))
     variants = variants.withColumn("words", F.expr("CASE WHEN v = 0 THEN words ELSE filter(words, (w, i) -> pmod(xxhash64(w, i, v), 7) <> 0) END"))

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from paddock.llm import decontaminate, licences, packing, pseudonyms, quality, toxicity, warc
@@ -347,6 +348,20 @@ def test_licences_are_told_apart(spark):
 # --- registration and the pipeline -----------------------------------------------------------
 
 
+def test_triggers_come_from_all_paragraphs(spark):
+    # first lines of a hot source have licence words; the licences stand further down
+    rng = random.Random(5)
+    rows = [(i, "\n".join([f"License: ISC, version 2, gnu mit apache copyright header {i}" if i % 3 else sentence(rng, 6), *(sentence(rng, 6) for _ in range(300))])) for i in range(60)]
+    rows += [(100 + i, "\n".join([sentence(rng, 6) for _ in range(5)] + [line])) for i, line in enumerate(("Released under the MIT License.", "SPDX-License-Identifier: Apache-2.0"))]
+    words = licences.template_table(spark).withColumn("words", licences.words_of(F.col("text")))
+    model = licences.learn(frame(spark, rows))
+    assert {"license", "mit", "gnu", "copyright"} <= set(model.triggers)  # 40 of over 18,000 paragraphs
+    got = {r.doc_id: r.family for r in licences.scan(frame(spark, rows)).collect()}
+    assert got[100] == "mit" and got[101] == "apache"
+    every = licences.pick_triggers(frame(spark, rows), words, F.array(F.lit("none at all")), -1.0)
+    assert all(set(every) & set(r.words) for r in words.where("family <> 'unknown'").collect())  # each wording keeps one
+
+
 def test_queries_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES)
     assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
