@@ -34,7 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, mix, shingles, ship, signed, stored, text_chunks, text_table
@@ -183,7 +183,7 @@ def _keys(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         for rows, buf, off in text_chunks(batch):
             got = [(len(u), set_key(u) if len(u) else None, sketch(u) if len(u) else None) for u in shingle_sets(buf, off, size)]
             cols = [pa.array([g[k] for g in got], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0)[rows], *cols], names=["doc_id", "n_shingles", "vertex", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[rows], batch.column(2)[rows], *cols], names=["doc_id", "row", "n_shingles", "vertex", "sketch"])
 
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int, bands: Bands) -> Iterator[pa.RecordBatch]:
@@ -325,12 +325,18 @@ def _blocks(members: DataFrame, shingles: int, *columns: str, sizes: DataFrame |
     return dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
 
 
-def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: int = 0) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents link when 100 * common >=
-    percent * union; the component is named by its smallest doc_id."""
+def row_key() -> Column:
+    """Tells rows apart by id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def linked(docs: DataFrame, words: int, percent: int, n2: int, k2: int) -> DataFrame:
+    """doc_id, row (its key), n_shingles, vertex and component of every row;
+    the last two null without shingles."""
     ship(docs.sparkSession)
     text = text_table(docs)
-    keys = stored(text.mapInArrow(lambda it: _keys(it, words), "doc_id long, n_shingles long, vertex long, sketch binary"), "sets")
+    keyed = text_table(docs, row_key().alias("row"))
+    keys = stored(keyed.mapInArrow(lambda it: _keys(it, words), "doc_id long, row long, n_shingles long, vertex long, sketch binary"), "sets")
     known = keys.where("vertex IS NOT NULL").groupBy("vertex")
     vertices = known.agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     postings = text.mapInArrow(lambda it: _sign(it, words, Bands(percent, n2, k2)), "sig long, vertex long")
@@ -343,7 +349,13 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: in
     blocks = _blocks(held, BLOCK_SHINGLES, "vertex", "text", sizes=families)
     links = blocks.mapInArrow(lambda it: _check(it, words, percent), "a long, b long")
     found = stored(components(links), "components")
-    named = keys.join(found, "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
+    return keys.join(found, "vertex", "left").select("doc_id", "row", "n_shingles", "vertex", F.coalesce("component", "vertex").alias("component"))
+
+
+def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: int = 0) -> DataFrame:
+    """doc_id, n_shingles, component_id: documents link when 100 * common >=
+    percent * union; the component is named by its smallest doc_id."""
+    named = linked(docs, words, percent, n2, k2)
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "component", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
@@ -354,3 +366,21 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, n2: int = 1, k2
     a smaller doc_id; rows that repeat the smallest id stay."""
     gone = join(docs, words, percent, n2, k2).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+
+
+def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80, n2: int = 1, k2: int = 0) -> DataFrame:
+    """The rows of ``docs``, all columns, with exactly one row of each group:
+    that of the smallest doc_id (nulls last), then the least key of id and
+    text, then the least other columns. Rows without shingles stay."""
+    rows = linked(docs, words, percent, n2, k2).where("component IS NOT NULL")
+    rows = rows.groupBy("component", "row").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rows = stored(rows, "group-rows")
+    # null sorts first in a minimum, so whether it is null goes before
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    marks = rows.join(first, "component").select(F.col("row").alias("_row"), (F.col("row") == F.col("first.row")).alias("_stays"), "n")
+    marks = stored(marks.where("NOT _stays OR n > 1").select("_row", "_stays"), "row-marks")
+    # texts are shuffled at every size, once for both uses
+    marked = docs.withColumn("_row", row_key()).join(marks.hint("merge"), "_row", "left")
+    others = marked.where("_stays IS NULL").select(docs.columns)
+    repeated = marked.where("_stays").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return others.unionByName(repeated)

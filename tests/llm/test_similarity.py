@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from paddock.llm import anchors, jaccard, suffixes
 from paddock.llm.graph import components
 
@@ -64,6 +65,18 @@ def test_keep_one_keeps_the_smallest(spark):
     assert Counter(r.doc_id for r in kept.collect()) == want
 
 
+def test_the_pipeline_keeps_one_row_of_each_group(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta", "one two three four five six seven eight", "red green blue white black grey pink")
+    rows = [(1, a), (2, a), (2, b), (2, None), (2, None), (None, a), (None, c), (None, c), (None, ""), (3, c.upper()), (None, "lone null row of its own words"), (4, "x " + b), (5, "same id twice here it is"), (5, "same id twice here it is")]
+    docs = frame(spark, rows)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.schema == docs.schema
+    want = [(1, a), (2, b), (2, None), (2, None), (None, ""), (3, c.upper()), (None, "lone null row of its own words"), (5, "same id twice here it is")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+    null_only = frame(spark, [(None, a)] * 3)
+    assert [r.text for r in corpus_pipeline.drop_near_copies(spark, null_only, "").collect()] == [a]
+
+
 def test_every_similar_pair_shares_a_signature():
     rng = np.random.default_rng(3)
     for percent, n2, k2 in ((90, 1, 0), (80, 1, 0), (80, 3, 1)):
