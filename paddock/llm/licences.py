@@ -161,7 +161,10 @@ def pick_triggers(docs: DataFrame, wordings: DataFrame, like: Column, rare: floa
     known = [r["words"] for r in wordings.where(F.col("family") != UNKNOWN).select("words").collect()]  # the constants above
     vocabulary = sorted({w for ws in known for w in ws})
     least = min(len(set(ws[i : i + 3])) for ws in known for i in range(len(ws) - 2))
-    held = paragraphs(docs).select("words", F.array_intersect("words", F.array(*(F.lit(w) for w in vocabulary))).alias("held"))
+    # generators, as merged projections would split a line again for each of its n-grams
+    once = paragraphs(docs).select(F.explode(F.array("words")).alias("words"))
+    held = once.select("words", F.array_intersect("words", F.array(*(F.lit(w) for w in vocabulary))).alias("held"))
+    held = held.select(F.inline(F.array(F.struct("words", "held"))))
     # licences may be common; they don't count as ordinary. Only paragraphs with enough template words can be like them
     alike = F.when(F.size("held") >= least, F.arrays_overlap(ngrams("words", 3), like)).otherwise(False)
     ordinary = held.where(~alike).select(F.explode(F.concat(F.array(F.lit("")), "held")).alias("w"))  # "" counts the paragraphs
