@@ -36,19 +36,20 @@ FOLD[65:91] += 32
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this subpackage to the executors once per application, so tasks
-    can import it wherever the driver was started."""
+    """Send the package to the executors once per application, so tasks can
+    import it wherever the driver was started. It stands in the archive as a
+    regular package: Python finds no package in an archive by folder alone."""
     sc = spark.sparkContext
     if getattr(sc, "_paddock_llm_shipped", False):
         return
-    here = os.path.dirname(os.path.abspath(__file__))
-    top = os.path.dirname(here)
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     path = os.path.join(tempfile.mkdtemp(prefix="paddock-ship-"), "paddock_llm.zip")
     with zipfile.ZipFile(path, "w") as z:
-        for name in sorted(os.listdir(here)):
-            if name.endswith(".py"):
-                z.write(os.path.join(here, name), f"paddock/llm/{name}")
-        z.write(os.path.join(top, "session.py"), "paddock/session.py")
+        files = [os.path.join(at, f) for at, _, names in os.walk(top) for f in names if f.endswith(".py")]
+        names = {os.path.join("paddock", os.path.relpath(f, top)): f for f in files}
+        names.setdefault(os.path.join("paddock", "__init__.py"), None)
+        for name, f in sorted(names.items()):
+            z.write(f, name) if f else z.writestr(name, "")
     sc.addPyFile(path)
     sc._paddock_llm_shipped = True
 
