@@ -8,8 +8,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import anchors, decontaminate, jaccard, licences, packing, pseudonyms, quality, suffixes, toxicity, warc
+from . import anchors, decontaminate, interaction, jaccard, licences, merkle, packing, pseudonyms, quality, simhash, suffixes, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -173,3 +174,104 @@ counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(counts.n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
+
+
+@query
+def op11_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 2)
+
+
+@query
+def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other row, by its id's CRC-32, has lost the line breaks of its text."""
+    hit = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    found = {"text": F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    return merkle.audit(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], found)
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_FIELD = "CASE WHEN %s IS NULL THEN '-' ELSE octet_length(encode(CAST(%s AS VARCHAR)))::VARCHAR || ':' || CAST(%s AS VARCHAR) END"
+_LEAF = " || ".join(_FIELD % (c, c, c) for c in ("doc_id", "source", "lang", "n_chars"))
+# CRC-32 by its polynomial: each byte, then eight shifts (-1)
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_prepend(ascii(c)::BIGINT, [-1::BIGINT for i in range(8)])))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END))"""
+ORACLE["op12_merkle_versions"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, sha256({_LEAF} || {_FIELD % (("text",) * 3)}) AS leaf,
+    CASE WHEN {_CRC} % 2 = 0 THEN sha256({_LEAF} || {(_FIELD % (("text",) * 3)).replace("text", "replace(text, chr(10), '')")}) END AS found
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d
+), nodes AS (
+  SELECT g, 0 AS level, pos, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT g, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY g, level, pos // 3, n
+), subroots AS (
+  SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, pos, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3 FROM upper WHERE n > 1 GROUP BY level, pos // 3, n
+), heights AS (SELECT g, max(level) AS height FROM nodes GROUP BY g),
+way AS (  -- the levels of each leaf, below its subroot and above
+  SELECT l.g, l.pos AS leaf_pos, u.level, l.pos // (3 ** u.level)::BIGINT AS pos FROM leaves l JOIN heights USING (g), LATERAL (SELECT unnest(range(height)) AS level) u
+), upper_way AS (
+  SELECT s.g, u.level, s.pos // (3 ** u.level)::BIGINT AS pos FROM subroots s, (SELECT unnest(range((SELECT max(level) FROM upper))) AS level) u
+), beside AS (
+  SELECT way.g, leaf_pos, way.level, coalesce(string_agg(h, '' ORDER BY nodes.pos) FILTER (nodes.pos < way.pos), '') AS l,
+    coalesce(string_agg(h, '' ORDER BY nodes.pos) FILTER (nodes.pos > way.pos), '') AS r
+  FROM way JOIN nodes ON nodes.g = way.g AND nodes.level = way.level AND nodes.pos // 3 = way.pos // 3 GROUP BY way.g, leaf_pos, way.level
+  UNION ALL
+  SELECT leaves.g, leaves.pos, height + w.level, coalesce(string_agg(h, '' ORDER BY upper.pos) FILTER (upper.pos < w.pos), ''),
+    coalesce(string_agg(h, '' ORDER BY upper.pos) FILTER (upper.pos > w.pos), '')
+  FROM leaves JOIN heights USING (g) JOIN upper_way w ON w.g = leaves.g JOIN upper ON upper.level = w.level AND upper.pos // 3 = w.pos // 3
+  GROUP BY leaves.g, leaves.pos, height, w.level
+), proofs AS (
+  SELECT g, leaf_pos, sha256(string_agg(l || r, '' ORDER BY level)) AS proof, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM beside GROUP BY g, leaf_pos
+), fold AS (
+  SELECT leaves.g, pos, 1 AS k, coalesce(found, leaf) AS h, ls, rs FROM leaves LEFT JOIN proofs ON proofs.g = leaves.g AND leaf_pos = pos
+  UNION ALL
+  SELECT g, pos, k + 1, sha256(ls[k] || h || rs[k]), ls, rs FROM fold WHERE k <= len(ls)
+), folded AS (SELECT g, pos, h FROM fold WHERE k > coalesce(len(ls), 0)), root AS (SELECT h FROM upper WHERE n = 1)
+SELECT doc_id, leaf, subroots.h AS subroot, root.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded.h AS folded_root, folded.h = root.h AS verified
+FROM leaves JOIN subroots ON subroots.g = leaves.g JOIN folded ON folded.g = leaves.g AND folded.pos = leaves.pos
+LEFT JOIN proofs ON proofs.g = leaves.g AND leaf_pos = leaves.pos, root
+"""
+
+ORACLE["op13_filter_audit"] = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_TOKENS % "t"} AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+said AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(least < doc_id, false)::INT AS bits
+  FROM w LEFT JOIN said USING (doc_id)
+), c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+    list_sum(list_transform(string_split(filter_order[:step], ''), lambda q: 1 << (ascii(q) - 65))) - (1 << (ascii(filter_order[step]) - 65)) AS before
+  FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders)
+), r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (bits & (before + bit)::BIGINT = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (bits & before::BIGINT = 0 AND bits & bit <> 0), 0) AS removed,
+    coalesce(sum(n) FILTER (bits & before::BIGINT <> 0 AND bits & bit <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (bits = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (bits & before::BIGINT = 0 AND bits & bit <> 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (bits & before::BIGINT = 0 AND bits & bit <> 0), 0) AS toxic_lost
+  FROM c, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM r
+"""
