@@ -21,10 +21,12 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import meeting
+
 
 def new_rows(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows whose key is absent from the target."""
-    return incoming.join(target.select(*keys), keys, "left_anti")
+    """Incoming rows whose key is absent from the target; a null key is a key."""
+    return meeting(incoming, target, keys, "left_anti")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -59,6 +61,18 @@ def upsert_latest(spark: SparkSession, table: str, incoming: DataFrame, keys: li
     merged.write.parquet(fresh)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
     spark.catalog.refreshTable(table)
+    _remove_old(spark, base, {place, fresh})
+
+
+def _remove_old(spark: SparkSession, base: str, keep: set[str]) -> None:
+    """Delete the folders of upserts before the last: readers may still hold that one."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{base}__v*")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
+    for s in fs.globStatus(p) or []:
+        if s.getPath().getName() not in names:
+            fs.delete(s.getPath(), True)
 
 
 def table_location(spark: SparkSession, table: str) -> str:
