@@ -22,7 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
@@ -157,6 +157,17 @@ def failure_sql(check: Check) -> str | None:
     return None
 
 
+def failing(df: DataFrame, checks: list[Check]) -> Column:
+    """The rules of the value checks that a row fails, in order; a check on a
+    column that ``df`` lacks fails every row."""
+    rules = []
+    for chk in checks:
+        fail = failure_sql(chk) if chk.column in df.columns else "true"
+        if fail is not None:
+            rules.append(F.when(F.expr(fail), F.lit(rule_text(chk))))
+    return F.array_compact(F.array(*rules)) if rules else F.expr("CAST(array() AS array<string>)")
+
+
 def rule_text(check: Check) -> str:
     """The rule that the column must satisfy, as a predicate, with all of
     its allowed values or its whole pattern."""

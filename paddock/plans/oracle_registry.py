@@ -428,3 +428,30 @@ ORACLE["stream_batch_quality"] = """SELECT * FROM (
     count_if(NOT value BETWEEN 0 AND 40) = 0, min(CASE WHEN NOT value BETWEEN 0 AND 40 THEN CAST(value AS VARCHAR) END) FROM events
   UNION ALL SELECT 'expect_match_regex', 'event_type', 'event_type RLIKE ^[a-z]+$', count_if(NOT regexp_matches(event_type, '^[a-z]+$')),
     count_if(NOT regexp_matches(event_type, '^[a-z]+$')) = 0, NULL FROM events)"""
+
+_MARRED = """WITH marred AS (
+  SELECT CASE WHEN event_id % 101 <> 0 THEN event_id END AS event_id, CASE WHEN event_id % 97 <> 0 THEN ts END AS ts, user_id,
+    CASE WHEN event_id % 53 = 0 THEN upper(event_type) ELSE event_type END AS event_type, CASE WHEN event_id % 89 <> 0 THEN value END AS value, props FROM events
+), judged AS (
+  SELECT *, concat_ws('; ', CASE WHEN event_id IS NULL THEN 'event_id IS NOT NULL' END, CASE WHEN ts IS NULL THEN 'ts IS NOT NULL' END,
+    CASE WHEN value IS NULL THEN 'value IS NOT NULL' END, CASE WHEN NOT value BETWEEN 0 AND 40 THEN 'value BETWEEN 0 AND 40' END,
+    CASE WHEN NOT regexp_matches(event_type, '^[a-z]+$') THEN 'event_type RLIKE ^[a-z]+$' END) AS reasons FROM marred
+)
+"""
+ORACLE["stream_good_events"] = _MARRED + "SELECT event_id, ts, user_id, event_type, value, props FROM judged WHERE reasons = ''"
+ORACLE["stream_quarantine"] = _MARRED + "SELECT * FROM judged WHERE reasons <> ''"
+ORACLE["stream_latency"] = "SELECT CAST(8 AS BIGINT) AS batches, 2 * count(*) AS rows, CAST(0 AS BIGINT) AS first_batch, true AS measured FROM events"
+ORACLE["stream_live_feeds"] = """WITH w AS (SELECT ts AS reading_ts, value AS reading FROM events WHERE event_type = 'purchase'),
+e AS (SELECT * FROM events WHERE event_type IS DISTINCT FROM 'purchase')
+SELECT event_id, ts, event_type, value,
+  CASE WHEN ts < reading_ts + INTERVAL 10 MINUTE THEN reading_ts END AS reading_ts,
+  CASE WHEN ts < reading_ts + INTERVAL 10 MINUTE THEN reading END AS reading
+FROM e ASOF LEFT JOIN w ON e.ts >= w.reading_ts"""
+ORACLE["upsert_merge_files"] = ORACLE["upsert_latest"]
+ORACLE["upsert_null_keys"] = o.sql(
+    """, a AS (SELECT * REPLACE (CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS l_orderkey) FROM li_existing),
+b AS (SELECT * REPLACE (CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS l_orderkey) FROM li_incoming)
+SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.l_orderkey IS NOT DISTINCT FROM b.l_orderkey
+  AND a.l_linenumber = b.l_linenumber AND a.l_suppkey = b.l_suppkey)""",
+    "li_existing", "li_incoming",
+)

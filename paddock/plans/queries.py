@@ -450,6 +450,39 @@ def upsert_latest(spark, sf_dir):
     return spark.table(table)
 
 
+@register("upsert_merge_files")
+def upsert_merge_files(spark, sf_dir):
+    """M1 latest-wins on a versioned table: only files that hold an incoming
+    key are rewritten. Two merges: old and new rows, then the newest again,
+    which changes nothing."""
+    from ..sources.versions import VersionedTable, merge_latest
+
+    table = VersionedTable(spark, scratch_path(spark, "merge"))
+    existing, incoming = _lineitem_split(spark, sf_dir)
+    keys, order = ["l_orderkey", "l_linenumber"], ["l_shipdate"]
+    merge_latest(table, existing, keys, order)
+    merge_latest(table, incoming, keys, order)
+    merge_latest(table, incoming.where("l_shipdate >= DATE'1998-01-01'"), keys, order)
+    table.vacuum()
+    return table.read()
+
+
+@register("upsert_null_keys")
+def upsert_null_keys(spark, sf_dir):
+    """M1 insert-only where a third of the keys are null in part: a null is a
+    key like others, so rows under it are new once and a rerun appends nothing."""
+    from ..sources.versions import VersionedTable, insert_new
+
+    table = VersionedTable(spark, scratch_path(spark, "null-keys"))
+    key = F.expr("CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END").alias("l_orderkey")
+    halves = [h.select(key, *(c for c in _LI_COLS if c != "l_orderkey")) for h in _lineitem_split(spark, sf_dir)]
+    keys = ["l_orderkey", "l_linenumber", "l_suppkey"]
+    insert_new(table, halves[0], keys)
+    insert_new(table, halves[1], keys)
+    assert insert_new(table, halves[1], keys) == 0
+    return table.read()
+
+
 @register("partitioned_scan")
 def partitioned_scan(spark, sf_dir):
     """M2: orders written partitioned by year; reading one year prunes the
@@ -645,7 +678,7 @@ def _deduped(spark, sf_dir):
 @register("stream_dedupe_upsert")
 def stream_dedupe_upsert(spark, sf_dir):
     """T4: every slice delivered twice; the table still holds each event once."""
-    return telemetry.read_table_fresh(spark, f"{_deduped(spark, sf_dir)}.events").drop("event_date", "_batch")
+    return telemetry.read_table_fresh(spark, f"{_deduped(spark, sf_dir)}.events").drop("event_date", "_key")
 
 
 @register("stream_batch_quality")
@@ -674,3 +707,68 @@ def stream_two_feeds(spark, sf_dir):
         f"{root}/ckpt-joined",
     ).awaitTermination()
     return spark.read.parquet(f"{root}/joined")
+
+
+def _marred(events):
+    """The events with faults: some without an id, a time or a value, some types in capitals."""
+    lost = lambda c, m: F.when(F.col("event_id") % m != 0, F.col(c))
+    return events.select(
+        lost("event_id", 101).alias("event_id"), lost("ts", 97).alias("ts"), "user_id",
+        F.when(F.col("event_id") % 53 == 0, F.upper("event_type")).otherwise(F.col("event_type")).alias("event_type"),
+        lost("value", 89).alias("value"), "props",
+    )
+
+
+def _split(spark, sf_dir):
+    """A marred feed, every slice delivered twice, split by the suite."""
+    schema, root = telemetry.scratch_tables(spark, "split")
+    events = _marred(_events(spark, sf_dir))
+    per = telemetry.land_replay(events, f"{root}/landing", chunks=4, redeliver=True, files_per_slice=_cores(spark))
+    telemetry.split_into_tables(
+        telemetry.replay_stream(spark, f"{root}/landing", files_per_trigger=per, arrival=True),
+        f"{schema}.events", f"{schema}.quarantine", f"{schema}.latency", f"{root}/ckpt",
+    ).awaitTermination()
+    return schema
+
+
+@register("stream_good_events")
+def stream_good_events(spark, sf_dir):
+    """What passes the suite, each event once though all came twice."""
+    return telemetry.read_table_fresh(spark, f"{_split(spark, sf_dir)}.events").drop("event_date", "_key", "_batch")
+
+
+@register("stream_quarantine")
+def stream_quarantine(spark, sf_dir):
+    """What fails it, each event once with the rules that it fails, those
+    without an id or a time included."""
+    bad = telemetry.read_table_fresh(spark, f"{_split(spark, sf_dir)}.quarantine")
+    return bad.withColumn("reasons", F.array_join("reasons", "; ")).drop("event_date", "_key", "_batch")
+
+
+@register("stream_latency")
+def stream_latency(spark, sf_dir):
+    """T5: the recorded batches: how many, their rows, and that each has its
+    latency from landing to commit."""
+    rows = telemetry.read_table_fresh(spark, f"{_split(spark, sf_dir)}.latency")
+    return rows.agg(
+        F.count("*").alias("batches"), F.sum("rows").alias("rows"), F.min("batch_id").cast("bigint").alias("first_batch"),
+        F.bool_and((F.col("fastest_ms") >= 0) & (F.col("slowest_ms") >= F.col("fastest_ms"))).alias("measured"),
+    )
+
+
+@register("stream_live_feeds")
+def stream_live_feeds(spark, sf_dir):
+    """Both feeds live, some rows late: each telemetry event with the newest
+    weather reading of the ten minutes up to it."""
+    schema, root = telemetry.scratch_tables(spark, "live-feeds")
+    ev, n = _events(spark, sf_dir), _cores(spark)
+    is_weather = F.col("event_type").eqNullSafe(F.lit("purchase"))
+    land = {"chunks": 4, "files_per_slice": n, "late": "30 MINUTES", "close": "1 DAY"}
+    pw = telemetry.land_replay(ev.where(is_weather), f"{root}/weather", **land)
+    pt = telemetry.land_replay(ev.where(~is_weather), f"{root}/telemetry", **land)
+    telemetry.live_feeds(
+        telemetry.replay_stream(spark, f"{root}/telemetry", files_per_trigger=pt),
+        telemetry.replay_stream(spark, f"{root}/weather", files_per_trigger=pw), f"{schema}.joined", f"{root}/ckpt",
+    ).awaitTermination()
+    out = telemetry.read_table_fresh(spark, f"{schema}.joined")
+    return out.select("event_id", "ts", "event_type", "value", "reading_ts", "reading")
