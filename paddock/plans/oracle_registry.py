@@ -214,6 +214,29 @@ ORACLE["csv_rejects"] = o.sql(
 UNION ALL SELECT 'failed', 'race_data_status', 0, 0, 'HeaderMismatch', NULL, NULL, NULL""",
     "b_race_data_pit_stops",
 )
+_RAGGED_CELLS = ["raceid", "driverid", "CASE WHEN driverid % 7 = 0 THEN 'one' ELSE CAST(stop AS VARCHAR) END", "lap",
+                 "CASE WHEN driverid % 17 = 0 THEN '\"at' || chr(10) || coalesce(time, '') || '\"' ELSE time END", "duration"]
+_RAGGED_SHORT = " || ',' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _RAGGED_CELLS)
+_RAGGED_FULL = _RAGGED_SHORT + " || ',' || coalesce(CAST(milliseconds AS VARCHAR), '')"
+ORACLE["csv_quarantine"] = o.sql(
+    f"""SELECT CASE WHEN driverid % 11 = 0 THEN {_RAGGED_FULL} || ',EXTRA, CELLS' WHEN driverid % 13 = 0 THEN {_RAGGED_SHORT} ELSE {_RAGGED_FULL} END AS record,
+  CASE WHEN driverid % 11 = 0 THEN 9 WHEN driverid % 13 = 0 THEN 6 ELSE 7 END AS n_cells, CAST(driverid % 7 = 0 AS INTEGER) AS rejected_cells,
+  CASE WHEN driverid % 11 = 0 THEN 'extra cells' WHEN driverid % 13 = 0 THEN 'missing cells' ELSE 'bad cells' END AS reason
+FROM b_race_data_pit_stops WHERE driverid % 11 = 0 OR driverid % 13 = 0 OR driverid % 7 = 0""",
+    "b_race_data_pit_stops",
+)
+ORACLE["csv_ragged_rows"] = o.sql(
+    """SELECT raceid, driverid, CASE WHEN driverid % 7 <> 0 THEN stop END AS stop, lap,
+  CASE WHEN driverid % 17 = 0 THEN 'at' || chr(10) || coalesce(time, '') ELSE time END AS time, duration,
+  CASE WHEN driverid % 13 <> 0 OR driverid % 11 = 0 THEN milliseconds END AS milliseconds FROM b_race_data_pit_stops""",
+    "b_race_data_pit_stops",
+)
+ORACLE["csv_ragged_report"] = o.sql(
+    """SELECT 'succeeded' AS status, 'race_data_pit_stops' AS table_name, CAST(count_if(driverid % 7 = 0) AS BIGINT) AS rejected_rows,
+  CAST(count_if(driverid % 7 = 0) AS BIGINT) AS rejected_cells, CAST(count_if(driverid % 11 = 0 OR driverid % 13 = 0) AS BIGINT) AS malformed_rows
+FROM b_race_data_pit_stops""",
+    "b_race_data_pit_stops",
+)
 ORACLE["layered_master"] = ORACLE["historical_master"]
 ORACLE["csv_layered_master"] = ORACLE["historical_master"]
 ORACLE["layered_views_incidents"] = ORACLE["historical_incidents"]

@@ -353,6 +353,54 @@ def csv_rejects(spark, sf_dir):
     return keep.join(landed.withColumn("t", F.lit("race_data_pit_stops")), F.col("table_name") == F.col("t"), "left").drop("t")
 
 
+def _land_lines(lines, header, path):
+    """Rows of text as CSV files, each with the header first."""
+    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # within its partition
+    first = F.when(nth == 0, F.array(F.lit(header), F.col("line"))).otherwise(F.array("line"))
+    lines.select("line").withColumn("lines", first).select(F.explode("lines").alias("line")).write.text(path)
+
+
+def _ragged(spark, sf_dir):
+    """Pit stops as text with faults: a cell too many, one too few, a quoted
+    time over two lines, a stop that is no number."""
+    b = BridgeSources(spark, sf_dir).bronze("race_data_pit_stops")
+    d = F.col("driverid")
+    cell = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("raceid", "driverid", "stop", "lap", "time", "duration", "milliseconds")}
+    cell["time"] = F.when(d % 17 == 0, F.concat(F.lit('"at\n'), cell["time"], F.lit('"'))).otherwise(cell["time"])
+    cell["stop"] = F.when(d % 7 == 0, F.lit("one")).otherwise(cell["stop"])
+    line = F.concat_ws(",", *cell.values())
+    short = F.concat_ws(",", *(c for n, c in cell.items() if n != "milliseconds"))
+    line = F.when(d % 11 == 0, F.concat(line, F.lit(",EXTRA, CELLS"))).when(d % 13 == 0, short).otherwise(line)
+    root = scratch_path(spark, "ragged")
+    _land_lines(b.select(line.alias("line")), "raceId,driverId,stop,lap,time,duration,milliseconds", f"{root}/race_data/pit_stops.csv")
+    schema_name = "ragged_" + root.rsplit("-", 1)[-1]
+    catalog.create_layers(spark, [schema_name], root)
+    files, errors = ingest.list_csv_files(spark, [f"{root}/race_data"])
+    return ingest.ingest_files(spark, files, schema_name, unlisted=errors), schema_name
+
+
+@register("csv_quarantine")
+def csv_quarantine(spark, sf_dir):
+    """Every record with extra, missing or bad cells, whole, with its reason."""
+    _, schema_name = _ragged(spark, sf_dir)
+    return spark.table(f"{schema_name}.race_data_pit_stops{ingest.QUARANTINE}").drop("ingested_at")
+
+
+@register("csv_ragged_rows")
+def csv_ragged_rows(spark, sf_dir):
+    """What the table holds of such a file: a row for each record, cells
+    over two lines whole, cells that are missing or don't cast NULL."""
+    _, schema_name = _ragged(spark, sf_dir)
+    return spark.table(f"{schema_name}.race_data_pit_stops").drop("ingested_at")
+
+
+@register("csv_ragged_report")
+def csv_ragged_report(spark, sf_dir):
+    """Such a file is reported with its malformed rows and rejected cells."""
+    report, _ = _ragged(spark, sf_dir)
+    return report.select("status", "table_name", "rejected_rows", "rejected_cells", "malformed_rows")
+
+
 _LAYER_ROOTS: dict[str, str] = {}
 
 

@@ -22,6 +22,7 @@ from ..operators.quality import GOLD_SUITES, check_table, check_tables, gate, ta
 from ..plans import views
 from ..plans.gold import GOLD_MODELS, GoldModels
 from .registry import CatalogSources
+from .schemas import QUARANTINE
 
 LAYERS = ("bronze", "silver", "gold", "dashboard")
 
@@ -39,7 +40,8 @@ def reset_layer(spark: SparkSession, name: str, base_location: str | None = None
 
 
 def list_tables(spark: SparkSession, schema: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
+    """The tables of a schema, without the quarantines beside them."""
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary and not t.name.endswith(QUARANTINE))
 
 
 def table_format(spark: SparkSession) -> str:

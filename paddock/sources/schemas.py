@@ -19,6 +19,9 @@ def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
+#: ending of the table that holds the records of a file that don't fit
+QUARANTINE = "__quarantine"
+
 # Source file columns, in file order, with their Bronze types.
 BRONZE_SCHEMAS: dict[str, StructType] = {
     "race_data_circuits": _schema(
