@@ -13,8 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import session_timestamp
 from .sequence import trailing_mean
 
+#: sessions of a race weekend, the Silver columns of their start, and their length in minutes
+SESSIONS = (
+    ("race", "date", "time", 120), ("fp1", "fp1_date", "fp1_time", 60), ("fp2", "fp2_date", "fp2_time", 60),
+    ("fp3", "fp3_date", "fp3_time", 60), ("quali", "quali_date", "quali_time", 60), ("sprint", "sprint_date", "sprint_time", 60),
+)
+
 
 def driver_seasons(results: DataFrame) -> DataFrame:
     """One row per driver and season: races, points, DNFs."""
@@ -90,3 +97,47 @@ def session_weather(
         F.count(F.lit(1)).alias("weather_readings"), F.round(F.avg("value"), 6).alias("avg_weather")
     )
     return telemetry.join(weather, "session_date", "left")
+
+
+def session_intervals(races: DataFrame, since: str | None = None) -> DataFrame:
+    """raceid, session, starts, ends of each session of the Silver races
+    that has a date and a time, from the date ``since`` on."""
+    kinds = [
+        F.struct(F.lit(name).alias("session"), session_timestamp(d, t).alias("starts"), F.lit(m).alias("minutes")) for name, d, t, m in SESSIONS
+    ]
+    rows = races.select("raceid", F.explode(F.array(*kinds)).alias("s")).select("raceid", "s.*").where("starts IS NOT NULL")
+    if since is not None:
+        rows = rows.where(F.col("starts") >= F.lit(since).cast("date"))
+    return rows.select("raceid", "session", "starts", (F.col("starts") + F.make_dt_interval(mins=F.col("minutes"))).alias("ends"))
+
+
+def weather_in_sessions(sessions: DataFrame, readings: DataFrame, slot_minutes: int = 15) -> DataFrame:
+    """M8: each session (any columns, with starts and ends) with the number and
+    mean of the readings (ts, value) of starts <= ts < ends; 0 and NULL without any.
+
+    An interval join without a cartesian product: time is cut into slots. Slots
+    that lie inside a session are joined as one sum a slot, whatever the number
+    of readings in it; only the slots of a session's two edges meet readings one
+    by one, under the exact bound. Equal intervals are joined once, and equal
+    times of a slot are summed before. Readings without a time are in no session."""
+    size = slot_minutes * 60 * 1_000_000
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    intervals = sessions.select("starts", "ends").where("starts < ends").distinct().select("starts", "ends", micros("starts").alias("lo"), micros("ends").alias("hi"))
+    timed = readings.where("ts IS NOT NULL").select(micros("ts").alias("at"), "value")
+    timed = timed.groupBy("at").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("k"), F.sum("value").alias("v"))
+    slot = lambda x: f"({x} - pmod({x}, {size}L)) div {size}L"
+    timed = timed.withColumn("slot", F.expr(slot("at")))
+    whole = timed.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("v").alias("v"))
+    cut = intervals.withColumns({"first": F.expr(slot(f"(lo + {size - 1}L)")), "last": F.expr(f"{slot('hi')} - 1")})
+    inner = cut.where("first <= last").select("lo", "hi", F.explode(F.sequence("first", "last")).alias("slot")).join(whole, "slot").select("lo", "hi", "n", "k", "v")
+    # the parts before the first and after the last whole slot, or all of a session within one or two
+    left = F.struct(F.col("lo").alias("a"), F.least("hi", F.col("first") * size).alias("b"))
+    right = F.struct(F.greatest(F.least("hi", F.col("first") * size), (F.col("last") + 1) * size).alias("a"), F.col("hi").alias("b"))
+    edges = cut.select("lo", "hi", F.explode(F.array(left, right)).alias("e")).select("lo", "hi", "e.*").where("a < b").withColumn("slot", F.expr(slot("a")))
+    outer = edges.join(timed, "slot").where("at >= a AND at < b").select("lo", "hi", "n", "k", "v")
+    found = inner.unionByName(outer).groupBy("lo", "hi").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum("v").alias("v"))
+    named = intervals.join(found, ["lo", "hi"]).select(
+        F.col("starts").alias("_starts"), F.col("ends").alias("_ends"), F.col("n").alias("_n"), F.round(F.col("v") / F.nullif(F.col("k"), F.lit(0)), 6).alias("_mean")
+    )
+    out = sessions.join(named, (F.col("starts") == F.col("_starts")) & (F.col("ends") == F.col("_ends")), "left")
+    return out.select(*sessions.columns, F.coalesce("_n", F.lit(0)).alias("weather_readings"), F.col("_mean").alias("avg_weather"))

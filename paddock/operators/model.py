@@ -9,15 +9,21 @@ season points for a predicted-vs-actual comparison.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # The regulation-change seasons trained on by default.
 DEFAULT_TRAIN_SEASONS = (2014, 2017, 2022)
 FEATURES = ("prev_avg_points", "dnf_rate", "pace_delta", "position_variance", "prev_races")
+#: the others of the full table
+FORM_FEATURES = ("team_momentum", "weather")
 
 
 def season_features(results: DataFrame, qualifying: DataFrame, seasons: int = 3) -> DataFrame:
@@ -61,11 +67,55 @@ def actual_ranks(features: DataFrame) -> DataFrame:
     return rows.withColumn("actual_rank", F.rank().over(w))
 
 
-def train(features: DataFrame, train_seasons=DEFAULT_TRAIN_SEASONS, seed: int = 42) -> PipelineModel:
-    data = features.where(F.col("year").isin(*train_seasons))
+def form_features(features: DataFrame, results: DataFrame, momentum: DataFrame, weather: DataFrame, seasons: int = 3) -> DataFrame:
+    """``features`` with the driver's form of the ``seasons`` seasons before:
+    ``team_momentum``, the mean of the teams' momentum (team_id, race_id,
+    momentum) at the driver's races, and ``weather``, the mean reading (race_id,
+    avg_weather) at them. Zero without any."""
+    per = results.select("race_id", "driver_id", "team_id", "year")
+    per = per.join(momentum.select("team_id", "race_id", "momentum"), ["team_id", "race_id"], "left").join(weather.select("race_id", "avg_weather"), "race_id", "left")
+    per = per.groupBy("driver_id", "year").agg(
+        F.sum("momentum").alias("m"), F.count("momentum").alias("mk"), F.sum("avg_weather").alias("w"), F.count("avg_weather").alias("wk")
+    )
+    w = Window.partitionBy("driver_id").orderBy("year").rangeBetween(-seasons, -1)  # a driver's seasons
+    mean = lambda a, b: F.round(F.coalesce(F.sum(a).over(w) / F.nullif(F.sum(b).over(w), F.lit(0)), F.lit(0.0)), 4)
+    form = per.select("driver_id", "year", mean("m", "mk").alias("team_momentum"), mean("w", "wk").alias("weather"))
+    return features.join(form, ["driver_id", "year"], "left").fillna(0.0, list(FORM_FEATURES))
+
+
+def plain_errors(features: DataFrame, first: int) -> DataFrame:
+    """Errors by season (from ``first`` on) of the plainest prediction, the
+    mean points of all driver seasons before: season, drivers, plain_mean,
+    plain_mae, plain_rmse. One row a season meets the window."""
+    by = features.groupBy("year").agg(F.count("label").alias("n"), F.sum("label").alias("s"))
+    w = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)  # a row a season
+    means = by.select(F.col("year").alias("season"), (F.sum("s").over(w) / F.sum("n").over(w)).alias("plain_mean")).where(F.col("season") >= first)
+    off = F.col("label") - F.col("plain_mean")
+    return features.join(F.broadcast(means), F.col("year") == F.col("season")).groupBy("season").agg(
+        F.count("label").alias("drivers"), F.round(F.first("plain_mean"), 4).alias("plain_mean"),
+        F.round(F.avg(F.abs(off)), 4).alias("plain_mae"), F.round(F.sqrt(F.avg(off * off)), 4).alias("plain_rmse"),
+    )
+
+
+def rolling_errors(features: DataFrame, seasons: list[int], columns: tuple[str, ...] = FEATURES + FORM_FEATURES) -> DataFrame:
+    """Rolling origin: for each of the seasons a model of all seasons before
+    it scores it; season, mae and rmse of the model beside those of the plain
+    mean. Features of a season come from earlier ones, so nothing is foreseen."""
+    data = cut_lineage(features)
+    scored = [train(data.where(F.col("year") < s), None, columns=columns).transform(data.where(F.col("year") == s)) for s in seasons]
+    off = F.col("prediction") - F.col("label")
+    errors = reduce(DataFrame.unionByName, (d.select("year", "label", "prediction") for d in scored)).groupBy(F.col("year").alias("season")).agg(
+        F.round(F.avg(F.abs(off)), 4).alias("mae"), F.round(F.sqrt(F.avg(off * off)), 4).alias("rmse")
+    )
+    return plain_errors(data, min(seasons)).join(errors, "season")
+
+
+def train(features: DataFrame, train_seasons=DEFAULT_TRAIN_SEASONS, seed: int = 42, columns: tuple[str, ...] = FEATURES) -> PipelineModel:
+    """A model of the given seasons, of all rows for None."""
+    data = features if train_seasons is None else features.where(F.col("year").isin(*train_seasons))
     pipe = Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"),
+            VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="keep"),
             GBTRegressor(featuresCol="features", labelCol="label", maxIter=20, maxDepth=4, seed=seed),
         ]
     )

@@ -478,3 +478,48 @@ SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHER
   AND a.l_linenumber = b.l_linenumber AND a.l_suppkey = b.l_suppkey)""",
     "li_existing", "li_incoming",
 )
+
+_SESSION_LENGTHS = {"race": 120, "fp1": 60, "fp2": 60, "fp3": 60, "quali": 60, "sprint": 60}
+_SESSIONS = "sess AS (" + " UNION ALL ".join(
+    f"SELECT raceid, '{k}' AS session, {_ts('date' if k == 'race' else k + '_date', 'time' if k == 'race' else k + '_time')} AS t, {m} AS minutes FROM s_race_data_races"
+    for k, m in _SESSION_LENGTHS.items()
+) + """), moved AS (
+  SELECT raceid, session, TIMESTAMP '2024-01-01' + to_days(CAST((date_diff('day', DATE '1970-01-01', CAST(t AS DATE)) % 30 + 30) % 30 AS INTEGER)) + (t - date_trunc('day', t)) AS starts, minutes
+  FROM sess WHERE t IS NOT NULL
+), sessions AS (SELECT raceid, session, starts, starts + to_minutes(minutes) AS ends FROM moved),
+readings AS (SELECT ts, value FROM events WHERE event_type = 'purchase'),
+spans AS (SELECT DISTINCT starts, ends FROM sessions),
+inside AS (SELECT starts, ends, count(*) AS n, round(avg(value), 6) AS mean FROM spans JOIN readings ON ts >= starts AND ts < ends GROUP BY 1, 2),
+in_sessions AS (SELECT sessions.*, coalesce(n, 0) AS weather_readings, mean AS avg_weather FROM sessions LEFT JOIN inside USING (starts, ends))"""
+
+
+def _after(deps: list[str], *steps: str) -> str:
+    """Shared tables, further steps and a query in one WITH."""
+    inner = o.sql("SELECT 1", *deps).rsplit("SELECT 1", 1)[0].rstrip()
+    return f"{inner},\n" + ",\n".join(s.removeprefix("WITH ") for s in steps[:-1]) + f"\n{steps[-1]}"
+
+
+ORACLE["feat_weather_in_sessions"] = _after(["s_race_data_races"], _SESSIONS, "SELECT * FROM in_sessions WHERE starts >= DATE '2024-01-10'")
+_FORM = """per_race AS (
+  SELECT t.team_id, t.race_id, avg(t.points) OVER (PARTITION BY t.team_id ORDER BY r.race_date, t.race_id ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS momentum
+  FROM (SELECT team_id, race_id, sum(points) AS points FROM fact_results GROUP BY ALL) t JOIN dim_races r ON t.race_id = r.race_id
+), form AS (
+  SELECT driver_id, f.year, sum(momentum) AS m, count(momentum) AS mk, sum(avg_weather) AS w, count(avg_weather) AS wk
+  FROM fact_results f LEFT JOIN per_race p ON p.team_id = f.team_id AND p.race_id = f.race_id
+  LEFT JOIN (SELECT raceid, avg_weather FROM in_sessions WHERE session = 'race') i ON i.raceid = f.race_id GROUP BY 1, 2
+), means AS (
+  SELECT driver_id, year, round(coalesce(sum(m) OVER w3 / nullif(sum(mk) OVER w3, 0), 0.0), 4) AS team_momentum,
+    round(coalesce(sum(w) OVER w3 / nullif(sum(wk) OVER w3, 0), 0.0), 4) AS weather
+  FROM form WINDOW w3 AS (PARTITION BY driver_id ORDER BY year RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING)
+)"""
+ORACLE["model_full_features"] = _after(
+    ["fact_results", "fact_qualifying", "dim_races", "s_race_data_races"], _SEASON_FEATURES, _SESSIONS, _FORM,
+    "SELECT feats.*, coalesce(team_momentum, 0.0) AS team_momentum, coalesce(weather, 0.0) AS weather FROM feats LEFT JOIN means USING (driver_id, year)",
+)
+ORACLE["model_plain_errors"] = _with(
+    _SEASON_FEATURES,
+    """SELECT a.year AS season, count(*) AS drivers, round(any_value(m), 4) AS plain_mean, round(avg(abs(label - m)), 4) AS plain_mae,
+  round(sqrt(avg((label - m) * (label - m))), 4) AS plain_rmse
+FROM feats a JOIN (SELECT s.year, avg(b.label) AS m FROM (SELECT DISTINCT year FROM feats) s JOIN feats b ON b.year < s.year GROUP BY 1) p ON p.year = a.year
+WHERE a.year >= 1996 GROUP BY 1""",
+)

@@ -580,6 +580,58 @@ def feat_session_weather(spark, sf_dir):
     return features.session_weather(read_table(spark, sf_dir, "events"))
 
 
+def _sessions(spark, sf_dir, since=None):
+    """Sessions of the races, with their days moved into the days of the feed."""
+    races = BridgeSources(spark, sf_dir).silver("race_data_races")
+    moved = lambda c: F.expr(f"TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(pmod(datediff({c}, DATE '1970-01-01'), 30)) + ({c} - date_trunc('day', {c}))")
+    rows = features.session_intervals(races).withColumn("length", F.expr("ends - starts")).withColumn("starts", moved("starts").cast("timestamp_ntz"))
+    rows = rows.withColumn("ends", F.expr("starts + length")).drop("length")
+    return rows if since is None else rows.where(F.col("starts") >= F.lit(since).cast("date"))
+
+
+def _weather_readings(spark, sf_dir):
+    return _events(spark, sf_dir).where("event_type = 'purchase'")
+
+
+@register("feat_weather_in_sessions")
+def feat_weather_in_sessions(spark, sf_dir):
+    """Readings of the weather feed inside each session's start and
+    end, for sessions from a date on."""
+    return features.weather_in_sessions(_sessions(spark, sf_dir, since="2024-01-10"), _weather_readings(spark, sf_dir))
+
+
+def _full_features(spark, sf_dir):
+    g = gold_models(spark, sf_dir)
+    results = g.ref("fact_results")
+    momentum = features.team_momentum(results, g.ref("dim_races"))
+    races = _sessions(spark, sf_dir).where("session = 'race'")
+    weather = features.weather_in_sessions(races, _weather_readings(spark, sf_dir)).select(F.col("raceid").alias("race_id"), "avg_weather")
+    return model.form_features(_season_features(spark, sf_dir), results, momentum, weather)
+
+
+@register("model_full_features")
+def model_full_features(spark, sf_dir):
+    """M9: the training table with team momentum and weather."""
+    return _full_features(spark, sf_dir)
+
+
+#: the first season that the rolling validation scores
+FIRST_SCORED = 1996
+
+
+@register("model_plain_errors")
+def model_plain_errors(spark, sf_dir):
+    """Errors by season of the plain mean of earlier seasons, what a model has to beat."""
+    return model.plain_errors(_season_features(spark, sf_dir), FIRST_SCORED)
+
+
+@register("model_rolling_errors")
+def model_rolling_errors(spark, sf_dir):
+    """Rolling-origin validation, a model of all earlier seasons for
+    each season, its errors beside the plain mean's."""
+    return model.rolling_errors(_full_features(spark, sf_dir), list(range(FIRST_SCORED, BRIDGE_SCORE_SEASON + 1)))
+
+
 # Seasons of the provided data used for training and scoring.
 BRIDGE_TRAIN_SEASONS = (1996, 1998, 2000)
 BRIDGE_SCORE_SEASON = 2001
