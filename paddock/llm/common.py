@@ -69,6 +69,14 @@ def text_table(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many ``_`` behind it as make it new to ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def buffer_of(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and the n + 1 offsets of a string column; null is empty."""
     if isinstance(col, pa.ChunkedArray):

@@ -26,7 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_table
+from .common import free_name, stored, text_table
 
 #: fixed value: what separates words, after A-Z are folded: ASCII but digits and letters
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -129,6 +129,7 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The rows of ``docs``, all columns, without any benchmark window."""
-    hit = find(docs, benchmark, size).where("n_hit > 0").select(F.col("k").alias("_k")).distinct()
+    name = free_name(docs, "hit_key")
+    hit = find(docs, benchmark, size).where("n_hit > 0").select(F.col("k").alias(name)).distinct()
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.join(hit.hint("merge"), key == F.col("_k"), "left_anti")
+    return docs.join(hit.hint("merge"), key == F.col(name), "left_anti")

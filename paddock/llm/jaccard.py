@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, shingles, ship, signed, stored, text_chunks, text_table
+from .common import Words, free_name, mix, shingles, ship, signed, stored, text_chunks, text_table
 from .graph import components, components_of, runs
 
 #: shingles of a block; a family of more is checked block by block
@@ -338,20 +338,25 @@ def linked(docs: DataFrame, words: int, percent: int, n2: int, k2: int) -> DataF
     keyed = text_table(docs, row_key().alias("row"))
     keys = stored(keyed.mapInArrow(lambda it: _keys(it, words), "doc_id long, row long, n_shingles long, vertex long, sketch binary"), "sets")
     known = keys.where("vertex IS NOT NULL").groupBy("vertex")
-    vertices = known.agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    # each vertex by one of its rows
+    vertices = known.agg(F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     postings = text.mapInArrow(lambda it: _sign(it, words, Bands(percent, n2, k2)), "sig long, vertex long")
     pairs = postings.repartition("sig").sortWithinPartitions("sig").mapInArrow(_pair_up, "a long, b long").distinct()
     wide = components(pairs).withColumnRenamed("component", "family").join(vertices, "vertex")
     sifted = _blocks(wide, SIEVE_SHINGLES, "vertex", "n_shingles", "sketch").mapInArrow(lambda it: _sift(it, percent), "a long, b long")
     families = stored(components(sifted).withColumnRenamed("component", "family").join(vertices.drop("sketch"), "vertex"), "families")
-    # texts meet their members by a shuffle at every size
-    held = text.withColumnRenamed("doc_id", "d").hint("merge").join(families, F.col("d").eqNullSafe(F.col("doc_id")))
-    blocks = _blocks(held, BLOCK_SHINGLES, "vertex", "text", sizes=families)
+    blocks = _blocks(member_texts(docs, families), BLOCK_SHINGLES, "vertex", "text", sizes=families)
     links = blocks.mapInArrow(lambda it: _check(it, words, percent), "a long, b long")
     found = stored(components(links), "components")
     return keys.join(found, "vertex", "left").select("doc_id", "row", "n_shingles", "vertex", F.coalesce("component", "vertex").alias("component"))
 
 
+def member_texts(docs: DataFrame, families: DataFrame) -> DataFrame:
+    """The families' rows with the text of the row (its key) that stands for
+    each vertex; other texts under its id stay out. A shuffle at every size."""
+    return text_table(docs, row_key().alias("row")).drop("doc_id").hint("merge").join(families, "row")
+
+
 def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: int = 0) -> DataFrame:
     """doc_id, n_shingles, component_id: documents link when 100 * common >=
     percent * union; the component is named by its smallest doc_id."""
@@ -364,8 +369,9 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, n2: int = 1, k2: in
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, n2: int = 1, k2: int = 0) -> DataFrame:
     """The rows of ``docs``, all columns, less every document whose group has
     a smaller doc_id; rows that repeat the smallest id stay."""
-    gone = join(docs, words, percent, n2, k2).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = join(docs, words, percent, n2, k2).where("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col(name), "left_anti")
 
 
 def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80, n2: int = 1, k2: int = 0) -> DataFrame:
@@ -377,10 +383,12 @@ def keep_one_row(docs: DataFrame, words: int = 5, percent: int = 80, n2: int = 1
     rows = stored(rows, "group-rows")
     # null sorts first in a minimum, so whether it is null goes before
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
-    marks = rows.join(first, "component").select(F.col("row").alias("_row"), (F.col("row") == F.col("first.row")).alias("_stays"), "n")
-    marks = stored(marks.where("NOT _stays OR n > 1").select("_row", "_stays"), "row-marks")
+    key, stays = free_name(docs, "row_key"), free_name(docs, "stays")
+    marks = rows.join(first, "component").select(F.col("row").alias(key), (F.col("row") == F.col("first.row")).alias(stays), F.col("n").alias("rows"))
+    marks = stored(marks.where(~F.col(stays) | (F.col("rows") > 1)).select(key, stays), "row-marks")
     # texts are shuffled at every size, once for both uses
-    marked = docs.withColumn("_row", row_key()).join(marks.hint("merge"), "_row", "left")
-    others = marked.where("_stays IS NULL").select(docs.columns)
-    repeated = marked.where("_stays").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    marked = docs.withColumn(key, row_key()).join(marks.hint("merge"), key, "left")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    others = marked.where(F.col(stays).isNull()).select(own)
+    repeated = marked.where(F.col(stays)).groupBy(key).agg(F.min(F.struct(*own)).alias("r")).select("r.*")
     return others.unionByName(repeated)
