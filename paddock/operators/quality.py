@@ -226,6 +226,41 @@ def check_table(df: DataFrame, table: str, checks: list[Check] | None = None) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+#: what a check's state holds for each part of a table
+STATE = "table_name string, check_name string, column_name string, rule string, part string, rows bigint, unexpected_count bigint, success boolean, first_example string"
+
+
+def check_states(df: DataFrame, table: str, part: Column, checks: list[Check] | None = None) -> DataFrame:
+    """The suite by part (a season, a day): one grouped aggregation, a row
+    (``STATE``) for each part and check. States of parts add up to the report of
+    the whole table (``merge_states``), so a new part is checked alone. Unique
+    keys don't add up and have no state: check those on the whole table."""
+    checks = suite_for(table) if checks is None else checks
+    if lone := [c.column for c in checks if c.kind == "unique"]:
+        raise ValueError(f"uniqueness of {lone} doesn't follow from its parts")
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    aggs, rows = ["count(1) AS n_rows"], []
+    for i, chk in enumerate(checks):
+        meta = f"{lit_sql(table)}, {lit_sql(CHECK_NAMES[chk.kind])}, {lit_sql(chk.column)}, {lit_sql(rule_text(chk))}, part, n_rows"
+        plain = {"absent": chk.column not in fields, "of_type": fields.get(chk.column) == chk.arg}.get(chk.kind, False)
+        if chk.kind in ("absent", "of_type") or chk.column not in fields:
+            rows.append(f"{meta}, CAST(NULL AS BIGINT), {str(plain).lower()}, CAST(NULL AS STRING)")
+            continue
+        fail = failure_sql(chk)
+        aggs += [f"count_if({fail}) AS n{i}", f"min(CASE WHEN {fail} THEN CAST({ident(chk.column)} AS STRING) END) AS x{i}"]
+        rows.append(f"{meta}, n{i}, n{i} = 0, x{i}")
+    each = df.withColumn("part", part.cast("string")).groupBy("part").agg(*(F.expr(a) for a in aggs))
+    names = ", ".join(c.split()[0] for c in STATE.split(", "))
+    return each.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """The report (as of ``check_table``) of the parts together."""
+    return states.groupBy("table_name", "check_name", "column_name", "rule").agg(
+        F.sum("unexpected_count").alias("unexpected_count"), F.bool_and("success").alias("success"), F.min("first_example").alias("first_example")
+    )
+
+
 def check_tables(sources, tables) -> DataFrame:
     """Run the suites of several tables; one report (union of per-table passes)."""
     return reduce(DataFrame.unionByName, [check_table(sources(t), t) for t in tables])

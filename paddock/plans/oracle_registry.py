@@ -523,3 +523,5 @@ ORACLE["model_plain_errors"] = _with(
 FROM feats a JOIN (SELECT s.year, avg(b.label) AS m FROM (SELECT DISTINCT year FROM feats) s JOIN feats b ON b.year < s.year GROUP BY 1) p ON p.year = a.year
 WHERE a.year >= 1996 GROUP BY 1""",
 )
+
+ORACLE["dq_incremental_races"] = o.sql(f"SELECT * FROM ({_silver_body}) WHERE table_name = 'race_data_races'", *_silver_deps)

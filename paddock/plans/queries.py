@@ -178,6 +178,22 @@ def dq_bronze_report(spark, sf_dir):
     return quality.check_tables(src.bronze, SOURCE_TABLES)
 
 
+@register("dq_incremental_races")
+def dq_incremental_races(spark, sf_dir):
+    """V13 by season: the suite of the races season by season, the last one
+    checked alone and later, then once more; the states together are the
+    report of the whole table."""
+    from ..sources.versions import VersionedTable
+
+    races = BridgeSources(spark, sf_dir).silver("race_data_races")
+    season = F.year("date").cast("string")
+    seasons = sorted((r[0] for r in races.select(season).distinct().collect()), key=lambda s: (s is not None, s or ""))  # a row a season
+    store = VersionedTable(spark, scratch_path(spark, "check-states"))
+    for some in (seasons[:-1], seasons[-1:], seasons[-1:]):
+        report = catalog.check_parts(store, races, "race_data_races", season, some)
+    return report
+
+
 @register("dq_table_verdicts")
 def dq_table_verdicts(spark, sf_dir):
     src = BridgeSources(spark, sf_dir)

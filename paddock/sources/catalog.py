@@ -14,15 +14,16 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import to_silver
-from ..operators.quality import GOLD_SUITES, check_table, check_tables, gate, table_verdicts
+from ..operators.quality import GOLD_SUITES, check_states, check_table, check_tables, gate, merge_states, table_verdicts
 from ..plans import views
 from ..plans.gold import GOLD_MODELS, GoldModels
 from .registry import CatalogSources
 from .schemas import QUARANTINE
+from .versions import VersionedTable
 
 LAYERS = ("bronze", "silver", "gold", "dashboard")
 
@@ -116,6 +117,21 @@ def validate_layer(spark: SparkSession, schema: str) -> tuple[DataFrame, DataFra
     return report, table_verdicts(report)
 
 
+def check_parts(store: VersionedTable, df: DataFrame, table: str, part: Column, parts: list[str | None] | None = None) -> DataFrame:
+    """V13 by part: check the given parts of ``df`` (all for None), put their
+    states in the place of earlier ones and return the report of all parts. The
+    filter on the part prunes folders where the table is partitioned by it; a
+    run that dies leaves the states as they were."""
+    v = store.version()
+    if parts is not None:
+        name = part.cast("string")
+        inside = name.isin([p for p in parts if p is not None])
+        df = df.where(inside | name.isNull() if None in parts else inside)
+    gone = (store.in_partitions(parts, v) if parts is not None else v.files) if v.number else ()
+    store.change(check_states(df, table, part), gone, partition_by=("part",), since=v)
+    return merge_states(store.read())
+
+
 def silver_gate(spark: SparkSession, silver: str, tables: Iterable[str]) -> DataFrame:
     """Run the suites on Silver; raise if any check failed, else return the report."""
     report = check_tables(CatalogSources(spark, silver), list(tables))

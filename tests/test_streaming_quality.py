@@ -104,3 +104,27 @@ def test_suites_hold_the_expected_checks():
     assert have == [(e.table, e.kind, e.column, expected.rule(e)) for e in expected.SILVER]
     gold = [(m, c.kind, c.column, quality.rule_text(c)) for m, cs in sorted(quality.GOLD_SUITES.items()) for c in cs]
     assert gold == [(e.table, e.kind, e.column, expected.rule(e)) for e in expected.GOLD]
+
+
+def test_states_of_parts_add_up_to_the_whole(spark):
+    import random
+
+    import pytest
+
+    from paddock.session import scratch_path
+    from paddock.sources.catalog import check_parts
+    from paddock.sources.versions import VersionedTable
+
+    rng = random.Random(3)
+    rows = [(rng.choice([None, 1, 2, 50]), rng.choice(["F", "12", None]), rng.choice([None, 1999, 2000, 2001])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "positionorder int, positiontext string, season int")
+    store = VersionedTable(spark, scratch_path(spark, "states"))
+    part = F.col("season")
+    check_parts(store, df.where("season IS NULL OR season <= 2000").withColumn("positionorder", F.lit(99)), "race_data_results", part)  # to be replaced
+    check_parts(store, df, "race_data_results", part, [None, "1999", "2000"])
+    report = check_parts(store, df, "race_data_results", part, ["2001"])
+    want = quality.check_table(df, "race_data_results")
+    assert sorted(map(tuple, report.select(*want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert {r.part for r in store.read().collect()} == {None, "1999", "2000", "2001"}
+    with pytest.raises(ValueError, match="uniqueness"):
+        quality.check_states(df, "t", part, [quality.Check("unique", "season")])
