@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import not_classified_flag
+from ..operators.features import session_intervals
 
 
 def _full_name(first="forename", last="surname"):
@@ -359,6 +360,12 @@ def event_fatal_accidents(drivers_acc: DataFrame, marshals: DataFrame) -> DataFr
     return d.unionByName(m)
 
 
+def dim_sessions(races: DataFrame) -> DataFrame:
+    """one row a session of a race weekend that has a date and a time:
+    race_id, session, starts, ends as timestamps."""
+    return session_intervals(races).withColumnRenamed("raceid", "race_id")
+
+
 # --- wiring -----------------------------------------------------------------
 
 
@@ -399,6 +406,9 @@ class GoldModels:
     def _build_dim_races(self):
         return dim_races(self.source("race_data_races"))
 
+    def _build_dim_sessions(self):
+        return dim_sessions(self.source("race_data_races"))
+
     def _build_dim_teams(self):
         return dim_teams(self.source("race_data_constructors"))
 
@@ -458,6 +468,7 @@ GOLD_MODELS = (
     "dim_circuits",
     "dim_drivers",
     "dim_races",
+    "dim_sessions",
     "dim_teams",
     "fact_lap_times",
     "fact_pit_stops",

@@ -10,9 +10,6 @@ from .views import DRIVERS_TEAMS_COLUMNS, OVERVIEW_COLUMNS, SEASON_COLUMNS
 
 ORACLE: dict[str, str] = {}
 
-for _m in GOLD_MODELS:
-    ORACLE[_m] = o.select_all(_m)
-
 ORACLE["historical_master"] = o.select_all("historical_master")
 ORACLE["historical_overview"] = o.sql(f"SELECT {o.quoted(OVERVIEW_COLUMNS)} FROM historical_master", "historical_master")
 ORACLE["historical_drivers_teams"] = o.sql(
@@ -525,3 +522,14 @@ WHERE a.year >= 1996 GROUP BY 1""",
 )
 
 ORACLE["dq_incremental_races"] = o.sql(f"SELECT * FROM ({_silver_body}) WHERE table_name = 'race_data_races'", *_silver_deps)
+
+o.cte(
+    "dim_sessions",
+    " UNION ALL ".join(
+        f"SELECT raceid AS race_id, '{k}' AS session, t AS starts, t + to_minutes({m}) AS ends FROM (SELECT raceid, {_ts('date' if k == 'race' else k + '_date', 'time' if k == 'race' else k + '_time')} AS t FROM s_race_data_races) WHERE t IS NOT NULL"
+        for k, m in _SESSION_LENGTHS.items()
+    ),
+    "s_race_data_races",
+)
+for _m in GOLD_MODELS:
+    ORACLE[_m] = o.select_all(_m)

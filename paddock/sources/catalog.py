@@ -61,8 +61,12 @@ def send_to_schema(
     partition_by: list[str] | None = None,
 ) -> None:
     """Overwrite ``schema.table`` (Delta where that jar is present, else
-    Parquet). With ``partition_by`` a filter on those columns prunes folders."""
+    Parquet). With ``partition_by`` a filter on those columns prunes folders;
+    the rows of a folder come together first, a large one in several tasks, so
+    there are few files and not one for each task and folder."""
     fmt = table_format(df.sparkSession)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt).mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -90,3 +90,17 @@ def test_rolling_errors_use_earlier_seasons_only(spark):
     # seasons after the scored one don't matter
     changed = df.withColumn("label", F.when(F.col("year") > 2005, 0.0).otherwise(F.col("label")))
     assert model.rolling_errors(changed, [2005]).first()[:] == got[2005][:]
+
+
+def test_gold_partitions_have_few_files(spark):
+    import uuid
+
+    from paddock.session import scratch_path
+    from paddock.sources import catalog
+
+    s = "g_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE SCHEMA {s} LOCATION '{scratch_path(spark, s)}'")
+    df = spark.range(4000).repartition(16).withColumn("year", (F.col("id") % 5).cast("int"))
+    catalog.send_to_schema(df, "fact", s, partition_by=["year"])
+    t = spark.table(f"{s}.fact")
+    assert t.count() == 4000 and len(t.inputFiles()) <= 10  # not 16 tasks times 5 seasons
