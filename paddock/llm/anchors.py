@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, _powers, mix, shingles, ship, signed, stored, text_table
+from .common import Words, _powers, mix, shingles, ship, signed, stored
 from .common import _R as RADIX
 from .common import _R_INV as RADIX_INV
 from . import repeats
@@ -125,14 +125,14 @@ def _result(rows: list[tuple]) -> pa.RecordBatch:
 def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words."""
     ship(docs.sparkSession)
-    text = text_table(docs)
+    text, names = repeats.own_ids(docs)
     back = PERIOD - 1
     rows = text.mapInArrow(lambda it: repeats.anchor_rows(it, find(window), False), repeats.ROWS)
     rows = rows.repartition("group").sortWithinPartitions("group", "context", "doc", "place")
     spans = stored(rows.mapInArrow(lambda it: repeats.settle(it, (back, window), False), repeats.SPANS), "anchors")
     edges = spans.where(F.col("kind") == repeats.EDGE)
-    windows = stored(repeats.with_texts(docs, edges).mapInArrow(lambda it: _edge_windows(it, window), "hash long, doc long, place long"), "edge-windows")
+    windows = stored(repeats.with_texts(text, edges).mapInArrow(lambda it: _edge_windows(it, window), "hash long, doc long, place long"), "edge-windows")
     ends = windows.groupBy("hash").agg(F.min(F.struct("doc", "place")).alias("a"), F.max(F.struct("doc", "place")).alias("b")).where("a <> b").select("hash")
     again = windows.join(ends, "hash", "left_semi").select("doc", "place", (F.col("place") + window).alias("stop"))
     marks = spans.where(F.col("kind") == repeats.COVER).select("doc", "place", "stop").unionByName(again)
-    return repeats.with_texts(docs, marks).mapInArrow(lambda it: _finish(it, window), RESULT)
+    return repeats.named(repeats.with_texts(text, marks).mapInArrow(lambda it: _finish(it, window), RESULT), names)

@@ -9,9 +9,10 @@ contexts that agree in part (the edges of repeats) need a closer look.
 Within a batch, equal contexts are settled before the shuffle, so a passage
 that a third of all documents share costs one row for each batch.
 
-Documents are known by (doc, place): the id (null: the least) and, packed
-into places, 20 bits of the text's hash, so rows that share an id but not a
-text are documents of their own, and equal rows are one document.
+Documents are known by their id. Where ids are null or shared, ``own_ids``
+numbers the distinct texts under each id (null: the least) and works on the
+numbers, so rows that share an id but not a text are documents of their own,
+and equal rows are one document.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, signed, text_chunks, text_table
+from ..operators.sequence import sequence_numbers
+from .common import mix, signed, stored, text_chunks, text_table
 
 NULL_DOC = -(1 << 63)
 PLACE_BITS = 40
@@ -45,6 +47,29 @@ def docs_of(column: pa.Array) -> np.ndarray:
     return column.fill_null(NULL_DOC).to_numpy(zero_copy_only=False)
 
 
+def own_ids(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """doc_id and text of every row, and None; or, where an id is null or
+    stands on several rows, numbers that ascend as the ids do in place of
+    doc_id, and the names (own, doc_id) of the numbers. Texts under one id are
+    told apart by a 64-bit hash and their length."""
+    text = text_table(docs)
+    if text.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+        return text, None
+    keys = {"h": F.xxhash64("text"), "size": F.coalesce(F.length("text"), F.lit(-1))}
+    known = text.select("doc_id", *(c.alias(k) for k, c in keys.items())).distinct().withColumn("all", F.lit(""))
+    names = stored(sequence_numbers(known, "all", ["doc_id", "h", "size"]).select(F.col("doc_id").alias("id"), F.col("h").alias("hash"), F.col("size").alias("length"), F.col("seq").alias("own")), "own-ids")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash")) & (F.col("size") == F.col("length"))
+    rows = text.withColumns(keys).join(names.hint("merge"), same)
+    return stored(rows.select(F.col("own").alias("doc_id"), "text"), "own-texts"), names.select("own", F.col("id").alias("doc_id"))
+
+
+def named(result: DataFrame, names: DataFrame | None) -> DataFrame:
+    """The rows of a result under their documents' ids again."""
+    if names is None:
+        return result
+    return result.withColumnRenamed("doc_id", "own").join(names.hint("merge"), "own").select(*result.columns)
+
+
 Anchors = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # row, position, group, context, left, right
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
-from .common import mix, prefix_hash, ship, span_hash, stored, text_table
+from .common import mix, prefix_hash, ship, span_hash, stored
 from .graph import runs as key_runs
 from .repeats import NULL_DOC, Anchors
 
@@ -350,12 +350,13 @@ def remove_repeats(docs: DataFrame, length: int = 100, k: int = K) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the remaining
     bytes) and kept (those bytes as text; cut characters are replaced)."""
     ship(docs.sparkSession)
+    text, names = repeats.own_ids(docs)
     back = length - k
-    rows = text_table(docs).mapInArrow(lambda it: repeats.anchor_rows(it, find(length, k), True), repeats.ROWS)
+    rows = text.mapInArrow(lambda it: repeats.anchor_rows(it, find(length, k), True), repeats.ROWS)
     rows = rows.repartition("group").sortWithinPartitions("group", "context", "doc", "place")
     spans = stored(rows.mapInArrow(lambda it: repeats.settle(it, (back, length), True), repeats.SPANS), "suffix-spans")
     edges = spans.where(F.col("kind") == repeats.EDGE)
-    blocks = repeats.with_texts(docs, edges).mapInArrow(lambda it: _sorted_runs(it, length, k), BLOCKS)
+    blocks = repeats.with_texts(text, edges).mapInArrow(lambda it: _sorted_runs(it, length, k), BLOCKS)
     matched = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _match(it, length, k), "doc long, place long, stop long")
     marks = spans.where(F.col("kind") == repeats.COVER).select("doc", "place", "stop").unionByName(stored(matched, "suffix-matches"))
-    return repeats.with_texts(docs, marks).mapInArrow(lambda it: _finish(it, length, k), RESULT)
+    return repeats.named(repeats.with_texts(text, marks).mapInArrow(lambda it: _finish(it, length, k), RESULT), names)

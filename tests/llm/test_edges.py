@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from paddock.llm import decontaminate, jaccard, packing
+from paddock.llm import anchors, decontaminate, jaccard, packing, suffixes
 from paddock.llm.common import free_name
 
 from .cases import frame, sentence, texts
@@ -30,8 +31,6 @@ def test_a_word_of_over_a_million_ids(spark):
 
 
 def near_copies(n):
-    import random
-
     rng = random.Random(9)
     base = sentence(rng, 120).split(" ")
     return [" ".join(base[:100] + [f"x{i}"] + base[100:]) for i in range(n)]
@@ -64,3 +63,37 @@ def test_columns_named_as_the_operators_name_theirs(spark):
 def test_free_name(spark):
     df = spark.createDataFrame([], "A int, a_ int")
     assert free_name(df, "a") == "a__" and free_name(df, "b") == "b"
+
+
+def alike(passage):
+    """Two different texts, one with the passage, whose CRC-32 agree in 20 bits."""
+    seen = {}
+    for i in range(100_000):
+        for own in (True, False):
+            t = f"start{i} of it " + (passage if own else "another text ") + f" end{i}"
+            tag = zlib.crc32(t.encode()) & 0xFFFFF
+            other = seen.setdefault((tag, own), t)
+            if (tag, not own) in seen:
+                return (other, seen[tag, not own]) if own else (seen[tag, not own], other)
+    raise AssertionError
+
+
+def test_texts_without_ids_whose_checksums_agree(spark):
+    passage = sentence(random.Random(1), 40)
+    with_it, without = alike(passage)
+    rows = [(None, without), (None, with_it), (7, f"here {passage} there")]
+    got = {(r.doc_id, r.n_words): r.n_removed for r in anchors.remove_repeats(frame(spark, rows), 35).collect()}
+    assert got == {(None, len(without.split())): 0, (None, len(with_it.split())): 40, (7, 42): 40}
+    got = {(r.doc_id, r.n_bytes): r.n_removed for r in suffixes.remove_repeats(frame(spark, rows), 100).collect()}
+    assert got == {(None, len(without.encode())): 0, (None, len(with_it.encode())): 0, (7, len(rows[2][1].encode())): len(f" {passage} ".encode())}
+
+
+def test_many_rows_without_an_id(spark):
+    """Two thousand texts under no id, a passage in three of them and in one with an id."""
+    passage = sentence(random.Random(2), 50)
+    rows = [(None, f"row {i} " + (passage if i % 700 == 5 else "plain text")) for i in range(2000)] + [(3, passage), (3, "short")]
+    got = anchors.remove_repeats(frame(spark, rows), 35).collect()
+    assert len(got) == 2002 and sorted(r.n_removed for r in got if r.n_removed) == [50] * 4
+    got = suffixes.remove_repeats(frame(spark, rows), 100).collect()
+    assert len(got) == 2002 and sum(r.n_removed > 0 for r in got) == 3
+    assert [r.n_removed for r in got if r.doc_id == 3 and r.n_bytes > 10] == [len(passage.encode())]
