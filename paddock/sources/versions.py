@@ -153,6 +153,20 @@ class VersionedTable:
         named = {f"{v.partition_by[0]}={'__HIVE_DEFAULT_PARTITION__' if x is None else x}" for x in values}
         return tuple(f for f in v.files if named & set(f.split("/")))
 
+    def compact(self, least: int = 16) -> int:
+        """Put the files of each partition (of the table, if it has none) that
+        has ``least`` or more together, as few as their size asks for; how many
+        went. One new version, with the same rows: a stream's small batches."""
+        v = self.version()
+        groups: dict[str, list[str]] = {}
+        for f in v.files:
+            groups.setdefault("/".join(f.split("/")[1:-1]), []).append(f)
+        many = tuple(f for files in groups.values() if len(files) >= least for f in files)
+        if many:
+            rows = self.read(many)
+            self.change(rows if v.partition_by else rows.hint("rebalance"), many, since=v)
+        return len(many)
+
     def vacuum(self, keep: int = 1) -> int:
         """Remove manifests but the newest ``keep`` and the written folders
         that none of those names; how many folders went. For the table's only

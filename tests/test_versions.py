@@ -125,3 +125,18 @@ def test_catalog_upserts_know_null_keys_and_clean_up(spark):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/t__v*")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     assert len(fs.globStatus(p)) == 2  # the last, and the one that readers may hold
+
+
+def test_small_files_are_put_together(spark):
+    t = _table(spark)
+    for i in range(6):
+        df = spark.createDataFrame([(i, "a"), (i, None), (i + 10, "b")] if i else [(0, "c")], "k int, d string")
+        t.append(df, "s", i, partition_by=("d",))
+    want, files = _rows(t.read()), set(t.version().files)
+    assert t.compact(6) == 0
+    assert t.compact(5) == 15 and t.compact(5) == 0
+    after = t.version()
+    assert _rows(t.read()) == want and after.batches == {"s": 5} and not t.append(t.read(), "s", 5)
+    assert len(after.files) == 4 and len(files & set(after.files)) == 1  # the partition of one file stays
+    t.vacuum()
+    assert _rows(t.read()) == want
