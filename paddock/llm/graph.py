@@ -43,6 +43,22 @@ def components_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
+def spanned(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 1 << 20) -> np.ndarray:
+    """Smallest reachable index of each of n vertices. Edges come in parts and
+    are kept as a forest, so that of a group whose members are all linked no
+    more than about ``most`` edges, or one part, are held."""
+    label = np.arange(n)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for a, b in pairs:
+        held.append((a, b))
+        size += len(a)
+        if size >= most:
+            label = components_of(n, np.concatenate([np.arange(n), *(x for x, _ in held)]), np.concatenate([label, *(y for _, y in held)]))
+            held, size = [], 0
+    return components_of(n, np.concatenate([np.arange(n), *(x for x, _ in held)]), np.concatenate([label, *(y for _, y in held)]))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component) for every vertex of the edges (a, b): the smallest
     vertex reachable. Alternates large-star and small-star steps; minima are

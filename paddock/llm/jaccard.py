@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, free_name, mix, shingles, ship, signed, stored, text_chunks, text_table
-from .graph import components, components_of, runs
+from .graph import components, runs, spanned
 
 #: shingles of a block; a family of more is checked block by block
 BLOCK_SHINGLES = 1_000_000
@@ -137,8 +137,16 @@ def sketch(u: np.ndarray) -> bytes:
 
 
 def sieve(n: np.ndarray, sketches: list[bytes], sides: np.ndarray, across: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs that ``sieved`` yields."""
+    pairs = list(sieved(n, sketches, sides, across, percent))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *(a for a, _ in pairs)]), np.concatenate([none, *(b for _, b in pairs)])
+
+
+def sieved(n: np.ndarray, sketches: list[bytes], sides: np.ndarray, across: bool, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (of different sides if ``across``) whose sizes and sketches allow
-    a link. A longer sketch is folded to the shorter one's bits."""
+    a link, those of one set at a time. A longer sketch is folded to the
+    shorter one's bits."""
     order = np.argsort(n, kind="stable")
     words = np.array([len(x) // 8 for x in sketches])
     groups = {}
@@ -146,7 +154,6 @@ def sieve(n: np.ndarray, sketches: list[bytes], sides: np.ndarray, across: bool,
         at = order[words[order] == w]
         m = np.frombuffer(b"".join([sketches[i] for i in at]), np.uint64).reshape(-1, w)
         groups[w] = (at, n[at], m, m[:, : w // 2] ^ m[:, w // 2 :] if w > 1 else None)
-    found = []
     for w, (at, size, m, _) in groups.items():
         for k, i in enumerate(at.tolist()):
             most = 100 * size[k] // percent
@@ -163,17 +170,14 @@ def sieve(n: np.ndarray, sketches: list[bytes], sides: np.ndarray, across: bool,
                 if across:
                     j = j[sides[j] != sides[i]]
                 if len(j):
-                    found.append(np.stack([np.full(len(j), i), j]))
-    pairs = np.concatenate(found, 1) if found else np.zeros((2, 0), np.int64)
-    return pairs[0], pairs[1]
+                    yield np.full(len(j), i), j
 
 
 def _sift(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Block pairs (family, i, j, side, vertex, n_shingles, sketch) -> spanning edges."""
     for (_, i, j), rows in runs(batches, 3):
         name, n, side = (rows.column(c).to_numpy() for c in ("vertex", "n_shingles", "side"))
-        a, b = sieve(n, rows.column("sketch").to_pylist(), side, i != j, percent)
-        label = components_of(len(n), a, b)
+        label = spanned(len(n), sieved(n, rows.column("sketch").to_pylist(), side, i != j, percent))
         own = np.flatnonzero(label != np.arange(len(n)))
         yield pa.RecordBatch.from_arrays([pa.array(name[own]), pa.array(name[label[own]])], names=["a", "b"])
 
@@ -276,6 +280,18 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     return out
 
 
+def _links(sets: list[np.ndarray], n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of left and right sets, those of a few left ones at a time."""
+    for b in range(0, len(left), 512):
+        part = left[b : b + 512]
+        common = overlaps(sets, part, right)
+        for s in range(0, len(part), 64):
+            some, k = part[s : s + 64], common[s : s + 64]
+            union = n[some][:, None] + n[right][None] - k
+            x, y = np.nonzero((100 * k >= percent * union) & (some[:, None] != right[None]))
+            yield some[x], right[y]
+
+
 def _check(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Block pairs (family, i, j, side, vertex, text) -> spanning edges of their links."""
     for (_, i, j), rows in runs(batches, 3):
@@ -300,15 +316,7 @@ def _check(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterat
         if not len(left) or not len(right):
             continue
         n = np.array([len(u) for u in sets])
-        found = []
-        for b in range(0, len(left), 512):
-            part = left[b : b + 512]
-            common = overlaps(sets, part, right)
-            union = n[part][:, None] + n[right][None] - common
-            x, y = np.nonzero((100 * common >= percent * union) & (part[:, None] != right[None]))
-            found.append(np.stack([part[x], right[y]]))
-        a, b = np.concatenate(found, 1)
-        label = components_of(len(sets), a, b)
+        label = spanned(len(sets), _links(sets, n, left, right, percent))
         own = np.flatnonzero(label != np.arange(len(sets)))
         name = np.array(names, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(name[own]), pa.array(name[label[own]])], names=["a", "b"])
