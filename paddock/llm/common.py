@@ -8,6 +8,8 @@ so a task's memory does not grow with its input.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -63,6 +65,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; then what the task no longer uses goes back to the system,
+    as a Python worker lives on beside the workers of later stages."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_table(docs: DataFrame, *extra: str) -> DataFrame:
     """``doc_id`` (long), ``text`` (string) and the columns ``extra``; other
     columns, whatever their names, are left behind."""

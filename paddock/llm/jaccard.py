@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, free_name, mix, shingles, ship, signed, stored, text_chunks, text_table
+from .common import Words, free_name, mix, released, shingles, ship, signed, stored, text_chunks, text_table
 from .graph import components, runs, spanned
 
 #: shingles of a block; a family of more is checked block by block
@@ -344,17 +344,17 @@ def linked(docs: DataFrame, words: int, percent: int, n2: int, k2: int) -> DataF
     ship(docs.sparkSession)
     text = text_table(docs)
     keyed = text_table(docs, row_key().alias("row"))
-    keys = stored(keyed.mapInArrow(lambda it: _keys(it, words), "doc_id long, row long, n_shingles long, vertex long, sketch binary"), "sets")
+    keys = stored(keyed.mapInArrow(lambda it: released(_keys(it, words)), "doc_id long, row long, n_shingles long, vertex long, sketch binary"), "sets")
     known = keys.where("vertex IS NOT NULL").groupBy("vertex")
     # each vertex by one of its rows
     vertices = known.agg(F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    postings = text.mapInArrow(lambda it: _sign(it, words, Bands(percent, n2, k2)), "sig long, vertex long")
+    postings = text.mapInArrow(lambda it: released(_sign(it, words, Bands(percent, n2, k2))), "sig long, vertex long")
     pairs = postings.repartition("sig").sortWithinPartitions("sig").mapInArrow(_pair_up, "a long, b long").distinct()
     wide = components(pairs).withColumnRenamed("component", "family").join(vertices, "vertex")
-    sifted = _blocks(wide, SIEVE_SHINGLES, "vertex", "n_shingles", "sketch").mapInArrow(lambda it: _sift(it, percent), "a long, b long")
+    sifted = _blocks(wide, SIEVE_SHINGLES, "vertex", "n_shingles", "sketch").mapInArrow(lambda it: released(_sift(it, percent)), "a long, b long")
     families = stored(components(sifted).withColumnRenamed("component", "family").join(vertices.drop("sketch"), "vertex"), "families")
     blocks = _blocks(member_texts(docs, families), BLOCK_SHINGLES, "vertex", "text", sizes=families)
-    links = blocks.mapInArrow(lambda it: _check(it, words, percent), "a long, b long")
+    links = blocks.mapInArrow(lambda it: released(_check(it, words, percent)), "a long, b long")
     found = stored(components(links), "components")
     return keys.join(found, "vertex", "left").select("doc_id", "row", "n_shingles", "vertex", F.coalesce("component", "vertex").alias("component"))
 
