@@ -59,25 +59,43 @@ def spanned(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], most: int =
     return components_of(n, np.concatenate([np.arange(n), *(x for x, _ in held)]), np.concatenate([label, *(y for _, y in held)]))
 
 
+#: of the edges between vertices, a hub has more than one in so many
+HUBS = 1000
+
+
+def with_least(rows: DataFrame, least: DataFrame, ends: int) -> DataFrame:
+    """Edges (a, b) with m, the value that ``least`` (a, m, n) has for a. The
+    degrees n add up to ``ends`` or less, so fewer than HUBS of the vertices
+    have a degree beyond ends / HUBS: these are broadcast, and no task gets
+    all edges of a hub; the others are shuffled."""
+    most = ends // HUBS
+    hubs = least.where(F.col("n") > most).select("a", F.col("m").alias("hub"))
+    seen = rows.join(F.broadcast(hubs), "a", "left")
+    others = seen.where("hub IS NULL").select("a", "b").join(least.where(F.col("n") <= most).select("a", "m"), "a")
+    return seen.where("hub IS NOT NULL").select("a", "b", F.col("hub").alias("m")).unionByName(others.select("a", "b", "m"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, component) for every vertex of the edges (a, b): the smallest
     vertex reachable. Alternates large-star and small-star steps; minima are
-    pre-aggregated, so a vertex of any degree is no single task's load."""
+    pre-aggregated and the few hubs meet their edges by broadcast, so a vertex
+    of any degree is no single task's load."""
     ship(edges.sparkSession)
     e = stored(edges.select("a", "b").where("a <> b").mapInArrow(_forest, "a long, b long").distinct(), "edges")
-    mark = None
+    n, mark = e.count(), None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        linked = large.join(low, "a")
-        small = linked.select("a", F.col("m").alias("b")).union(linked.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n"))
+        large = with_least(both.where("b > a"), least, 2 * n).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        # a vertex with one neighbour has nothing to pass on
+        passed = with_least(large, least.where("n > 1"), n).where("b <> m")
+        small = least.select("a", F.col("m").alias("b")).union(passed.select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         e = stored(small, "edges")
         got = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark == got:
             break
-        mark = got
+        n, mark = got.n, got
     roots = e.select(F.col("b").alias("vertex")).distinct().withColumn("component", F.col("vertex"))
     return e.select(F.col("a").alias("vertex"), F.col("b").alias("component")).unionByName(roots)
 
