@@ -39,6 +39,8 @@ def sequence_numbers(df: DataFrame, key: str, order: list[str], partitions: int
     # AQE may coalesce the range exchange differently per branch, so the
     # tagged rows are written once to the shared checkpoint folder.
     ranged = cut_lineage(ranged)
+    if partitions:  # as many tasks for the numbering and the joins on it
+        ranged = ranged.repartition(partitions, "_pid", key)
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid", key).orderBy(*order))
     )
@@ -67,6 +69,8 @@ def trailing_mean(
     senders = seq.select(
         key, "seq", F.col(value).alias("_v"), F.explode(F.sequence(F.lit(1), F.lit(preceding))).alias("_k")
     ).select(key, (F.col("seq") + F.col("_k")).alias("_slot"), "_v")
+    if partitions:
+        senders = senders.repartition(partitions, key, "_slot")
     means = senders.groupBy(F.col(key).alias("_mkey"), "_slot").agg(F.avg("_v").alias(out))
     joined = seq.join(means, (F.col(key) == F.col("_mkey")) & (F.col("seq") == F.col("_slot")), "left")
     return joined.drop("_mkey", "_slot")
