@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock import session
 from paddock.operators.features import team_momentum
+from paddock.operators.sequence import trailing_mean
 from paddock.plans import views
 from paddock.plans.gold import GOLD_MODELS, GoldModels
 from paddock.session import scratch_path
@@ -95,3 +96,12 @@ def test_the_view_by_name_joins_as_the_frames(spark, gold):
     catalog.create_dashboard_views(spark, names["gold"], names["dashboard"])
     got = Counter(map(tuple, spark.table(f"{names['dashboard']}.historical_master").collect()))
     assert got == Counter(map(tuple, plain_master(gold).collect()))
+
+
+def test_trailing_mean_over_many_small_blocks(spark):
+    rows = [(k, t, None if t % 5 == 0 else float(k * t)) for k in (1, 2) for t in range(40)] + [(3, 0, 1.0)]
+    df = spark.createDataFrame(rows, "key int, t int, v double")
+    got = {(r.key, r.t): r.m for r in trailing_mean(df, "key", ["t"], "v", 4, "m", partitions=30).collect()}
+    for k, t, _ in rows:
+        held = [v for kk, tt, v in rows if kk == k and t - 4 <= tt < t and v is not None]
+        assert got[k, t] == (pytest.approx(sum(held) / len(held)) if held else None)
