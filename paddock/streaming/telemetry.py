@@ -17,7 +17,8 @@
   feed aggregated per 15-minute bucket, then joined to the fast feed
   (stream-static left join on the bucket: one match per event, no pairs).
 * ``live_feeds``: both feeds as streams, outer-joined by time with
-  watermarks on both sides; each event keeps its newest reading.
+  watermarks on both sides; each event takes its newest reading, found in one
+  pass over a time window's rows.
 
 Tables are ``VersionedTable``s: a micro-batch writes its files and then
 commits them with its number in one step, so one that dies half-way leaves
@@ -34,7 +35,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -333,28 +334,36 @@ def live_feeds(
     """Both feeds as streams: each telemetry event with the newest weather
     reading of the ``within`` seconds up to it, none if there is none.
 
-    A stream-stream left outer join: both sides have a watermark of ``delay``,
-    and the time range bounds how long either waits for the other, so state is
-    evicted on both. The equality it needs is a time bucket of ``within``
-    seconds; a reading goes to the two buckets that its range meets, an event
-    to its own, so a pair meets once and a busy hour is many keys. A reading
-    that arrives late takes the place of an older one: the table is upserted by
+    Both feeds meet in time windows of twice ``within``, each of which holds the
+    events of its second half and all readings that these can have. What a
+    window holds is its state, evicted as the watermark (of both sides, a
+    ``delay`` each) passes its end. In a window that a batch touches, each event
+    takes the greatest reading time up to its own as the rows go by in order of
+    time, so the work follows the rows and no pairs are made. A reading that
+    arrives late takes the place of an older one: the table is upserted by
     event, in the event's date, the newest reading first."""
-    def bucket(c: str) -> F.Column:
-        return F.floor(F.unix_seconds(c) / within)
-
+    span = F.expr(f"INTERVAL {within} SECONDS")
     side = weather.select(F.col("ts").alias("reading_ts"), F.col("value").alias("reading")).withWatermark("reading_ts", delay)
-    side = side.withColumn("slot", F.explode(F.array(bucket("reading_ts"), bucket("reading_ts") + 1)))
-    events = event_key(telemetry.withWatermark("ts", delay)).withColumn("at", bucket("ts"))
-    near = (F.col("reading_ts") <= F.col("ts")) & (F.col("ts") < F.col("reading_ts") + F.expr(f"INTERVAL {within} SECONDS"))
-    pairs = events.join(side, (F.col("at") == F.col("slot")) & near, "left_outer").drop("at", "slot")
+    events = event_key(telemetry.withWatermark("ts", delay))
+    names = events.columns
+    one, other = F.struct(*(F.col(f"`{c}`") for c in names)), F.struct("reading_ts", "reading")
+    fast = events.select(F.col("ts").alias("at"), one.alias("event"))
+    both = fast.unionByName(side.select(F.col("reading_ts").alias("at"), other.alias("newest")), allowMissingColumns=True)
+    held = both.withColumn("slot", F.window("at", f"{2 * within} seconds", f"{within} seconds"))
+    held = held.where(F.col("newest").isNotNull() | (F.col("at") >= F.col("slot.start") + span))
+    slots = held.groupBy("slot").agg(F.collect_list(F.struct("at", "event", "newest")).alias("rows"))
     upsert = latest_upsert(table, ["_key", "event_date"], "event_date", ("reading_ts", "_batch"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = _plain(batch.where(~F.col("event_type").eqNullSafe(F.lit(END))))
+        rows = batch.select("slot", F.explode("rows").alias("r")).select("slot", "r.*")
+        w = Window.partitionBy("slot").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # the rows of a slot
+        rows = rows.withColumn("newest", F.max("newest").over(w)).where("event IS NOT NULL")
+        near = F.when(F.col("at") < F.col("newest.reading_ts") + span, F.col("newest"))
+        rows = rows.select(*(F.col(f"event.`{c}`").alias(c) for c in names), near["reading_ts"].alias("reading_ts"), near["reading"].alias("reading"))
+        rows = _plain(rows.where(~F.col("event_type").eqNullSafe(F.lit(END))))
         upsert(rows.withColumn("reading_ts", F.col("reading_ts").cast("timestamp_ntz")), batch_id)
 
-    return _run(pairs.writeStream.outputMode("append").foreachBatch(sink), checkpoint, live, state_partitions)
+    return _run(slots.writeStream.outputMode("update").foreachBatch(sink), checkpoint, live, state_partitions)
 
 
 def read_table_fresh(spark: SparkSession, table: str) -> DataFrame:

@@ -126,3 +126,38 @@ def test_live_feeds_with_late_rows_equal_batch(spark):
     # state of both sides goes as the watermark passes
     last = q.lastProgress.stateOperators[0]
     assert last.numRowsTotal < 20 and q.exception() is None
+
+
+def test_live_feeds_make_no_pairs_in_a_dense_hour(spark, monkeypatch):
+    """Events that share ten minutes with many readings reach the sink once a
+    batch, each with the newest: equal times count, one of ten minutes ago doesn't."""
+    schema, root = telemetry.scratch_tables(spark, "dense")
+    second = lambda s: T0 + dt.timedelta(seconds=s)
+    fast = [(i, second(3 * i), 1, "click", float(i), "p") for i in range(600)] + [(900, second(-1), 1, "click", 0.0, "p"), (901, second(2 * 1797 + 600), 1, "click", 0.0, "p")]
+    slow = [(1000 + i, second(2 * i), 2, "purchase", None if i % 7 == 0 else float(i), "w") for i in range(900)] + [(1900, second(2 * 1797), 2, "purchase", 5.0, "w")]
+    land = {"chunks": 2, "late": "5 MINUTES", "close": "1 DAY"}
+    pt = telemetry.land_replay(spark.createDataFrame(fast, SCHEMA), f"{root}/fast", **land)
+    pw = telemetry.land_replay(spark.createDataFrame(slow, SCHEMA), f"{root}/weather", **land)
+    upsert_of, sent = telemetry.latest_upsert, []
+
+    def counted(*args):
+        upsert = upsert_of(*args)
+
+        def run(batch, batch_id):
+            sent.append(batch.count())
+            upsert(batch, batch_id)
+
+        return run
+
+    monkeypatch.setattr(telemetry, "latest_upsert", counted)
+    telemetry.live_feeds(
+        telemetry.replay_stream(spark, f"{root}/fast", files_per_trigger=pt), telemetry.replay_stream(spark, f"{root}/weather", files_per_trigger=pw),
+        f"{schema}.joined", f"{root}/ckpt", state_partitions=2,
+    ).awaitTermination()
+    got = Counter((r.event_id, r.reading_ts, r.reading) for r in telemetry.read_table_fresh(spark, f"{schema}.joined").collect())
+    want = Counter()
+    for i, ts, *_ in fast:
+        near = [(t, v) for _, t, _, _, v, _ in slow if ts - dt.timedelta(seconds=600) < t <= ts]
+        want[i, *(max(near, key=lambda x: x[0]) if near else (None, None))] += 1
+    assert got == want and want[901, None, None] == want[900, None, None] == 1
+    assert sum(sent) <= 3 * len(fast)
