@@ -75,6 +75,21 @@ def test_width_follows_the_input(spark, monkeypatch):
     assert session.join_width(df) in (10, 11)
 
 
+def test_a_wide_shuffle_setting_does_not_keep_the_width_from_the_input(spark, monkeypatch):
+    """AQE would put its 200 tasks together to one a core."""
+    path = scratch_path(spark, "wide-setting")
+    spark.range(50_000).write.parquet(path)
+    df = spark.read.parquet(path)
+    monkeypatch.setattr(session, "TASK_BYTES", session.file_bytes(df) // 10)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert session.join_width(df) in (10, 11)
+        assert session.spread(df, session.join_width(df), "id").rdd.getNumPartitions() in (10, 11)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_momentum_in_more_tasks_is_the_same(spark, gold):
     rows = lambda w: Counter(map(tuple, team_momentum(gold.ref("fact_results"), gold.ref("dim_races").dropDuplicates(["race_id"]).withColumn("race_date", F.expr("DATE'2024-01-01' + race_id")), width=w).collect()))
     assert rows(0) == rows(9)
