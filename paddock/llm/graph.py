@@ -61,13 +61,19 @@ def spanned(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], most: int =
 
 #: of the edges between vertices, a hub has more than one in so many
 HUBS = 1000
+#: ends of edges up to which the minima of all vertices are broadcast
+FEW_ENDS = 1 << 17
 
 
 def with_least(rows: DataFrame, least: DataFrame, ends: int) -> DataFrame:
     """Edges (a, b) with m, the value that ``least`` (a, m, n) has for a. The
     degrees n add up to ``ends`` or less, so fewer than HUBS of the vertices
     have a degree beyond ends / HUBS: these are broadcast, and no task gets
-    all edges of a hub; the others are shuffled."""
+    all edges of a hub; the others are shuffled. Of no more than FEW_ENDS, a few
+    MB, all are broadcast: one exchange instead of four spares the driver, whose
+    threads and plans add up over the steps."""
+    if ends <= FEW_ENDS:
+        return rows.select("a", "b").join(F.broadcast(least.select("a", "m")), "a")
     most = ends // HUBS
     hubs = least.where(F.col("n") > most).select("a", F.col("m").alias("hub"))
     seen = rows.join(F.broadcast(hubs), "a", "left")

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from paddock.llm import anchors, jaccard, suffixes
@@ -227,3 +228,24 @@ def test_random_corpora_with_small_batches(spark):
         assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 3, 60)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_minima_of_few_edges_are_one_broadcast(spark, monkeypatch):
+    """Small graphs cost the driver one join a step; either way gives the same rows, hubs or not."""
+    from paddock.llm import graph
+
+    pairs = [(1, b) for b in range(2, 60)] + [(100 + k, 101 + k) for k in range(30)] + [(59, 130), (400, 401)]
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(3)
+    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+
+    def both(least):
+        few = graph.with_least(edges, least, 2 * len(pairs))
+        monkeypatch.setattr(graph, "FEW_ENDS", 0)
+        split = graph.with_least(edges, least, 2 * len(pairs))
+        monkeypatch.undo()
+        return few, split
+
+    for some in (least, least.where("n > 1")):
+        few, split = both(some)
+        assert Counter(map(tuple, few.collect())) == Counter(map(tuple, split.collect())) and few.columns == split.columns
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
