@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from paddock import session
+from paddock.plans.gold import GoldModels
 from paddock.session import scratch_path
 from paddock.sources import catalog, ingest
 
+from .test_wide_joins import TABLES
+
 
 def test_a_step_leaves_no_shuffle_setting_behind(spark):
     was = spark.conf.get(session.CLEANUP)
@@ -16,6 +19,41 @@ def test_a_step_leaves_no_shuffle_setting_behind(spark):
     assert spark.conf.get(session.CLEANUP) == was
 
 
+def test_layers_are_written_without_their_shuffles(spark, monkeypatch):
+    seen = []
+    write = catalog.send_to_schema
+    monkeypatch.setattr(catalog, "send_to_schema", lambda df, *a, **k: (seen.append(spark.conf.get(session.CLEANUP)), write(df, *a, **k)))
+    root = scratch_path(spark, "dropped")
+    names = {k: f"{k}_{root.rsplit('-', 1)[-1]}" for k in ("silver", "gold")}
+    catalog.create_layers(spark, names.values(), root)
+    was = spark.conf.get(session.CLEANUP)
+    silver = {n: spark.createDataFrame(rows, schema) for n, (schema, rows) in TABLES.items() if n in ("race_data_races", "race_data_drivers", "race_data_pit_stops")}
+    catalog.write_layer(silver, names["silver"])
+    catalog.build_gold(spark, names["silver"], names["gold"], ("dim_races", "fact_pit_stops"))
+    assert seen == ["true"] * 5 and spark.conf.get(session.CLEANUP) == was
+    assert spark.table(f"{names['gold']}.fact_pit_stops").count() == GoldModels(lambda n: silver[n]).ref("fact_pit_stops").count()
+
+
+def test_large_models_are_written_in_turn_the_largest_first(spark, monkeypatch):
+    root = scratch_path(spark, "turn")
+    names = {k: f"{k}_{root.rsplit('-', 1)[-1]}" for k in ("silver", "gold")}
+    catalog.create_layers(spark, names.values(), root)
+    tables = ("race_data_races", "race_data_drivers", "race_data_pit_stops", "race_data_driver_standings", "race_data_results")
+    catalog.write_layer({n: spark.createDataFrame(TABLES[n][1], TABLES[n][0]) for n in tables}, names["silver"])
+    monkeypatch.setattr(session, "TASK_BYTES", 300)
+    events, write = [], catalog.send_to_schema
+
+    def watched(df, name, *a, **k):
+        events.append(name)
+        write(df, name, *a, **k)
+        events.append(name)
+
+    monkeypatch.setattr(catalog, "send_to_schema", watched)
+    models = ("dim_races", "fact_pit_stops", "standings_drivers", "dim_sessions")
+    catalog.build_gold(spark, names["silver"], names["gold"], models)
+    assert events[::2] == events[1::2] and set(events) == set(models)  # none begins before the last has ended
+
+
 def test_ingested_tables_are_compressed_as_the_layers(spark):
     root = scratch_path(spark, "zstd-bronze")
     name = f"bronze_{root.rsplit('-', 1)[-1]}"
