@@ -8,11 +8,13 @@ others (``dim_races``) is one plan node that Spark can reuse.
 Facts carry ``race_id`` next to ``race_key`` and join on the id: a
 season with two races of one name would otherwise fan out or merge.
 Dimension joins are inner equi-joins, broadcast up to
-``spark.sql.autoBroadcastJoinThreshold`` and else shuffled. A fact meets its
-driver and team first, while its rows are narrow, and its race last: all that
-joins it by race, or by race and something else (pit stops, standings, the
-race's circuit), is spread by the race alone in the same width and needs no
-further shuffle of the fact. A race that holds most of a fact is one task.
+``spark.sql.autoBroadcastJoinThreshold``, or ``session.BROADCAST_ROWS``, and
+else shuffled. A fact meets what it is shuffled for first, while its rows are
+narrow, its race last, and after its last shuffle what is broadcast (so no
+shuffle carries those columns): all that joins it by race, or by race and
+something else (pit stops, standings, the race's circuit), is spread by the
+race alone in the same width and needs no further shuffle of the fact. A race
+that holds most of a fact is one task.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import not_classified_flag
 from ..operators.features import session_intervals
-from ..session import join_dimension, join_width, spread
+from ..session import broadcasts, join_dimension, join_width, spread
 
 
 def _full_name(first="forename", last="surname"):
@@ -109,26 +111,46 @@ def _status_side(status: DataFrame) -> DataFrame:
     return status.select(F.col("statusid").alias("s_statusid"), F.col("status"))
 
 
-def _with_race(df: DataFrame, races_dim: DataFrame, width: int) -> DataFrame:
-    """The last join of a fact, so its rows stay spread by race."""
-    return spread(df, width, "raceid").join(spread(_race_side(races_dim), width, "race_id"), F.col("raceid") == F.col("race_id"))
+#: a dimension that joins a fact: its rows, the fact's column, its own
+Side = tuple[DataFrame, str, str]
 
 
-def _with_driver(df: DataFrame, drivers: DataFrame, width: int) -> DataFrame:
-    return join_dimension(df, _driver_side(drivers), "driverid", "d_driverid", width)
+def _driver(drivers: DataFrame) -> Side:
+    return _driver_side(drivers), "driverid", "d_driverid"
 
 
-def _with_team(df: DataFrame, constructors: DataFrame, width: int) -> DataFrame:
-    return join_dimension(df, _team_side(constructors), "constructorid", "t_constructorid", width)
+def _team(constructors: DataFrame) -> Side:
+    return _team_side(constructors), "constructorid", "t_constructorid"
 
 
-def _with_race_and_driver(df: DataFrame, races_dim: DataFrame, drivers: DataFrame, width: int = 0) -> DataFrame:
-    return _with_race(_with_driver(df, drivers, width), races_dim, width)
+def _status(status: DataFrame) -> Side:
+    return _status_side(status), "statusid", "s_statusid"
 
 
-def fact_lap_times(lap_times: DataFrame, races_dim: DataFrame, drivers: DataFrame, width: int = 0) -> DataFrame:
-    j = _with_race_and_driver(lap_times, races_dim, drivers, width)
-    return j.select(
+def _by_race(df: DataFrame, races_dim: DataFrame, width: int, *sides: Side) -> tuple[DataFrame, list[Side]]:
+    """The fact with the sides that it is shuffled for and with its race, by
+    which its rows stay spread, and the sides that are left to broadcast
+    (``_attach``). Sides of one key in turn need one shuffle of the fact."""
+    left, at = [], None
+    for side, key, its in sides:
+        if width and broadcasts(side):
+            left.append((side, key, its))
+        else:
+            df, at = join_dimension(df, side, key, its, width, placed=key == at), key
+    return spread(df, width, "raceid").join(spread(_race_side(races_dim), width, "race_id"), F.col("raceid") == F.col("race_id")), left
+
+
+def _attach(df: DataFrame, sides: list[Side], together: str | None = None) -> DataFrame:
+    """Broadcast joins after the last shuffle, which puts the rows of one value
+    of ``together`` into few tasks."""
+    df = df.hint("rebalance", together) if together else df
+    for side, key, its in sides:
+        df = df.join(F.broadcast(side), F.col(key) == F.col(its))
+    return df
+
+
+def fact_lap_times(lap_times: DataFrame, races_dim: DataFrame, drivers: DataFrame, width: int = 0, together: str | None = None) -> DataFrame:
+    return _attach(*_by_race(lap_times, races_dim, width, _driver(drivers)), together).select(
         "race_key",
         "year",
         "driver_full_name",
@@ -140,9 +162,8 @@ def fact_lap_times(lap_times: DataFrame, races_dim: DataFrame, drivers: DataFram
     )
 
 
-def fact_pit_stops(pit_stops: DataFrame, races_dim: DataFrame, drivers: DataFrame, width: int = 0) -> DataFrame:
-    j = _with_race_and_driver(pit_stops, races_dim, drivers, width)
-    return j.select(
+def fact_pit_stops(pit_stops: DataFrame, races_dim: DataFrame, drivers: DataFrame, width: int = 0, together: str | None = None) -> DataFrame:
+    return _attach(*_by_race(pit_stops, races_dim, width, _driver(drivers)), together).select(
         "race_key",
         "year",
         "driver_full_name",
@@ -155,10 +176,10 @@ def fact_pit_stops(pit_stops: DataFrame, races_dim: DataFrame, drivers: DataFram
 
 
 def fact_qualifying(
-    qualifying: DataFrame, races_dim: DataFrame, drivers: DataFrame, constructors: DataFrame, width: int = 0
+    qualifying: DataFrame, races_dim: DataFrame, drivers: DataFrame, constructors: DataFrame, width: int = 0, together: str | None = None
 ) -> DataFrame:
-    j = _with_race(_with_team(_with_driver(qualifying, drivers, width), constructors, width), races_dim, width)
-    return j.select(
+    j = _by_race(qualifying, races_dim, width, _driver(drivers), _team(constructors))
+    return _attach(*j, together).select(
         "race_key",
         "year",
         "driver_full_name",
@@ -194,11 +215,15 @@ def pit_aggregates_eager(pit_stops: DataFrame, races_dim: DataFrame, drivers: Da
     """
     drivers_n = drivers.groupBy(F.col("driverid").alias("_did")).agg(F.count(F.lit(1)).alias("_dn"))
     stops = pit_stops.select(F.col("raceid").alias("race_id"), F.col("driverid").alias("driver_id"), "duration")
-    stops = spread(join_dimension(stops, drivers_n, "driver_id", "_did", width), width, "race_id")
-    per_key = stops.groupBy("race_id", "driver_id").agg(
-        F.sum("_dn").alias("_n"), F.sum(F.col("duration") * F.col("_dn")).alias("_ms")
-    )
     races = spread(races_dim.select(F.col("race_id").alias("_rid")), width, "_rid").groupBy("_rid").agg(F.count(F.lit(1)).alias("_rn"))
+    by_key = lambda df, n, ms: df.groupBy("race_id", "driver_id").agg(n.alias("_n"), ms.alias("_ms"))
+    if width and broadcasts(drivers):
+        per_key = by_key(spread(stops, width, "race_id"), F.count(F.lit(1)), F.sum("duration"))
+        per_key = per_key.join(F.broadcast(drivers_n), F.col("driver_id") == F.col("_did"))
+        per_key = per_key.withColumns({c: F.col(c) * F.col("_dn") for c in ("_n", "_ms")})
+    else:
+        stops = spread(join_dimension(stops, drivers_n, "driver_id", "_did", width), width, "race_id")
+        per_key = by_key(stops, F.sum("_dn"), F.sum(F.col("duration") * F.col("_dn")))
     j = per_key.join(races, F.col("race_id") == F.col("_rid"))
     return j.select(
         "race_id", "driver_id",
@@ -207,16 +232,15 @@ def pit_aggregates_eager(pit_stops: DataFrame, races_dim: DataFrame, drivers: Da
     )
 
 
-def _results_core(results: DataFrame, races_dim, drivers, constructors, status, width: int = 0, d=None, t=None) -> DataFrame:
-    """The dimensions from the narrowest on, the race last; ``d`` and ``t``
+def _results_core(results: DataFrame, races_dim, drivers, constructors, status, width: int = 0, d=None, t=None) -> tuple[DataFrame, list[Side]]:
+    """``_by_race`` with the dimensions from the narrowest on; ``d`` and ``t``
     (``driver_dimension``, ``team_dimension``) right after the driver and the
     team, where the rows already are by that key."""
-    j = results.join(_status_side(status), F.col("statusid") == F.col("s_statusid"))
-    j = _with_driver(j, drivers, width)
-    j = j if d is None else join_dimension(j, d, "driverid", "d_driver_id", width)
-    j = _with_team(j, constructors, width)
-    j = j if t is None else join_dimension(j, t, "constructorid", "t_team_id", width, placed=True)
-    return _with_race(j, races_dim, width)
+    sides = [_driver(drivers), *([(d, "driverid", "d_driver_id")] if d is not None else []), _team(constructors), *([(t, "constructorid", "t_team_id")] if t is not None else [])]
+    j = results.withColumn("dnf_flag", not_classified_flag("positiontext")).drop("positiontext")
+    if width and broadcasts(status):
+        return _by_race(j, races_dim, width, *sides, _status(status))
+    return _by_race(j.join(_status_side(status), F.col("statusid") == F.col("s_statusid")), races_dim, width, *sides)
 
 
 def driver_dimension(dim: DataFrame) -> DataFrame:
@@ -227,7 +251,7 @@ def team_dimension(dim: DataFrame) -> DataFrame:
     return dim.select(F.col("team_id").alias("t_team_id"), F.col("nationality").alias("t_nationality"))
 
 
-def fact_results(
+def results_by_race(
     results: DataFrame,
     races_dim: DataFrame,
     drivers: DataFrame,
@@ -237,42 +261,58 @@ def fact_results(
     width: int = 0,
     d: DataFrame | None = None,
     t: DataFrame | None = None,
-) -> DataFrame:
-    """``pit_stops`` are the Silver stops; their per-(race, driver)
+) -> tuple[DataFrame, list[Side]]:
+    """Results by race with their stops, without the sides that are left to
+    broadcast. ``pit_stops`` are the Silver stops; their per-(race, driver)
     aggregates equal those of the ``fact_pit_stops`` model (see
-    ``pit_aggregates_eager``). With ``d`` and ``t`` the columns of these
-    follow. The rows stay spread by race."""
+    ``pit_aggregates_eager``)."""
     pa = pit_aggregates_eager(pit_stops, races_dim, drivers, width).withColumnsRenamed(
         {"race_id": "pa_race_id", "driver_id": "pa_driver_id"}
     )
-    j = _results_core(results, races_dim, drivers, constructors, status, width, d, t).join(
-        pa, (F.col("race_id") == F.col("pa_race_id")) & (F.col("driverid") == F.col("pa_driver_id")), "left"
-    )
-    return j.select(
-        "race_key",
-        "year",
-        "driver_full_name",
-        F.col("driverid").alias("driver_id"),
-        "team_name",
-        F.col("constructorid").alias("team_id"),
-        F.col("number").alias("car_number"),
-        F.col("grid").alias("grid_position"),
-        F.col("position").alias("finish_position"),
-        F.col("positionorder").alias("position_order"),
-        "points",
-        "laps",
-        F.col("milliseconds").alias("race_time_ms"),
-        F.col("fastestlap").alias("fastest_lap_number"),
-        F.col("rank").alias("fastest_lap_rank"),
-        F.col("fastestlapspeed").alias("fastest_lap_speed"),
-        "status",
-        not_classified_flag("positiontext").alias("dnf_flag"),
-        (F.col("grid") - F.col("positionorder")).alias("positions_gained"),
-        F.coalesce(F.col("pit_stop_count"), F.lit(0)).alias("pit_stop_count"),
-        F.coalesce(F.col("total_pit_time_ms"), F.lit(0)).alias("total_pit_time_ms"),
-        "race_id",
-        *(c for dim in (d, t) if dim is not None for c in dim.columns),
-    )
+    j, sides = _results_core(results, races_dim, drivers, constructors, status, width, d, t)
+    return j.join(pa, (F.col("race_id") == F.col("pa_race_id")) & (F.col("driverid") == F.col("pa_driver_id")), "left"), sides
+
+
+#: columns of ``fact_results`` and what they are in ``results_by_race`` with its sides
+RESULTS_COLUMNS = {
+    "race_key": "race_key",
+    "year": "year",
+    "driver_full_name": "driver_full_name",
+    "driver_id": "driverid",
+    "team_name": "team_name",
+    "team_id": "constructorid",
+    "car_number": "number",
+    "grid_position": "grid",
+    "finish_position": "position",
+    "position_order": "positionorder",
+    "points": "points",
+    "laps": "laps",
+    "race_time_ms": "milliseconds",
+    "fastest_lap_number": "fastestlap",
+    "fastest_lap_rank": "rank",
+    "fastest_lap_speed": "fastestlapspeed",
+    "status": "status",
+    "dnf_flag": "dnf_flag",
+    "positions_gained": "grid - positionorder",
+    "pit_stop_count": "coalesce(pit_stop_count, 0)",
+    "total_pit_time_ms": "coalesce(total_pit_time_ms, 0)",
+    "race_id": "race_id",
+}
+
+
+def fact_results(
+    results: DataFrame,
+    races_dim: DataFrame,
+    drivers: DataFrame,
+    constructors: DataFrame,
+    status: DataFrame,
+    pit_stops: DataFrame,
+    width: int = 0,
+    together: str | None = None,
+) -> DataFrame:
+    """``results_by_race`` with all its sides."""
+    j = _attach(*results_by_race(results, races_dim, drivers, constructors, status, pit_stops, width), together)
+    return j.select(*(F.expr(src).alias(name) for name, src in RESULTS_COLUMNS.items()))
 
 
 def fact_sprint_results(
@@ -282,9 +322,9 @@ def fact_sprint_results(
     constructors: DataFrame,
     status: DataFrame,
     width: int = 0,
+    together: str | None = None,
 ) -> DataFrame:
-    j = _results_core(sprint, races_dim, drivers, constructors, status, width)
-    return j.select(
+    return _attach(*_results_core(sprint, races_dim, drivers, constructors, status, width), together).select(
         "race_key",
         "year",
         "driver_full_name",
@@ -301,15 +341,14 @@ def fact_sprint_results(
         F.col("fastestlap").alias("fastest_lap_number"),
         F.col("fastestlaptime").alias("fastest_lap_time_ms"),
         "status",
-        not_classified_flag("positiontext").alias("dnf_flag"),
+        "dnf_flag",
         (F.col("grid") - F.col("positionorder")).alias("positions_gained"),
         "race_id",
     )
 
 
 def standings_drivers(ds: DataFrame, races_dim: DataFrame, drivers: DataFrame, width: int = 0) -> DataFrame:
-    j = _with_race_and_driver(ds, races_dim, drivers, width)
-    return j.select(
+    return _attach(*_by_race(ds, races_dim, width, _driver(drivers))).select(
         "race_key",
         "year",
         "driver_full_name",
@@ -322,8 +361,7 @@ def standings_drivers(ds: DataFrame, races_dim: DataFrame, drivers: DataFrame, w
 
 
 def standings_teams(cs: DataFrame, races_dim: DataFrame, constructors: DataFrame, width: int = 0) -> DataFrame:
-    j = _with_race(_with_team(cs, constructors, width), races_dim, width)
-    return j.select(
+    return _attach(*_by_race(cs, races_dim, width, _team(constructors))).select(
         "race_key",
         "year",
         "team_name",
@@ -406,11 +444,14 @@ class GoldModels:
         self,
         source: Callable[[str], DataFrame],
         materialized: Callable[[str], DataFrame] | None = None,
+        together: str | None = None,
     ):
         """``materialized`` resolves a model to an already written table
-        (e.g. ``spark.table``) instead of rebuilding it."""
+        (e.g. ``spark.table``) instead of rebuilding it. The facts' rows of one
+        value of the column ``together`` are in few tasks."""
         self.source = source
         self.materialized = materialized
+        self.together = together
         self._refs: dict[str, DataFrame] = {}
         self._widths: dict[str, int] = {}
 
@@ -420,13 +461,22 @@ class GoldModels:
             self._widths[name] = join_width(self.ref("fact_results") if self.materialized is not None else self.source(name))
         return self._widths[name]
 
-    def results_with_dimensions(self) -> DataFrame:
-        """``fact_results`` with the columns of its driver (``d_*``) and team (``t_*``)."""
+    def results_with_dimensions(self) -> tuple[DataFrame, list[Side]]:
+        """``fact_results`` by race with the columns of its driver (``d_*``) and
+        team (``t_*``), but for those of the sides that are left to broadcast."""
         d, t = driver_dimension(self.ref("dim_drivers")), team_dimension(self.ref("dim_teams"))
         if self.materialized is None and "fact_results" not in self._refs:
-            return self._build_fact_results(d, t)
-        fr = join_dimension(self.ref("fact_results"), d, "driver_id", "d_driver_id", self.width())
-        return spread(join_dimension(fr, t, "team_id", "t_team_id", self.width()), self.width(), "race_id")
+            j, left = self._results_by_race(d, t)
+            there = [c for c in j.columns if c.startswith(("d_", "t_"))] + [key for _, key, _ in left]
+            late = {c for side, _, _ in left for c in side.columns}
+            return j.select(*(F.expr(src).alias(name) for name, src in RESULTS_COLUMNS.items() if src not in late), *dict.fromkeys(there)), left
+        fr, left = self.ref("fact_results"), []
+        for side, key, its in ((d, "driver_id", "d_driver_id"), (t, "team_id", "t_team_id")):
+            if self.width() and broadcasts(side):
+                left.append((side, key, its))
+            else:
+                fr = join_dimension(fr, side, key, its, self.width())
+        return spread(fr, self.width(), "race_id"), left
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._refs:
@@ -458,10 +508,10 @@ class GoldModels:
         return dim_teams(self.source("race_data_constructors"))
 
     def _build_fact_lap_times(self):
-        return fact_lap_times(self.source("race_data_lap_times"), self.ref("dim_races"), self.source("race_data_drivers"), self.width("race_data_lap_times"))
+        return fact_lap_times(self.source("race_data_lap_times"), self.ref("dim_races"), self.source("race_data_drivers"), self.width("race_data_lap_times"), self.together)
 
     def _build_fact_pit_stops(self):
-        return fact_pit_stops(self.source("race_data_pit_stops"), self.ref("dim_races"), self.source("race_data_drivers"), self.width("race_data_pit_stops"))
+        return fact_pit_stops(self.source("race_data_pit_stops"), self.ref("dim_races"), self.source("race_data_drivers"), self.width("race_data_pit_stops"), self.together)
 
     def _build_fact_qualifying(self):
         return fact_qualifying(
@@ -470,20 +520,18 @@ class GoldModels:
             self.source("race_data_drivers"),
             self.source("race_data_constructors"),
             self.width("race_data_qualifying"),
+            self.together,
         )
 
-    def _build_fact_results(self, d=None, t=None):
-        return fact_results(
-            self.source("race_data_results"),
-            self.ref("dim_races"),
-            self.source("race_data_drivers"),
-            self.source("race_data_constructors"),
-            self.source("race_data_status"),
-            self.source("race_data_pit_stops"),
-            self.width(),
-            d,
-            t,
-        )
+    def _results_sources(self):
+        tables = ("race_data_drivers", "race_data_constructors", "race_data_status", "race_data_pit_stops")
+        return self.source("race_data_results"), self.ref("dim_races"), *(self.source(t) for t in tables), self.width()
+
+    def _results_by_race(self, d, t):
+        return results_by_race(*self._results_sources(), d, t)
+
+    def _build_fact_results(self):
+        return fact_results(*self._results_sources(), self.together)
 
     def _build_fact_sprint_results(self):
         return fact_sprint_results(
@@ -493,6 +541,7 @@ class GoldModels:
             self.source("race_data_constructors"),
             self.source("race_data_status"),
             self.width("race_data_sprint_results"),
+            self.together,
         )
 
     def _build_standings_drivers(self):

@@ -1,8 +1,9 @@
 """Dashboard views over Gold: the wide master view, its column subsets,
 the DISTINCT season view and the incidents union.
 
-The driver and the team meet the fact while it is narrow and the circuit meets
-the race; all the rest joins by race (see ``gold``). Subset views are plain projections of the master DataFrame, so Catalyst
+A driver or team that is shuffled meets the fact while it is narrow, one that is
+broadcast meets it last, and the circuit meets the race; all the rest joins by
+race (see ``gold``). Subset views are plain projections of the master DataFrame, so Catalyst
 prunes unused columns down to the scans. The two standings joins are
 left outer on (race, driver) and (race, team); their right sides are not
 unique per key in general, so a left join may add rows, exactly like the
@@ -89,7 +90,8 @@ SEASON_COLUMNS = (
 
 
 def historical_master(gold: GoldModels) -> DataFrame:
-    fr = gold.results_with_dimensions().alias("fr")
+    fr, left = gold.results_with_dimensions()
+    fr = fr.alias("fr")
     c = gold.ref("dim_circuits")
     r = join_dimension(gold.ref("dim_races"), c.select(*(F.col(n).alias(f"c_{n}") for n in c.columns)), "circuit_id", "c_circuit_id", gold.width())
     r = spread(r, gold.width(), "race_id").alias("r")
@@ -100,7 +102,12 @@ def historical_master(gold: GoldModels) -> DataFrame:
         .join(sd, (F.col("fr.race_id") == F.col("sd.race_id")) & (F.col("fr.driver_id") == F.col("sd.driver_id")), "left")
         .join(st, (F.col("fr.race_id") == F.col("st.race_id")) & (F.col("fr.team_id") == F.col("st.team_id")), "left")
     )
-    return j.select([F.col(joined_column(src)).alias(name) for src, name in MASTER_COLUMNS])
+    late = {}
+    for i, (side, key, its) in enumerate(left):  # no shuffle carries their columns
+        j = j.join(F.broadcast(side.alias(f"b{i}")), F.col(f"fr.{key}") == F.col(f"b{i}.{its}"))
+        late |= {f"fr.{n}": f"b{i}.{n}" for n in side.columns}
+    at = lambda src: late.get(src, src)
+    return j.select([F.col(at(joined_column(src))).alias(name) for src, name in MASTER_COLUMNS])
 
 
 #: the dimensions that meet the fact or the race first, and the side that then holds their columns

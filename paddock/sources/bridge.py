@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import join_width, spread
+from ..session import broadcasts, join_width, spread
 
 SENT = r"'\\N'"
 
@@ -322,7 +322,9 @@ def _standings(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key_names = [k.rsplit(" AS ", 1)[1] for k in keys]
     rows = li.selectExpr(*keys, "*")
     if width := join_width(li):  # hardly two rows share a key: one table of groups a task, of bounded size
-        rows = spread(rows, width, key_names[1 if name == "race_data_constructor_standings" else 0])
+        # by race, or by what the groups are shuffled for next
+        by_team = name == "race_data_constructor_standings" and not broadcasts(read_table(spark, sf_dir, "part"))
+        rows = spread(rows, width, key_names[by_team])
     return rows.groupBy(*key_names).agg(*[F.expr(a) for a in aggs])
 
 

@@ -1,13 +1,61 @@
 """Shuffles of large builds: gone with the step that made them, and without the columns of what is broadcast."""
 
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from paddock import session
+from paddock.plans import views
 from paddock.plans.gold import GoldModels
 from paddock.session import scratch_path
 from paddock.sources import catalog, ingest
 
-from .test_wide_joins import TABLES
+from .test_wide_joins import TABLES, plain_master
+
+
+@pytest.fixture
+def written(spark, monkeypatch):
+    """The tables as files, whose size asks for wide joins (two tasks and more)."""
+    root = scratch_path(spark, "written")
+    for name, (schema, rows) in TABLES.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}")
+    monkeypatch.setattr(session, "TASK_BYTES", 500)
+    return {name: spark.read.parquet(f"{root}/{name}") for name in TABLES}.__getitem__
+
+
+@pytest.fixture
+def small_limit(spark):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.mark.parametrize("most", [0, 400_000])
+def test_dimensions_of_few_rows_meet_the_master_last(spark, written, small_limit, monkeypatch, most):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", most)
+    gold = GoldModels(written)
+    assert gold.width() > 4
+    master = views.historical_master(gold)
+    by_key = [x for x in exchanges(master) if "REPARTITION_BY_NUM" in x and ("driverid" in x or "constructorid" in x)]
+    assert bool(by_key) == (most == 0)
+    rows = Counter(map(tuple, master.collect()))
+    assert rows == Counter(map(tuple, plain_master(GoldModels(written)).collect())) and sum(rows.values()) > 100
+
+
+def test_no_broadcast_where_it_is_turned_off(spark, written):
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not session.broadcasts(written("race_data_drivers"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
 def test_a_step_leaves_no_shuffle_setting_behind(spark):
