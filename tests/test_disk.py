@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock import session
 from paddock.plans import views
-from paddock.plans.gold import GoldModels
+from paddock.plans.gold import GOLD_MODELS, GoldModels
 from paddock.session import scratch_path
 from paddock.sources import catalog, ingest
 
@@ -58,6 +58,27 @@ def test_no_broadcast_where_it_is_turned_off(spark, written):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
+@pytest.mark.parametrize("most", [0, 400_000])
+def test_the_view_does_not_shuffle_the_fact_for_its_driver_or_team(spark, written, small_limit, monkeypatch, most):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", most)
+    gold = GoldModels(written)
+    root = scratch_path(spark, "narrow-view")
+    names = {k: f"{k}_{root.rsplit('-', 1)[-1]}" for k in ("gold", "dashboard")}
+    catalog.create_layers(spark, names.values(), root)
+    for m in GOLD_MODELS:
+        if m.startswith(("dim_", "standings_")) or m == "fact_results":
+            catalog.send_to_schema(gold.ref(m), m, names["gold"])
+    for m, cells in (("event_race_incidents", views.INCIDENT_CELLS), ("event_fatal_accidents", views.ACCIDENT_CELLS)):
+        cols = {src.removeprefix("CAST(").removesuffix(" AS INT)"): kind for src, _, kind in cells if src and not src.startswith("'")}
+        spark.createDataFrame([], ", ".join(f"{c} {k}" for c, k in cols.items())).write.saveAsTable(f"{names['gold']}.{m}")
+    catalog.create_dashboard_views(spark, names["gold"], names["dashboard"])
+    master = spark.table(f"{names['dashboard']}.historical_master")
+    plan = master._jdf.queryExecution().optimizedPlan().toString()
+    wide = [line for line in plan.splitlines() if "RepartitionByExpression [team_id" in line]
+    assert len(wide) == (2 if most == 0 else 0)  # the pairs and the teams
+    assert Counter(map(tuple, master.collect())) == Counter(map(tuple, plain_master(GoldModels(written)).collect()))
+
+
 def test_a_step_leaves_no_shuffle_setting_behind(spark):
     was = spark.conf.get(session.CLEANUP)
     with session.dropped_shuffles(spark):
