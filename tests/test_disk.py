@@ -49,6 +49,17 @@ def test_dimensions_of_few_rows_meet_the_master_last(spark, written, small_limit
     assert rows == Counter(map(tuple, plain_master(GoldModels(written)).collect())) and sum(rows.values()) > 100
 
 
+@pytest.mark.parametrize("most", [0, 400_000])
+def test_models_of_wide_joins_have_the_rows_of_plain_ones(spark, written, small_limit, monkeypatch, most):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", most)
+    plain = GoldModels({n: spark.createDataFrame(rows, schema) for n, (schema, rows) in TABLES.items()}.__getitem__)
+    wide = GoldModels(written, together="year")
+    assert plain.width() == 0 < wide.width()
+    for m in ("fact_results", "fact_pit_stops", "standings_drivers", "standings_teams"):
+        assert wide.ref(m).columns == plain.ref(m).columns and wide.ref(m).dtypes == plain.ref(m).dtypes
+        assert Counter(map(tuple, wide.ref(m).collect())) == Counter(map(tuple, plain.ref(m).collect()))
+
+
 def test_no_broadcast_where_it_is_turned_off(spark, written):
     was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
